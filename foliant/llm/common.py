@@ -72,15 +72,19 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
         yield batch.slice(start)
 
 
-def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], text: str = "text") -> DataFrame:
-    """mapInArrow over slices; fn returns the columns of its output by name."""
+def arrow_schema(ddl: str) -> pa.Schema:
+    """Arrow schema of a DDL string (needs a session, so not inside a worker)."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    parsed = StructType.fromDDL(schema)
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], text: str = "text") -> DataFrame:
+    """mapInArrow over slices; fn returns the columns of its output by name."""
+    out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = to_arrow_schema(parsed)
         for batch in batches:
             for part in slices(batch, text):
                 columns = fn(part)

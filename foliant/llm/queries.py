@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality
+from . import langid, packing, quality, tokens
 from .common import crc_mod, table
 
 
@@ -22,9 +22,20 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.keep_flags(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokens.vocabulary_path())
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = tokens.prefix_counts(table(spark, sf_dir, "documents"), tokens.vocabulary_path())
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "chars_in_limit")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_quality": op2_quality,
+    "op4_packing": op4_packing,
+    "op6_token_counts": op6_token_counts,
 }
 
 SQL: dict[str, str] = {}
