@@ -93,6 +93,28 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], t
     return df.mapInArrow(run, schema)
 
 
+def extend(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
+    """Keep the columns of df and add those of `schema`; where names clash, the new column takes the old one's place."""
+    from pyspark.sql.types import StructType
+
+    added = StructType.fromDDL(schema)
+    old = [f for f in df.schema if f.name not in set(added.names) | set(drop)]
+    out = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                columns = fn(part)
+                kept = [part.column(part.schema.get_field_index(f.name)) for f in old]
+                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(columns[f.name], f.type) for f in out)], names=[*(f.name for f in old), *out.names])
+
+    return df.mapInArrow(run, StructType([*old, *added]))
+
+
+def column(batch: pa.RecordBatch, name: str) -> list:
+    return batch.column(batch.schema.get_field_index(name)).to_pylist()
+
+
 def crc_mod(column: str, n: int):
     """crc32 of a number's text modulo n, null for null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, quality, tokens
+from . import chat, decontamination, langid, packing, quality, tokens
 from .common import crc_mod, table
 
 
@@ -22,6 +22,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.keep_flags(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(chat.format_turns(chat.with_probe(table(spark, sf_dir, "conversations"))))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokens.vocabulary_path())
 
@@ -31,11 +35,71 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "chars_in_limit")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_quality": op2_quality,
+    "op3_chat": op3_chat,
     "op4_packing": op4_packing,
     "op6_token_counts": op6_token_counts,
+    "op9_decontamination": op9_decontamination,
 }
 
-SQL: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+#: valid follows the machine's moves; role and text escape by three characters for each backslash and control string.
+OP3_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), moves AS (
+    SELECT *, lag(role) OVER w AS before, lead(role) OVER w IS NULL AS final FROM turns
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), sized AS (
+    SELECT *, length('<|turn|>') + length(role) + 1 + length(text) + length('<|end|>') + 1
+        + 3 * len(regexp_extract_all(role || text, '\\|<\|turn\|>|<\|end\|>|</?s>|\[/?INST\]|<</?SYS>>')) AS chars,
+        CASE WHEN before IS NULL THEN role IN ('system', 'user')
+             WHEN before = 'system' THEN role = 'user'
+             WHEN before = 'user' THEN role = 'assistant'
+             WHEN before = 'assistant' THEN role IN ('user', 'tool')
+             WHEN before = 'tool' THEN role = 'assistant'
+             ELSE role IN ('system', 'user') END AND (NOT final OR role = 'assistant') AS good
+    FROM moves
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+    CAST(sum(chars) AS BIGINT) AS formatted_chars, bool_and(good) AS valid
+FROM sized GROUP BY conv_id
+"""
+
+OP9_SQL = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce({_LOWER.format("text")}, ''), {_ALNUM}) AS w FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(coalesce({_LOWER.format("text")}, ''), {_ALNUM}) AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[i : i + size - 1], ' ') AS win
+    FROM (SELECT *, least(10, len(w)) AS size FROM b WHERE len(w) > 0), unnest(range(1, len(w) - size + 2)) AS t(i)
+), places AS (
+    SELECT row, i, size, array_to_string(w[i : i + size - 1], ' ') AS win
+    FROM d, (SELECT DISTINCT size FROM windows) s, unnest(range(1, len(w) - size + 2)) AS t(i) WHERE len(w) >= size
+), hits AS (SELECT row, i, p.size, item_id FROM places p JOIN windows w ON p.win = w.win AND p.size = w.size),
+covered AS (SELECT row, count(DISTINCT i + k) AS n_hit FROM hits, unnest(range(0, size)) AS t(k) GROUP BY row),
+items AS (
+    SELECT row, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY row
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (row) LEFT JOIN items USING (row)
+"""
+
+SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op9_decontamination": OP9_SQL}
