@@ -14,7 +14,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, map_rows, slices, utf8
@@ -44,37 +44,30 @@ def gram_buckets(hashes: np.ndarray) -> np.ndarray:
     return np.concatenate([one, two])
 
 
-def corpus_counts(docs: DataFrame, trusted: Column, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Bucket counts over all documents and over the trusted ones.
+def bucket_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """Bucket counts over all n-grams of the documents.
 
-    Each task sums its documents into two arrays of fixed size and emits the buckets it met, so
+    Each task sums its documents into an array of fixed size and emits the buckets it met, so
     what is shuffled is bounded by tasks x buckets and what reaches the driver by buckets.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for part in slices(batch):
                 known: dict[bytes, int] = {}
-                both = ([], [])
-                for t, good in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    both[bool(good)].append(gram_buckets(_word_hashes(utf8(t).translate(LOWER).split(), known)))
-                for good, found in enumerate(both):
-                    if found:
-                        n = np.bincount(np.concatenate(found), minlength=BUCKETS)
-                        raw += n
-                        if good:
-                            target += n
-        met = np.flatnonzero(raw)
+                found = [gram_buckets(_word_hashes(utf8(t).translate(LOWER).split(), known)) for t in part.column(0).to_pylist()]
+                total += np.bincount(np.concatenate(found), minlength=BUCKETS)
+        met = np.flatnonzero(total)
         for at in range(0, len(met), 65536):
             b = met[at : at + 65536]
-            yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(raw[b], pa.int64()), pa.array(target[b], pa.int64())], ["bucket", "raw", "target"])
+            yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(total[b], pa.int64())], ["bucket", "n"])
 
-    rows = docs.select(F.col(text).alias("text"), F.coalesce(trusted, F.lit(False)).alias("trusted")).mapInArrow(run, "bucket int, raw long, target long")
-    found = rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[found["bucket"]], target[found["bucket"]] = found["raw"], found["target"]
-    return raw, target
+    rows = docs.select(F.col(text).alias("text")).mapInArrow(run, "bucket int, n long")
+    found = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(BUCKETS)
+    out[found["bucket"]] = found["n"]
+    return out
 
 
 def ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -150,9 +143,20 @@ def keep_flags(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """Ids that some label calls good and none calls bad or toxic; each once."""
     judged = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t"))
-    return judged.where("q = 1 and t = 0").select("doc_id", F.lit(True).alias("trusted"))
+    return judged.where("q = 1 and t = 0").select("doc_id")
+
+
+def trusted_docs(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents of trusted ids. Only texts that may be trusted are shuffled.
+
+    A table of hashed trusted ids, of at most 2^20 rows whatever the input, is broadcast and
+    drops nearly all other documents before the exact join.
+    """
+    ids = trusted_ids(labels)
+    short = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 20)).cast("int")
+    maybe = docs.select("doc_id", "text", short("doc_id").alias("h")).join(F.broadcast(ids.select(short("doc_id").alias("h")).distinct()), "h", "left_semi")
+    return maybe.join(ids.hint("merge"), "doc_id", "left_semi")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    marked = docs.select("doc_id", "text").join(trusted_ids(labels), "doc_id", "left")
-    return ratios(*corpus_counts(marked, F.col("trusted")))
+    return ratios(bucket_counts(docs), bucket_counts(trusted_docs(docs, labels)))
