@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, langid, packing, privacy, quality, tokens
+from . import chat, decontamination, langid, licenses, packing, privacy, quality, tokens
 from .common import crc_mod, table
 
 
@@ -35,6 +35,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "chars_in_limit")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.digest(licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3_chat,
     "op4_packing": op4_packing,
     "op6_token_counts": op6_token_counts,
+    "op7_licenses": op7_licenses,
     "op9_decontamination": op9_decontamination,
     "op10_privacy": op10_privacy,
 }
