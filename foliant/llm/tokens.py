@@ -1,8 +1,8 @@
 """Exact token ids and prefix token counts of a byte-level BPE vocabulary.
 
-Both work per pre-token (the pieces the vocabulary's split pattern makes), remembering each
-distinct piece in a bounded cache. Ids of unseen pieces come from the `tokenizers` library.
-Prefix counts come from a dynamic programme: the encoding of bytes[:i] ends in the one token t
+Ids are those of the `tokenizers` library for a vocabulary file. Prefix counts are made per
+pre-token (the pieces the vocabulary's split pattern makes), remembering each distinct piece in a
+bounded cache. They come from a dynamic programme: the encoding of bytes[:i] ends in the one token t
 with bytes[:i] ending in t and (last token of bytes[:i-len(t)], t) an adjacent pair that BPE
 leaves as it is; then count[i] = count[i - len(t)] + 1. Token counts of every prefix of the
 text follow by running sums, which answer truncation and budget questions without encoding again.
@@ -14,14 +14,17 @@ import json
 import re
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows, utf8
 
-#: Distinct pre-tokens remembered by a worker; beyond that the cache starts anew.
-CACHE = 250_000
+#: Distinct pre-tokens whose ids a worker remembers.
+PIECES = 250_000
+#: Distinct pre-tokens whose counts a worker remembers; beyond that the cache starts anew.
+CACHE = 750_000
 #: The vocabulary's split pattern, for texts of PLAIN characters, on which `re` and the library agree.
 _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 _NOT_PLAIN = re.compile("[^\t\n\r -~¡-±´-¸º»¿-ɏ–-…]")
@@ -62,9 +65,14 @@ class Vocabulary:
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks[raw(a), raw(b)] = rank
-        self.longest = max(map(len, self.ids))
+        self.bytes = {i: b for b, i in self.ids.items()}
+        #: Finds all tokens that end at each byte, the longest first; bytes go in as Latin-1.
+        self.endings = ahocorasick.Automaton()
+        for b, i in self.ids.items():
+            self.endings.add_word(b.decode("latin-1"), (len(b), i))
+        self.endings.make_automaton()
         self.any_special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.deltas: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -106,7 +114,7 @@ class Vocabulary:
 
     def _learn(self, pieces: list[str]) -> None:
         missing = [p for p in set(pieces) if p not in self.pieces]
-        if len(self.pieces) + len(missing) > CACHE:
+        if len(self.pieces) + len(missing) > PIECES:
             self.pieces = {}
             missing = list(set(pieces))
         for p, e in zip(missing, self.library.encode_batch_fast(missing, add_special_tokens=False), strict=True):
@@ -114,13 +122,12 @@ class Vocabulary:
 
     # -- prefix counts
 
-    def stays(self, a: bytes, b: bytes) -> bool:
-        """Whether BPE encodes a + b as the tokens a, b."""
-        found = self.pairs.get((a, b))
-        if found is None:
-            if len(self.pairs) > 4 * CACHE:
-                self.pairs = {}
-            found = self.pairs[a, b] = self._merge(a + b) == [a, b]
+    def _stays(self, a: int, b: int) -> bool:
+        """Whether BPE encodes the bytes of token a and token b as these two."""
+        if len(self.pairs) > CACHE:
+            self.pairs = {}
+        x, y = self.bytes[a], self.bytes[b]
+        found = self.pairs[a << 32 | b] = self._merge(x + y) == [x, y]
         return found
 
     def _merge(self, data: bytes) -> list[bytes]:
@@ -135,29 +142,31 @@ class Vocabulary:
 
     def prefix_programme(self, data: bytes) -> list[int]:
         """Token count of data[:i] for i = 0 .. len(data)."""
-        count, last = [0], [b""]
-        for end in range(1, len(data) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = data[start:end]
-                if token in self.ids and (start == 0 or self.stays(last[start], token)):
-                    count.append(count[start] + 1)
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("a byte is missing from the vocabulary")
+        count, last, pairs, done = [0] * (len(data) + 1), [0] * (len(data) + 1), self.pairs, 0
+        for at, (length, token) in self.endings.iter(data.decode("latin-1")):
+            end = at + 1
+            if end == done:
+                continue
+            start = end - length
+            if start:
+                stays = pairs.get(last[start] << 32 | token)
+                if stays is None:
+                    stays = self._stays(last[start], token)
+                    pairs = self.pairs
+                if not stays:
+                    continue
+            count[end], last[end], done = count[start] + 1, token, end
         return count
 
     def _delta(self, piece: str) -> bytes:
         """Changes of the count from code point to code point of a pre-token, one signed byte each."""
+        data = piece.encode("utf-8", "replace")
+        at = self.prefix_programme(data)
         if piece in ("'re", "'ve", "'ll"):  # a shorter prefix of these is two pre-tokens
-            at = [0, 1, 2, self.prefix_programme(piece.encode())[-1]]
-        else:
-            data = utf8(piece)
-            at = np.array(self.prefix_programme(data))
-            if len(data) != len(piece):
-                starts = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
-                at = at[np.append(np.flatnonzero(starts), len(data))]
-        return np.diff(at).astype(np.int8).tobytes()
+            at[1:3] = 1, 2
+        if len(data) != len(piece):
+            at = [c for c, b in zip(at, data, strict=False) if b & 0xC0 != 0x80] + at[-1:]
+        return bytes([b - a & 0xFF for a, b in zip(at, at[1:])])  # noqa: B905
 
     def _deltas_of(self, pieces: list[str]) -> bytes:
         try:
