@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, langid, licenses, packing, privacy, quality, tokens
+from . import chat, decontamination, langid, licenses, neardup, packing, privacy, quality, tokens
 from .common import crc_mod, table
 
 
@@ -40,6 +40,11 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"), neardup.Similarity(3, 85, 100))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op6_token_counts": op6_token_counts,
     "op7_licenses": op7_licenses,
+    "op8_neardup": op8_neardup,
     "op9_decontamination": op9_decontamination,
     "op10_privacy": op10_privacy,
 }
@@ -115,4 +121,22 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN covered USING (row) LEFT JOIN items USING (row)
 """
 
-SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op9_decontamination": OP9_SQL}
+OP8_SQL = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(coalesce({_LOWER.format("text")}, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + least(3, len(w)) - 1], ' ') AS g
+    FROM d, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS t(i) WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, c) AS (
+    SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON r.c = e.a
+)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id, doc_id = min(c) AS kept
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+SQL: dict[str, str] = {"op8_neardup": OP8_SQL, "op3_chat": OP3_SQL, "op9_decontamination": OP9_SQL}
