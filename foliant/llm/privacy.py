@@ -36,6 +36,8 @@ SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
 #: Size of the bitmap of candidate terms.
 BITS = 1 << 20
+#: Terms whose counts a task holds before it passes them on.
+TERMS_HELD = 500_000
 #: Revealing terms handled in one pass over the documents.
 BLOCK_TERMS = 200_000
 
@@ -142,16 +144,26 @@ def _occurrences(docs: DataFrame, bitmap: np.ndarray, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value).view(bool)
-        total = 0
+        total, kept = 0, Counter()
+
+        def rows() -> pa.RecordBatch:
+            out = [(w.decode("utf-8", "replace"), n) for w, n in kept.items()]
+            kept.clear()
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.string()), pa.array([n for _, n in out], pa.int64())], ["term", "n"])
+
         for batch in batches:
             for part in slices(batch):
                 words: Counter = Counter()
                 for t in part.column(0).to_pylist():
                     words.update(alnum_words(t))
                 total += sum(words.values())
-                kept = [(w.decode("utf-8", "replace"), n) for w, n in words.items() if bits[crc32(w) % BITS]]
-                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["term", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array([""], pa.string()), pa.array([total], pa.int64())], ["term", "n"])
+                for w, n in words.items():
+                    if bits[crc32(w) % BITS]:
+                        kept[w] += n
+                if len(kept) > TERMS_HELD:
+                    yield rows()
+        kept[b""] = total
+        yield rows()
 
     found = docs.select(F.col(text).alias("text")).mapInArrow(run, "term string, n long")
     return found.groupBy("term").agg(F.sum("n").alias("n"))
