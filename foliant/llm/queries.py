@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, langid, licenses, neardup, packing, privacy, quality, tokens
+from . import chat, decontamination, langid, licenses, lm, neardup, packing, privacy, quality, tokens
 from .common import crc_mod, table
 
 
@@ -30,6 +30,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokens.vocabulary_path())
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False)).alias("held_out")
+    scored = lm.score(docs, crc_mod("doc_id", 7) != 2)
+    return scored.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = tokens.prefix_counts(table(spark, sf_dir, "documents"), tokens.vocabulary_path())
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "chars_in_limit")
@@ -61,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_chat": op3_chat,
     "op4_packing": op4_packing,
+    "op5_lm_score": op5_lm_score,
     "op6_token_counts": op6_token_counts,
     "op7_licenses": op7_licenses,
     "op8_neardup": op8_neardup,
