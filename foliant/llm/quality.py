@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, map_rows, slices, utf8
+from .common import LOWER, column, extend, map_rows, slices, utf8
 
 BUCKETS = 1 << 18
 PSEUDO = 2.0
@@ -107,6 +107,16 @@ def base_stats(text: str | None, words: list[bytes]) -> tuple[int, int, int, int
     return chars, symbols, dup, repeated
 
 
+def judge(text: str | None, weights: np.ndarray, known: dict[bytes, int], threshold: float) -> tuple:
+    """n_words, the base statistics, base_failed, llr and kept of one text."""
+    words = utf8(text).split()
+    stats = base_stats(text, words)
+    lower = utf8(text).translate(LOWER).split()
+    llr = float(weights[gram_buckets(_word_hashes(lower, known))].mean(dtype=np.float64)) if words else 0.0
+    failed = len(words) < 50 or 100 * stats[3] > 50 * len(words)
+    return len(words), *stats, failed, llr, not failed and llr >= threshold
+
+
 def score(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: base statistics, base_failed, llr and kept.
 
@@ -117,19 +127,12 @@ def score(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD, id
     kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept")
+
     def run(batch) -> dict:
-        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept")
-        out: dict = {c: [] for c in names}
-        table, known = shared.value, {}
-        for t in batch.column(1).to_pylist():
-            lower = utf8(t).translate(LOWER).split()
-            words = utf8(t).split()
-            stats = base_stats(t, words)
-            llr = float(table[gram_buckets(_word_hashes(lower, known))].mean(dtype=np.float64)) if words else 0.0
-            failed = len(words) < 50 or 100 * stats[3] > 50 * len(words)
-            for c, v in zip(names, (len(words), *stats, failed, llr, not failed and llr >= threshold), strict=True):
-                out[c].append(v)
-        return out | {id_col: batch.column(0)}
+        known: dict[bytes, int] = {}
+        rows = [judge(t, shared.value, known, threshold) for t in batch.column(1).to_pylist()]
+        return dict(zip(names, zip(*rows, strict=True), strict=True)) | {id_col: batch.column(0)}
 
     schema = f"{id_col} {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr double, kept boolean"
     return map_rows(docs.select(F.col(id_col), F.col(text).alias("text")), schema, run)
@@ -160,3 +163,14 @@ def trusted_docs(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     return ratios(bucket_counts(docs), bucket_counts(trusted_docs(docs, labels)))
+
+
+def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that are kept, with their own columns; judged as in `score`, row by row."""
+    weights = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+
+    def run(batch) -> dict:
+        known: dict[bytes, int] = {}
+        return {"__kept": [judge(t, weights.value, known, threshold)[-1] for t in column(batch, "text")]}
+
+    return extend(docs, "__kept boolean", run).where("__kept").drop("__kept")
