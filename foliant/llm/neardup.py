@@ -4,10 +4,12 @@
    signature of universal-hash minima. Texts of equal sets are one node from here on.
 2. Bands of the signature are bucketed by a sort; buckets of one node fall away as they stream by.
 3. Inside a bucket signatures are compared (large buckets in pairs of blocks, each a group of
-   its own). A first round emits, for each node, the nearest one before it; the second all pairs that
-   the first round's links left in different components. So a group of thousands of near copies
-   yields few pairs, yet no pair that could join two components goes untested.
-4. Pairs are confirmed on their full sets, and links joined by alternating large-star and small-star.
+   its own). For each node the nearest one before it is emitted; these pairs are confirmed on their full sets.
+4. Links are joined by alternating large-star and small-star.
+5. Buckets that still hold different components get their nodes' full sets, and every pair of
+   nodes of different components whose signatures agree often enough is confirmed right there; only links
+   that join components come out. So a group of thousands of near copies yields few rows, yet no
+   pair that could join two components goes untested.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ MISS = 1e-6
 SLACK = 4.9
 #: Nodes compared with each other in one group.
 BLOCK = 2048
+#: The same where full sets are at hand.
+SET_BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -154,11 +158,12 @@ def _shared_buckets(bands: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "bucket long, band long, node long, n long")
 
 
-def _grouped(members: DataFrame, signatures: DataFrame, extra: list[str]) -> DataFrame:
-    """Members with their signatures, dealt out to groups of at most two blocks."""
-    large = members.where(F.col("n") >= BLOCK).groupBy("bucket").agg((F.floor(F.max("n") / BLOCK) + 1).alias("blocks"))
-    dealt = members.join(large, "bucket", "left").withColumn("own", F.floor(F.col("n") / BLOCK)).withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
-    dealt = dealt.join(signatures, "node").select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "band", "node", "sig", *extra)
+def _grouped(members: DataFrame, payload: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Members with what `payload` has for their nodes, dealt out to groups of at most two blocks."""
+    extra = [c for c in (*members.columns, *payload.columns) if c not in ("bucket", "band", "node", "n")]
+    large = members.where(F.col("n") >= block).groupBy("bucket").agg((F.floor(F.max("n") / block) + 1).alias("blocks"))
+    dealt = members.join(large, "bucket", "left").withColumn("own", F.floor(F.col("n") / block)).withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+    dealt = dealt.join(payload, "node").select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "band", "node", *extra)
     return dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "node")
 
 
@@ -184,59 +189,115 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _candidates(groups: DataFrame, similarity: Similarity, nearest: bool) -> DataFrame:
-    """Pairs a < b whose signatures agree often enough.
+@dataclass
+class _Group:
+    """One group: its nodes, their signatures, and which earlier nodes a node is to be compared with."""
 
-    nearest: for each node only the most similar one before it. Otherwise all pairs of different
-    `component`, each in the first band that it shares.
+    table: pa.Table
+    sigs: np.ndarray
+    nodes: np.ndarray
+    own: np.ndarray
+    across: bool
+    band: int
+
+    def agreements(self, i: int, at: np.ndarray) -> np.ndarray:
+        return (self.sigs[at] == self.sigs[i]).sum(1)
+
+    def before(self, i: int) -> np.ndarray:
+        """Nodes before i; in a group of two blocks, those of the other block."""
+        return np.flatnonzero(self.own[:i] != self.own[i]) if self.across else np.arange(i)
+
+
+def _each_group(batches: Iterator[pa.RecordBatch]) -> Iterator[_Group]:
+    for t in _groups(batches):
+        bucket, lo, hi, own, band, node = (t.column(k).to_numpy() for k in range(6))
+        edges = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))).tolist()
+        sigs = np.frombuffer(b"".join(t.column("sig").to_pylist()), "<u2").reshape(len(node), HASHES)
+        for x, y in zip(edges, [*edges[1:], len(node)], strict=True):
+            if y - x > 1:
+                yield _Group(t.slice(x, y - x), sigs[x:y], node[x:y], own[x:y], bool(lo[x] != hi[x]), int(band[x]))
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = (np.array([p[k] for p in found], np.int64) for k in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _nearest(groups: DataFrame, similarity: Similarity) -> DataFrame:
+    """Pairs a < b of each node and the most similar one before it in its group, if their signatures agree often enough."""
+    least = int(np.ceil(similarity.least * HASHES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[int, int]] = []
+        for g in _each_group(batches):
+            for i in range(1, len(g.nodes)):
+                at = g.before(i)
+                if len(at):
+                    agree = g.agreements(i, at)
+                    best = int(agree.argmax())
+                    if agree[best] >= least:
+                        found.append((int(g.nodes[at[best]]), int(g.nodes[i])))
+            if len(found) > 50_000:
+                yield _pairs(found)
+                found = []
+        yield _pairs(found)
+
+    return groups.mapInArrow(run, "a long, b long").distinct()
+
+
+def _bridges(groups: DataFrame, similarity: Similarity) -> DataFrame:
+    """Links a < b between different components, confirmed on full sets; enough of them to join all that a group's links join.
+
+    A pair is tested in the first band that it shares, unless other links of the group have
+    joined its components before.
     """
     least, rows = int(np.ceil(similarity.least * HASHES)), similarity.rows
+    used = HASHES // rows * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups(batches):
-            bucket, lo, hi, own, band, node = (t.column(k).to_numpy() for k in range(6))
-            sigs = np.frombuffer(b"".join(t.column("sig").to_pylist()), "<u2").reshape(len(node), HASHES)
-            comp = None if nearest else t.column("component").to_numpy()
-            edges = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
-            a_out, b_out = [], []
-            for x, y in zip(edges.tolist(), [*edges[1:].tolist(), len(node)], strict=True):
-                if y - x < 2 or comp is not None and (comp[x:y] == comp[x]).all():
+        found: list[tuple[int, int]] = []
+        for g in _each_group(batches):
+            comp = g.table.column("component").to_numpy()
+            if (comp == comp[0]).all():
+                continue
+            items = [np.frombuffer(x.as_buffer(), np.uint64) for x in g.table.column("items")]
+            _, group = np.unique(comp, return_inverse=True)
+            for i in range(1, len(g.nodes)):
+                at = g.before(i)
+                at = at[group[at] != group[i]]
+                if not len(at):
+                    continue
+                agree = g.agreements(i, at)
+                at, agree = at[agree >= least], agree[agree >= least]
+                if not len(at):
                     continue
-                s, nodes, across = sigs[x:y], node[x:y], lo[x] != hi[x]
-                for i in range(1, y - x):
-                    ok = np.ones(i, bool)
-                    if across:
-                        ok &= own[x : x + i] != own[x + i]
-                    if comp is not None:
-                        ok &= comp[x : x + i] != comp[x + i]
-                    at = np.flatnonzero(ok)
-                    if not len(at):
-                        continue
-                    agree = (s[at] == s[i]).sum(1)
-                    if nearest:
-                        best = int(agree.argmax())
-                        at = at[best : best + 1] if agree[best] >= least else at[:0]
-                    else:
-                        at = at[agree >= least]
-                        if len(at):
-                            used = HASHES // rows * rows
-                            same = (s[at, :used] == s[i, :used]).reshape(len(at), -1, rows).all(2)
-                            at = at[same.argmax(1) == band[x]]
-                    a_out.append(nodes[at])
-                    b_out.append(np.full(len(at), nodes[i]))
-            a = np.concatenate([*a_out, np.zeros(0, np.int64)])
-            b = np.concatenate([*b_out, np.zeros(0, np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+                same = (g.sigs[at, :used] == g.sigs[i, :used]).reshape(len(at), -1, rows).all(2)
+                first = same.argmax(1) == g.band
+                for j in at[first][np.argsort(-agree[first], kind="stable")].tolist():
+                    if group[j] != group[i]:
+                        inter = _shared(items[i], items[j])
+                        if similarity.linked(inter, len(items[i]) + len(items[j]) - inter):
+                            found.append((int(g.nodes[j]), int(g.nodes[i])))
+                            group[group == group[j]] = group[i]
+        yield _pairs(found)
 
     return groups.mapInArrow(run, "a long, b long").distinct()
 
 
-def _sets(docs: DataFrame, pairs: DataFrame, similarity: Similarity, text: str) -> DataFrame:
-    """(node, items) for the nodes of some pairs, from their texts.
+def _shared(p: np.ndarray, q: np.ndarray) -> int:
+    """Number of common items of two sorted sets."""
+    if len(p) > len(q):
+        p, q = q, p
+    at = np.minimum(np.searchsorted(q, p), len(q) - 1)
+    return int(np.count_nonzero(q[at] == p))
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, similarity: Similarity, text: str) -> DataFrame:
+    """(node, items) for distinct nodes, from their texts.
 
     Hashes of the nodes, 2^20 rows at most, are broadcast to drop other texts before the join.
     """
-    nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "neardup-nodes")
+    nodes = written(nodes, "neardup-nodes")
     short = F.pmod("node", F.lit(1 << 20)).cast("int").alias("short")
     rows = docs.select(F.xxhash64("doc_id", text).alias("node"), F.col(text).alias("text"))
     maybe = rows.withColumn("short", short).join(F.broadcast(nodes.select(short).distinct()), "short", "left_semi").drop("short")
@@ -258,12 +319,12 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, similarity: Similarity, text:
             keep = []
             for x, y in zip(column(batch, "x"), column(batch, "y"), strict=True):
                 p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                inter = len(np.intersect1d(p, q, assume_unique=True))
+                inter = _shared(p, q)
                 keep.append(similarity.linked(inter, len(p) + len(q) - inter))
             kept = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(kept) for k in (0, 1)], schema=out)
 
-    sets = _sets(docs, pairs, similarity, text)
+    sets = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), similarity, text)
     x = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     return pairs.hint("merge").join(x, "a").join(y.hint("merge"), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
@@ -310,15 +371,15 @@ def classes(docs: DataFrame, similarity: Similarity | None = None, text: str = "
     members = written(_shared_buckets(of_nodes.select("node", F.posexplode("bands").alias("band", "bucket")).select("bucket", F.col("band").cast("long"), "node")), "neardup-members")
     # the members of shared buckets only: a small part of all signatures goes on
     signatures = written(of_nodes.select("node", "sig").join(members.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "neardup-sigs")
-    near = written(_candidates(_grouped(members, signatures, []), similarity, True), "neardup-near")
+    near = written(_nearest(_grouped(members, signatures), similarity), "neardup-near")
     links = written(_confirmed(docs, near, similarity, text), "neardup-links")
     found = written(components(links), "neardup-components")
     placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    # a bucket inside one component needs no second look
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-    rest = _candidates(_grouped(placed.join(mixed, "bucket", "left_semi"), signatures, ["component"]), similarity, False)
-    rest = written(rest.join(near, ["a", "b"], "left_anti"), "neardup-rest")
-    more = written(_confirmed(docs, rest, similarity, text), "neardup-more")
+    # a bucket inside one component needs no second look, nor does one of two nodes: its one pair was tested
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("n").alias("last")).where("x <> y and last > 1").select("bucket")
+    placed = written(placed.join(mixed, "bucket", "left_semi"), "neardup-placed")
+    payload = signatures.join(_sets(docs, placed.select("node").distinct(), similarity, text), "node")
+    more = written(_bridges(_grouped(placed, payload, SET_BLOCK), similarity), "neardup-more")
     if more.limit(1).count():
         found = written(components(links.unionByName(more)), "neardup-components")
     roots = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
