@@ -1 +1 @@
-
+"""Column functions: Column in, Column out, no Python on the executors."""

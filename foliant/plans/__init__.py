@@ -1 +1 @@
-
+"""Entry points, and the queries over the driver's tables."""

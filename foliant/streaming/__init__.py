@@ -1 +1 @@
-
+"""Incremental export."""
