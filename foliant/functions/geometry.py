@@ -43,7 +43,8 @@ def intersection_area(a: Column, b: Column) -> Column:
 def overlaps(a: Column, b: Column, threshold: float = 0.5) -> Column:
     """Whether more than a share of the smaller box is covered; false where a box is missing or has no area."""
     smaller = F.least(area(a), area(b))
-    return F.coalesce(F.when(smaller > 0, intersection_area(a, b) / smaller > threshold), F.lit(False))
+    there = a.isNotNull() & b.isNotNull()  # least() and greatest() pass over nulls
+    return F.coalesce(F.when(there & (smaller > 0), intersection_area(a, b) / smaller > threshold), F.lit(False))
 
 
 def padded(b: Column, by: float, width: Column, height: Column) -> Column:

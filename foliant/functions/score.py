@@ -9,7 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..vocab import Keywords
-from .match import FLAGS
 
 # Patterns for and against, and words that go with "circuit".
 FOR = (
@@ -97,9 +96,13 @@ def _has(text: Column, part: str) -> Column:
 
 
 def _word(text: Column, word: str) -> Column:
+    """Whether a lower-case word stands in a lower-cased text; the cheap search goes first."""
+    return text.contains(word) & text.rlike(rf"(?U)\b{re.escape(word)}\b")
 
 
-    return text.rlike(rf"{FLAGS}\b{re.escape(word)}\b")
+def let(value: Column, body) -> Column:
+    """body(value), with the value worked out once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _number(text: Column, patterns: tuple[str, ...]) -> Column:
@@ -128,23 +131,23 @@ def quick_indicator(text: Column, k: Keywords) -> Column:
 def caption_analysis(caption: Column, k: Keywords, w: Weights = Weights()) -> Column:
     """(is_circuit, confidence, keyword_score, pattern_score, evidence) of a caption; all 0 if it is null or empty."""
     low = F.lower(F.coalesce(caption, F.lit("")))
-    matches = keyword_matches(caption, k)
-    score = keyword_score(matches, w)
-    good, bad = _number(low, FOR), _number(low, AGAINST)
     boosted = low.contains("circuit") & (F.size(_which(low, BOOSTING, _has)) > 0)
-    raw = good * F.lit(w.for_pattern) + bad * F.lit(w.against_pattern) + F.when(boosted, F.lit(w.boost)).otherwise(0.0)
-    raw = F.when((bad > 0) & (good == 0), F.least(raw, F.lit(-0.2))).otherwise(raw)
-    pattern = F.greatest(F.lit(-0.5), F.least(F.lit(1.0), raw + F.lit(0.3)))
-    total = F.lit(0.4) * score + F.lit(0.6) * pattern
-    evidence = F.concat(F.transform(matches["primary"], lambda x: F.concat(F.lit("primary:"), x)), F.transform(F.slice(matches["gates"], 1, 3), lambda x: F.concat(F.lit("gate:"), x)))
-    none = low == ""
-    return F.struct(
-        (~none & (total >= w.caption_threshold)).alias("is_circuit"),
-        F.when(none, 0.0).otherwise(total).alias("confidence"),
-        F.when(none, 0.0).otherwise(score).alias("keyword_score"),
-        F.when(none, 0.0).otherwise(pattern).alias("pattern_score"),
-        F.when(none, F.array().cast("array<string>")).otherwise(evidence).alias("evidence"),
-    )
+    seen = F.struct(keyword_matches(caption, k).alias("m"), _number(low, FOR).alias("good"), _number(low, AGAINST).alias("bad"), boosted.alias("boosted"))
+
+    def scored(s: Column) -> Column:
+        raw = s["good"] * F.lit(w.for_pattern) + s["bad"] * F.lit(w.against_pattern) + F.when(s["boosted"], F.lit(w.boost)).otherwise(0.0)
+        raw = F.when((s["bad"] > 0) & (s["good"] == 0), F.least(raw, F.lit(-0.2))).otherwise(raw)
+        pattern = F.greatest(F.lit(-0.5), F.least(F.lit(1.0), raw + F.lit(0.3)))
+        evidence = F.concat(F.transform(s["m"]["primary"], lambda x: F.concat(F.lit("primary:"), x)), F.transform(F.slice(s["m"]["gates"], 1, 3), lambda x: F.concat(F.lit("gate:"), x)))
+        return F.struct(keyword_score(s["m"], w).alias("score"), pattern.alias("pattern"), evidence.alias("evidence"))
+
+    def judged(r: Column) -> Column:
+        total = F.lit(0.4) * r["score"] + F.lit(0.6) * r["pattern"]
+        return F.struct((total >= w.caption_threshold).alias("is_circuit"), total.alias("confidence"), r["score"].alias("keyword_score"), r["pattern"].alias("pattern_score"), r["evidence"].alias("evidence"))
+
+    kind = "struct<is_circuit:boolean,confidence:double,keyword_score:double,pattern_score:double,evidence:array<string>>"
+    none = F.struct(F.lit(False), F.lit(0.0), F.lit(0.0), F.lit(0.0), F.array().cast("array<string>")).cast(kind)
+    return F.when(low == "", none).otherwise(let(let(seen, scored), judged))
 
 
 def context_analysis(contexts: Column, k: Keywords, w: Weights = Weights()) -> Column:
@@ -152,27 +155,25 @@ def context_analysis(contexts: Column, k: Keywords, w: Weights = Weights()) -> C
     texts = F.coalesce(contexts, F.array().cast("array<string>"))
 
     def one(c: Column) -> Column:
-        m = keyword_matches(c, k)
-        score = keyword_score(m, w) + _number(F.lower(F.coalesce(c, F.lit(""))), DESCRIBES) * F.lit(w.describes)
-        return F.struct(score.alias("score"), F.slice(m["primary"], 1, 2).alias("evidence"))
+        low = F.lower(F.coalesce(c, F.lit("")))
+        return let(keyword_matches(c, k), lambda m: F.struct((keyword_score(m, w) + _number(low, DESCRIBES) * F.lit(w.describes)).alias("score"), F.slice(m["primary"], 1, 2).alias("evidence")))
+
+    def judged(rows: Column) -> Column:
+        mean = F.aggregate(rows, F.lit(0.0), lambda s, r: s + r["score"]) / F.greatest(F.size(rows), F.lit(1))
+        confidence = F.least(F.lit(1.0), mean)
+        return F.struct((confidence >= w.context_threshold).alias("is_circuit"), confidence.alias("confidence"), F.size(rows).alias("context_count"), F.slice(F.flatten(F.transform(rows, lambda r: r["evidence"])), 1, 10).alias("evidence"))
 
-    rows = F.transform(texts, one)
-    mean = F.aggregate(rows, F.lit(0.0), lambda s, r: s + r["score"]) / F.greatest(F.size(texts), F.lit(1))
-    confidence = F.least(F.lit(1.0), mean)
-    return F.struct((confidence >= w.context_threshold).alias("is_circuit"), confidence.alias("confidence"), F.size(texts).alias("context_count"), F.slice(F.flatten(F.transform(rows, lambda r: r["evidence"])), 1, 10).alias("evidence"))
+    return let(F.transform(texts, one), judged)
 
 
 def detection(caption: Column, contexts: Column, k: Keywords, threshold: float = 0.35, w: Weights = Weights()) -> Column:
     """(is_circuit, confidence, caption_score, context_score): both weighted 0.6 and 0.4, or the one there is."""
     has_caption = F.coalesce(F.length(caption), F.lit(0)) > 0
     has_contexts = F.size(F.coalesce(contexts, F.array().cast("array<string>"))) > 0
-    a, b = caption_analysis(caption, k, w)["confidence"], context_analysis(contexts, k, w)["confidence"]
-    return F.transform(
-        F.array(F.struct(a.alias("a"), b.alias("b"))),
-        lambda s: _combined(s["a"], s["b"], has_caption, has_contexts, threshold),
-    )[0]
 
+    def combined(s: Column) -> Column:
+        a, b = s["a"]["confidence"], s["b"]["confidence"]
+        total = F.when(has_caption & has_contexts, F.lit(0.6) * a + F.lit(0.4) * b).when(has_caption, a).when(has_contexts, b).otherwise(0.0)
+        return F.struct((total >= threshold).alias("is_circuit"), total.alias("confidence"), a.alias("caption_score"), b.alias("context_score"))
 
-def _combined(a: Column, b: Column, has_caption: Column, has_contexts: Column, threshold: float) -> Column:
-    total = F.when(has_caption & has_contexts, F.lit(0.6) * a + F.lit(0.4) * b).when(has_caption, a).when(has_contexts, b).otherwise(0.0)
-    return F.struct((total >= threshold).alias("is_circuit"), total.alias("confidence"), a.alias("caption_score"), b.alias("context_score"))
+    return let(F.struct(caption_analysis(caption, k, w).alias("a"), context_analysis(contexts, k, w).alias("b")), combined)

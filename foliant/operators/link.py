@@ -85,11 +85,12 @@ def link_paragraphs(figures: DataFrame, paragraphs_: DataFrame) -> DataFrame:
 def contexts(figures: DataFrame, captions_: DataFrame, texts: DataFrame, window: int = 500) -> DataFrame:
     """Figures (with `refs`) and their `contexts`: the text around the caption of the number, on any page, then the paragraphs."""
     side = window // 2
-    found = link_captions(figures, captions_, use_page=False).withColumnRenamed("caption_info", "__c").join(texts, "arxiv_id", "left")
+    own = figures.withColumnRenamed("caption_info", "__own")
+    found = link_captions(own, captions_, use_page=False).withColumnRenamed("caption_info", "__c").join(texts, "arxiv_id", "left")
     low = F.greatest(F.lit(0), F.col("__c.start") - side)
     high = F.least(F.length("full_text"), F.col("__c.end") + side)
     around = F.when(F.col("__c").isNotNull(), F.array(F.substring(F.col("full_text"), low + 1, high - low))).otherwise(F.array().cast("array<string>"))
-    return found.withColumn("contexts", F.concat(around, F.transform("refs", lambda r: r["text"]))).drop("__c", "full_text")
+    return found.withColumn("contexts", F.concat(around, F.transform("refs", lambda r: r["text"]))).drop("__c", "full_text").withColumnRenamed("__own", "caption_info")
 
 
 def descriptions(linked: DataFrame, least: int = 20) -> DataFrame:

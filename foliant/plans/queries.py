@@ -222,8 +222,9 @@ def context_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {Y.cte('captions')}, {_SCORED} SELECT id, round(total, 6) AS confidence FROM both_scores WHERE total >= 0.35::DOUBLE")
 def circuit_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Combined detection, and only what is detected."""
-    rows = _captions(spark, sf_dir).withColumn("a", S.detection(F.col("caption"), F.col("contexts"), _K))
-    return rows.where("a.is_circuit").select("id", F.round("a.confidence", 6).alias("confidence"))
+    # one array of at most one row: detection isn't worked out again for the filter
+    found = F.filter(F.array(S.detection(F.col("caption"), F.col("contexts"), _K)), lambda d: d["is_circuit"])
+    return _captions(spark, sf_dir).select("id", F.explode(found).alias("a")).select("id", F.round("a.confidence", 6).alias("confidence"))
 
 
 # -- topics
