@@ -52,11 +52,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read back, so that lost executors cost no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def written(df: DataFrame, name: str, rows: int = 0) -> DataFrame:
+    """Cut the lineage: write to the shared folder and read back, so that lost executors cost no recomputation.
+
+    `rows` bounds the rows of an Arrow batch while this is computed, for wide rows.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        if rows:
+            spark.conf.set(key, str(rows))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:

@@ -236,7 +236,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     return out.withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that hold no window of any item, with their own columns."""
-    found = find_matches(docs.withColumn("__row", F.struct(*docs.columns)), benchmark, window)
-    return found.where(F.size("match_ranges") == 0).select("__row.*")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_col: str = "item_id", text: str = "text") -> DataFrame:
+    """The documents that hold no window of any item, with their own columns; null and empty texts stay."""
+    out = docs
+    for block in blocks(benchmark, item_col, text, window):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batch, shared=shared) -> dict:
+            return {"__clean": [not r for r in search([alnum_words(t) for t in column(batch, text)], shared.value)[0]]}
+
+        out = extend(out, "__clean boolean", run, text).where("__clean").drop("__clean")
+    return out

@@ -35,6 +35,8 @@ SLACK = 4.9
 BLOCK = 2048
 #: The same where full sets are at hand.
 SET_BLOCK = 512
+#: Rows of an Arrow batch where they hold texts, signatures or sets.
+WIDE = 1000
 
 
 @dataclass(frozen=True)
@@ -307,7 +309,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, similarity: Similarity, text: str)
         return {"node": batch.column(0), "items": [shingles(t, similarity.words, known).tobytes() for t in column(batch, "text")]}
 
     sets = map_rows(maybe.join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "node long, items binary", run)
-    return written(sets, "neardup-sets")
+    return written(sets, "neardup-sets", WIDE)
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, similarity: Similarity, text: str) -> DataFrame:
@@ -317,8 +319,8 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, similarity: Similarity, text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(column(batch, "x"), column(batch, "y"), strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                p, q = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
                 inter = _shared(p, q)
                 keep.append(similarity.linked(inter, len(p) + len(q) - inter))
             kept = pa.array(keep, pa.bool_())
@@ -363,7 +365,7 @@ def classes(docs: DataFrame, similarity: Similarity | None = None, text: str = "
     id and different texts stay apart unless their texts are linked.
     """
     similarity = similarity or Similarity()
-    signs = written(signed(docs, similarity, text), "neardup-signs")
+    signs = written(signed(docs, similarity, text), "neardup-signs", WIDE)
     nodes = written(signs.where("fp is not null").groupBy("fp").agg(F.min("key").alias("node"), F.min("doc_id").alias("first")), "neardup-fps")
     # one row a node; a repeated row has the same key, and the same signature
     of_nodes = signs.where("fp is not null").select("fp", F.col("key").alias("node"), "sig", "bands").join(nodes.select("fp", "node").hint("merge"), ["fp", "node"], "left_semi")
@@ -371,15 +373,15 @@ def classes(docs: DataFrame, similarity: Similarity | None = None, text: str = "
     members = written(_shared_buckets(of_nodes.select("node", F.posexplode("bands").alias("band", "bucket")).select("bucket", F.col("band").cast("long"), "node")), "neardup-members")
     # the members of shared buckets only: a small part of all signatures goes on
     signatures = written(of_nodes.select("node", "sig").join(members.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "neardup-sigs")
-    near = written(_nearest(_grouped(members, signatures), similarity), "neardup-near")
-    links = written(_confirmed(docs, near, similarity, text), "neardup-links")
+    near = written(_nearest(_grouped(members, signatures), similarity), "neardup-near", WIDE)
+    links = written(_confirmed(docs, near, similarity, text), "neardup-links", WIDE)
     found = written(components(links), "neardup-components")
     placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # a bucket inside one component needs no second look, nor does one of two nodes: its one pair was tested
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("n").alias("last")).where("x <> y and last > 1").select("bucket")
     placed = written(placed.join(mixed, "bucket", "left_semi"), "neardup-placed")
     payload = signatures.join(_sets(docs, placed.select("node").distinct(), similarity, text), "node")
-    more = written(_bridges(_grouped(placed, payload, SET_BLOCK), similarity), "neardup-more")
+    more = written(_bridges(_grouped(placed, payload, SET_BLOCK), similarity), "neardup-more", WIDE)
     if more.limit(1).count():
         found = written(components(links.unionByName(more)), "neardup-components")
     roots = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
