@@ -334,8 +334,9 @@ def fit(docs: DataFrame, learn: Column, text: str = "text") -> tuple[Model, Data
     local = written(_chunk_words(marked), "lm-words")
     counted = written(local.selectExpr("hash", "chunk", "ending", "sum(cast(n as bigint)) over (partition by hash) as c", "row_number() over (partition by hash order by chunk) = 1 as first"), "lm-counts")
     types = counted.where("first and c > 0")
-    top = types.orderBy(F.desc("c"), "hash").select("hash", "c").limit(FREQUENT).collect()
     tokens, kinds = types.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
+    # a share of one in a million or more: a million tokens at most, however many there are
+    top = types.where(F.col("c") * 1_000_000 >= tokens).orderBy(F.desc("c"), "hash").select("hash", "c").limit(FREQUENT).collect()
     known = F.broadcast(docs.sparkSession.createDataFrame([(r["hash"],) for r in top], "hash long"))  # FREQUENT rows at most
     rare = types.where("ending >= 0").join(known, "hash", "left_anti").groupBy("ending").agg(F.sum("c").alias("c"), F.count("c").alias("v")).collect()
     ending_tokens, ending_types = np.zeros(ENDINGS), np.zeros(ENDINGS)
@@ -364,7 +365,9 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _train(marked: DataFrame, model: Model) -> None:
     rows = marked.where("learn and text is not null").select("text", F.xxhash64("text").alias("h"))
-    sample = rows.where(F.length("text") <= WARM_CHARS).orderBy("h").limit(WARM_DOCS).select("text").collect()
+    # a few thousand rows by hash first, so that what is ordered doesn't grow with the input
+    few = F.pmod("h", F.lit(max(1, rows.count() // (4 * WARM_DOCS)))) == 0
+    sample = rows.where(few & (F.length("text") <= WARM_CHARS)).orderBy("h").limit(WARM_DOCS).select("text").collect()
     docs, hashes, endings = _encoded([r["text"] for r in sample])
     symbols, _ = model.symbol_of(hashes, endings)
     size = np.cumsum([len(d) for d in docs])
