@@ -2,8 +2,8 @@
 
 Text is normalised to lower-case words with one space between, so "CC BY-NC 4.0" reads
 "cc by nc 4 0". One rule a line: label | priority | keyword | pattern. A pattern must hold
-its keyword, which is looked for first. Of overlapping detections the higher priority prevails, and
-among equals the earlier rule: whatever lies within the words of a prevailing one is dropped.
+its keyword, which is looked for first. Of overlapping detections the higher priority prevails, then
+the one of more words, then the earlier rule: whatever lies within a prevailing one is dropped.
 Priorities: 9 full texts, 8 identifiers, 7 addresses, 6 names with version, 5 grants without a
 version, 4 bare names, 2 hints.
 """

@@ -70,7 +70,8 @@ def scan(docs: DataFrame, rules: list[dict] | None = None, text: str = "text") -
     keywords = sorted({r["keyword"] for r in rules})
     gate = reduce(lambda a, b: a | b, (words.contains(k) for k in keywords)) if keywords else F.lit(False)
     found = F.flatten(F.transform(F.filter(table, lambda r: F.contains(words, r["keyword"])), lambda r: _matches(words, r)))
-    outranks = lambda g, h: (g["priority"] > h["priority"]) | ((g["priority"] == h["priority"]) & (g["id"] < h["id"]))
+    rank = lambda h: F.struct(h["priority"], (h["end"] - h["start"]).alias("words"), -h["id"])
+    outranks = lambda g, h: rank(g) > rank(h)
     within = lambda g, h: (g["start"] <= h["start"]) & (g["end"] >= h["end"])
     out = docs.withColumn("__words", normalised(text))
     out = out.withColumn("n_words", (_spaces(words) - 1).cast("long")).withColumn("hits", F.when(gate, found).otherwise(F.array().cast(_HIT)))
