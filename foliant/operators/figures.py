@@ -49,6 +49,14 @@ def comprehensive(sources: list[DataFrame]) -> DataFrame:
     return renumbered(suppressed(distinct_images(united(*sources), order), ["arxiv_id", "page_number"], order), order)
 
 
+def drawing_boxes(drawings: DataFrame) -> DataFrame:
+    """One row a box of drawings (rect, or else items, an array of boxes): the rect if there is one, else each item with an area."""
+    solid = F.filter("items", lambda b: (b["x1"] > b["x0"]) & (b["y1"] > b["y0"]))
+    found = F.when(F.col("rect").isNotNull(), F.array("rect")).otherwise(F.coalesce(solid, F.array().cast(f"array<{BOX}>")))
+    others = [c for c in drawings.columns if c not in ("rect", "items")]
+    return drawings.select(*others, F.posexplode(found).alias("item_ord", "rect"))
+
+
 def busy_pages_dropped(drawings: DataFrame, most: int = 2000) -> DataFrame:
     """Drawings of pages with at most so many."""
     n = drawings.groupBy("arxiv_id", "page").count().where(F.col("count") > most)

@@ -613,15 +613,16 @@ def validate_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH e AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) || '.png' AS filename FROM documents WHERE doc_id % 3 <> 0), d AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) || '.png' AS filename FROM labels)
+WITH e AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) || '.png' AS filename FROM documents), d AS (SELECT DISTINCT CAST(doc_id * 2 AS VARCHAR) || '.png' AS filename FROM labels)
 SELECT filename, 'missing_file' AS error_type, 'error' AS severity FROM e ANTI JOIN d USING (filename)
 UNION ALL SELECT filename, 'orphan_file', 'warning' FROM d ANTI JOIN e USING (filename)
 UNION ALL SELECT filename, 'missing_file', 'error' FROM e ANTI JOIN d USING (filename)
 """)
 def orphan_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.concat(F.col("doc_id").cast("string"), F.lit(".png")).alias("filename")
-    entries = table(spark, sf_dir, "documents").where("doc_id % 3 <> 0").select(name).distinct()
-    disk = table(spark, sf_dir, "labels").select(name).distinct()
+    """Documents as entries, labels of doubled ids as files, so that both sides lack some."""
+    name = lambda c: F.concat(c.cast("string"), F.lit(".png")).alias("filename")
+    entries = table(spark, sf_dir, "documents").select(name(F.col("doc_id"))).distinct()
+    disk = table(spark, sf_dir, "labels").select(name(F.col("doc_id") * 2)).distinct()
     return Q.missing_files(entries, disk).unionByName(Q.orphan_findings(entries, disk)).select("filename", "error_type", "severity")
 
 

@@ -64,6 +64,12 @@ def test_regions_and_busy_pages(spark):
     assert [(r["page"], r["region_ord"], tuple(r["bbox"])) for r in found] == [(1, 1, (0.0, 0.0, 105.0, 50.0))]
 
 
+def test_boxes_of_drawings(spark):
+    rows = [("p", 0, (0.0, 0.0, 1.0, 1.0), [(5.0, 5.0, 6.0, 6.0)]), ("p", 1, None, [(2.0, 2.0, 3.0, 3.0), (4.0, 4.0, 4.0, 9.0), None]), ("p", 2, None, None)]
+    df = spark.createDataFrame(rows, f"arxiv_id string, draw_ord int, rect {BOX}, items array<{BOX}>")
+    assert [(r["draw_ord"], tuple(r["rect"])) for r in FG.drawing_boxes(df).orderBy("draw_ord").collect()] == [(0, (0.0, 0.0, 1.0, 1.0)), (1, (2.0, 2.0, 3.0, 3.0))]
+
+
 def test_comprehensive_extraction(spark):
     schema = f"arxiv_id string, fig_ord int, image binary, page_number int, bbox {BOX}"
     a = spark.createDataFrame([("p", 0, b"x", 1, (0.0, 50.0, 10.0, 60.0))], schema)
