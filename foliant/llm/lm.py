@@ -69,7 +69,7 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Record
 
     The same table, read in the same way, gives the same chunks.
     """
-    number = TaskContext.get().partitionId() << 12
+    number = TaskContext.get().partitionId() << 20
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index("text"))
         sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
