@@ -122,6 +122,16 @@ def extend(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], tex
     return df.mapInArrow(run, StructType([*old, *added]))
 
 
+def ends(items: Iterator) -> Iterator[tuple[object, bool]]:
+    """Each item, and whether it is the last; holds one item in advance."""
+    items = iter(items)
+    for held in items:
+        for item in items:
+            yield held, False
+            held = item
+        yield held, True
+
+
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

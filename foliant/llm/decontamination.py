@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, column, extend
+from .common import alnum_words, column, ends, extend
 
 #: Characters of benchmark text handled in one pass.
 BLOCK_CHARS = 4_000_000
@@ -187,7 +187,7 @@ def _merged(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[in
     return out
 
 
-def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_col: str = "item_id", text: str = "text") -> DataFrame:
+def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_col: str = "item_id", text: str = "text", keep_text: bool = True) -> DataFrame:
     """The documents with n_words, match_ranges, match_items and longest_match added.
 
     match_ranges are word ranges (end exclusive) covered by occurrences of windows of `window`
@@ -196,11 +196,12 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, it
     the number of words of the longest verbatim match with an item that holds the window.
     Null and empty texts have no words and no match; so do null items. Repeated documents are
     searched one by one; repeated items count once. An empty benchmark matches nothing.
-    Input columns are kept, except that new columns take the place of old ones of their name.
+    Input columns are kept, except that new columns take the place of old ones of their name, and
+    the texts if they aren't wanted any more.
     """
     fields = "n_words long, match_ranges array<struct<start:int,end:int>>, match_items array<string>, longest_match int"
 
-    def add(df: DataFrame, block: Block, first: bool) -> DataFrame:
+    def add(df: DataFrame, block: Block, first: bool, last: bool) -> DataFrame:
         shared = df.sparkSession.sparkContext.broadcast(block)
 
         def run(batch) -> dict:
@@ -217,12 +218,12 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, it
                 "longest_match": longest,
             }
 
-        return extend(df, fields, run, text)
+        return extend(df, fields, run, text, drop=() if keep_text or not last else (text,))
 
     out = None
-    for block in blocks(benchmark, item_col, text, window):
-        out = add(docs if out is None else out, block, out is None)
-    return add(docs, Block(window), True) if out is None else out
+    for block, last in ends(blocks(benchmark, item_col, text, window)):
+        out = add(docs if out is None else out, block, out is None, last)
+    return add(docs, Block(window), True, True) if out is None else out
 
 
 def sha256_of_items(items: list[str]) -> str:
@@ -230,9 +231,9 @@ def sha256_of_items(items: list[str]) -> str:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """find_matches with its digest: n_hit, n_items, items_sha256, contaminated."""
+    """find_matches without the texts, with its digest: n_hit, n_items, items_sha256, contaminated."""
     n_hit = F.aggregate("match_ranges", F.lit(0).cast("long"), lambda s, r: s + (r["end"] - r["start"]).cast("long"))
-    out = find_matches(docs, benchmark, window).withColumns({"n_hit": n_hit, "n_items": F.size("match_items").cast("long"), "items_sha256": F.sha2(F.array_join("match_items", ",").cast("binary"), 256)})
+    out = find_matches(docs, benchmark, window, keep_text=False).withColumns({"n_hit": n_hit, "n_items": F.size("match_items").cast("long"), "items_sha256": F.sha2(F.array_join("match_items", ",").cast("binary"), 256)})
     return out.withColumn("contaminated", F.col("n_hit") > 0)
 
 
