@@ -70,23 +70,23 @@ decoherence, relaxation time, table of, table showing, comparison of
 
 # Topics, each with the aliases that its rule (see `topics`) doesn't make.
 TOPICS = """
-Deutsch-Jozsa Algorithm: deutsch jozsa, deutsch-jozsa, constant vs balanced, DJ algorithm
-Bernstein-Vazirani Algorithm: bernstein vazirani, bernstein-vazirani, secret string finding, BV algorithm
+Deutsch-Jozsa Algorithm: constant vs balanced, DJ algorithm
+Bernstein-Vazirani Algorithm: secret string finding, BV algorithm
 Simon's Algorithm: simon algorithm, hidden subgroup, period finding
 Grover's Algorithm: grover, amplitude amplification, unstructured search, oracle search
 Shor's Algorithm: shor, prime factorization, order finding, modular exponentiation, period finding
 Quantum Phase Estimation (QPE): phase estimation, eigenvalue estimation, phase kickback, IPE
-Quantum Fourier Transform (QFT): quantum fourier transform, IQFT
-HHL Algorithm: HHL, harrow hassidim lloyd, linear systems, matrix inversion, quantum linear system
+Quantum Fourier Transform (QFT): IQFT
+HHL Algorithm: harrow hassidim lloyd, linear systems, matrix inversion, quantum linear system
 Quantum Counting: counting algorithm, approximate counting
 Quantum Amplitude Estimation (QAE): amplitude estimation
-Variational Quantum Eigensolver (VQE): variational quantum eigensolver, ground state energy, UCCSD, unitary coupled cluster
-Quantum Approximate Optimization (QAOA): quantum approximate optimization, maxcut, max-cut, combinatorial optimization, mixer hamiltonian, driver hamiltonian
+Variational Quantum Eigensolver (VQE): ground state energy, UCCSD, unitary coupled cluster
+Quantum Approximate Optimization (QAOA): maxcut, max-cut, combinatorial optimization, mixer hamiltonian, driver hamiltonian
 Variational Quantum Classifier (VQC): variational classifier, quantum classifier, circuit centric classifier
-Quantum Neural Network (QNN): quantum neural network, parameterized quantum circuit, PQC, quantum perceptron
+Quantum Neural Network (QNN): parameterized quantum circuit, PQC, quantum perceptron
 Hardware Efficient Ansatz: hardware efficient, HEA, entangling layers, ry-cnot, alternating layer
 Quantum Kernel Method: quantum kernel, kernel estimation, QSVM, quantum support vector machine, fidelity kernel
-Variational Autoencoder (QVAE): quantum autoencoder, variational autoencoder, compression circuit
+Variational Autoencoder (QVAE): quantum autoencoder, compression circuit
 Quantum Error Correction (General): error correction, QEC, syndrome measurement, stabilizer measurement, parity check
 Surface Code: toric code, lattice surgery, plaquette, star operator
 Repetition Code: bit flip code, phase flip code, majority vote, 3-qubit code
@@ -107,7 +107,7 @@ Oracle Implementation: oracle, black box, marking unitary
 Quantum Adder: ripple carry, draper qft adder, addition circuit
 Quantum Multiplier: multiplication circuit, karatsuba, arithmetic circuit
 Quantum Comparator: comparator, compare, greater than, less than
-Quantum RAM (QRAM): quantum ram, quantum memory, bucket brigade, fanout
+Quantum RAM (QRAM): quantum memory, bucket brigade, fanout
 Modular Exponentiation: mod exp, modular multiplier
 Hamiltonian Simulation: time evolution, trotter, trotterization, product formula
 Qubitization: quantum signal processing, QSP, block encoding
@@ -206,14 +206,22 @@ def gates() -> Vocabulary:
 
 
 def topics() -> Vocabulary:
-    """Topics with their aliases; a name's short form in brackets, if any, is an alias by rule.
+    """Topics with their aliases, listed or by rule.
 
-    Aliases that hold another alias of their topic as whole words would find nothing more and are left out. A
-    fuller list can be given with `Vocabulary.load`.
+    By rule, what stands before brackets and the short form inside are aliases; so is a name without
+    "Algorithm" (unless it is a possessive), with hyphens and with spaces. Aliases that hold another
+    alias of their topic as whole words would find nothing more and are left out. A fuller list can
+    be given with `Vocabulary.load`.
     """
-    listed = Vocabulary.parse(TOPICS)
-    short = re.compile(r"\(([A-Z]+)\)$")
-    return Vocabulary(tuple((c, (*aliases, *short.findall(c))) for c, aliases in listed.entries))
+
+    def made(name: str) -> list[str]:
+        bracket = re.fullmatch(r"(.+) \((\w+)\)", name)
+        if bracket:
+            return [bracket[1].lower(), *([bracket[2]] if bracket[2].isupper() else [])]
+        plain = name.removesuffix(" Algorithm")
+        return list(dict.fromkeys([plain.lower(), plain.lower().replace("-", " ")])) if plain != name and not plain.endswith("'s") else []
+
+    return Vocabulary(tuple((c, tuple(dict.fromkeys((*aliases, *made(c))))) for c, aliases in Vocabulary.parse(TOPICS).entries))
 
 
 def generic_patterns() -> list[tuple[str, str]]:
