@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, alnum_words, column, extend, slices, written
+from .common import alnum_words, arrow_schema, column, ends, extend, slices, written
 
 #: Kinds of spans, in order; the first four are the base.
 KINDS = ("email", "ip", "card", "phone", "key", "term")
@@ -206,16 +206,16 @@ def fit(docs: DataFrame, text: str = "text", threshold: float = GENERALISE, supp
     return Disclosure(kept, kept.count())
 
 
-def detect(docs: DataFrame, disclosure: Disclosure, text: str = "text") -> DataFrame:
+def detect(docs: DataFrame, disclosure: Disclosure, text: str = "text", keep_text: bool = True) -> DataFrame:
     """The documents with `pii` added: an array of (kind, start, end, disclosure) by start, then kind.
 
     Offsets are code points, ends exclusive. disclosure is 1 for entities. A null or empty text
     has no spans. Repeated documents are treated one by one. Input columns are kept, except that a
-    column named pii is replaced.
+    column named pii is replaced and the texts go if they aren't wanted any more.
     """
     fields = "pii array<struct<kind:string,start:long,end:long,disclosure:double>>"
 
-    def add(df: DataFrame, block: dict[str, dict[int, float]], first: bool) -> DataFrame:
+    def add(df: DataFrame, block: dict[str, dict[int, float]], first: bool, last: bool) -> DataFrame:
         shared = df.sparkSession.sparkContext.broadcast(block)
 
         def run(batch) -> dict:
@@ -231,11 +231,11 @@ def detect(docs: DataFrame, disclosure: Disclosure, text: str = "text") -> DataF
                 out.append([{"kind": KINDS[k], "start": a, "end": b, "disclosure": d} for (a, k, b), d in sorted(found.items())])
             return {"pii": out}
 
-        return extend(df, fields, run, text)
+        return extend(df, fields, run, text, drop=() if keep_text or not last else (text,))
 
     out = None
-    for block in disclosure.blocks():
-        out = add(docs if out is None else out, block, out is None)
+    for block, last in ends(disclosure.blocks()):
+        out = add(docs if out is None else out, block, out is None, last)
     return out
 
 

@@ -59,7 +59,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = privacy.digest(privacy.detect(docs, privacy.fit(docs)))
+    found = privacy.digest(privacy.detect(docs, privacy.fit(docs), keep_text=False))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
