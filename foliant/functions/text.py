@@ -13,20 +13,20 @@ PAGE_MARKER = r"\[PAGE (\d+)\]"
 
 # Caption, reference and section patterns, and words of section titles.
 CAPTIONS = (
-    r"(?i)Figure\s+(\d+)[.:]\s*[^\n]+(?:\n(?![A-Z])[^\n]+)*",
-    r"(?i)Fig\.?\s+(\d+)[.:]\s*[^\n]+(?:\n(?![A-Z])[^\n]+)*",
+    r"(?iuU)Figure\s+(\d+)[.:]\s*[^\n]+(?:\n(?![A-Z])[^\n]+)*",
+    r"(?iuU)Fig\.?\s+(\d+)[.:]\s*[^\n]+(?:\n(?![A-Z])[^\n]+)*",
 )
 REFERENCES = (
-    r"(?:[Ss]ee\s+)?[Ff]ig(?:ure)?\.?\s*(\d+)",
-    r"[Ff]ig(?:ure)?\.?\s*(\d+)\s+shows",
-    r"[Aa]s\s+shown\s+in\s+[Ff]ig(?:ure)?\.?\s*(\d+)",
-    r"[Ii]n\s+[Ff]ig(?:ure)?\.?\s*(\d+)",
-    r"\([Ff]ig(?:ure)?\.?\s*(\d+)\)",
+    r"(?U)(?:[Ss]ee\s+)?[Ff]ig(?:ure)?\.?\s*(\d+)",
+    r"(?U)[Ff]ig(?:ure)?\.?\s*(\d+)\s+shows",
+    r"(?U)[Aa]s\s+shown\s+in\s+[Ff]ig(?:ure)?\.?\s*(\d+)",
+    r"(?U)[Ii]n\s+[Ff]ig(?:ure)?\.?\s*(\d+)",
+    r"(?U)\([Ff]ig(?:ure)?\.?\s*(\d+)\)",
 )
 SECTIONS = (
-    r"(?m)^\d+\.?\s+[A-Z][^.\n]{5,50}$",
-    r"(?m)^[IVXLC]+\.?\s+[A-Z][^.\n]{5,50}$",
-    r"(?m)^[A-Z][a-z]+(?:\s+[A-Z][a-z]+){0,3}$",
+    r"(?mdU)^\d+\.?\s+[A-Z][^.\n]{5,50}$",
+    r"(?mdU)^[IVXLC]+\.?\s+[A-Z][^.\n]{5,50}$",
+    r"(?mdU)^[A-Z][a-z]+(?:\s+[A-Z][a-z]+){0,3}$",
 )
 TITLE_WORDS = ("introduction", "method", "result", "conclusion", "abstract", "reference", "background", "discussion", "related work")
 

@@ -159,6 +159,33 @@ def test_references_count_for_each_pattern(spark):
     assert [r["figure_number"] for r in found] == [3, 3, 3, 3]
 
 
+def plain_page(text, at):
+    pages = [int(m[1]) for m in re.finditer(r"\[PAGE (\d+)\]", text[: at + 50])]
+    return pages[-1] if pages else 1
+
+
+def test_captions_and_references_agree_with_a_plain_search(spark, sf_dir):
+    from foliant.plans import queries as Q
+
+    texts = {r["arxiv_id"]: r["full_text"] for r in Q._caption_texts(spark, sf_dir).collect()}
+    captions, references = [], []
+    for paper, text in texts.items():
+        seen = set()
+        for p in T.CAPTIONS:
+            for m in re.finditer(p.removeprefix("(?iuU)"), text, re.IGNORECASE | re.MULTILINE):
+                key = (int(m[1]), plain_page(text, m.start()))
+                if key not in seen:
+                    seen.add(key)
+                    captions.append((paper, *key, m.start(), m.end(), m[0].strip()))
+        for p in T.REFERENCES:
+            for m in re.finditer(p.removeprefix("(?U)"), text):
+                context = re.sub(r"\s+", " ", text[max(0, m.start() - 100) : m.end() + 200].strip())
+                references.append((paper, int(m[1]), plain_page(text, m.start()), m.start(), m.end(), context))
+    assert len(captions) > 5 and len(references) > 50
+    assert sorted(tuple(r) for r in Q.caption_extract(spark, sf_dir).collect()) == sorted(captions)
+    assert sorted(tuple(r) for r in Q.reference_extract(spark, sf_dir).collect()) == sorted(references)
+
+
 def test_find(spark):
     assert text(spark, lambda c: T.find(c, F.lit("cd")), "abcd") == (2, 4)
     assert text(spark, lambda c: T.find(c, F.lit("x")), "abcd") is None
