@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,24 +54,48 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str, rows: int = 0) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read back, so that lost executors cost no recomputation.
-
-    `rows` bounds the rows of an Arrow batch while this is computed, for wide rows.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Bounds the rows of Arrow batches in what is computed meanwhile, for wide rows; 0 leaves them as they are."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
     try:
         if rows:
             spark.conf.set(key, str(rows))
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(key, before)
+
+
+def written(df: DataFrame, name: str, parts: int = 0) -> DataFrame:
+    """Cut the lineage: write to the shared folder and read back, so that lost executors cost no recomputation.
+
+    `parts` bounds the number of files, for tables known to be small.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    (df.coalesce(parts) if parts else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Held:
+    """Frames held on the executors' disks while they are used more than once.
+
+    What a lost executor held is computed again, from the tables that were written before.
+    """
+
+    def __init__(self) -> None:
+        self.frames: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.frames.append(df.persist(StorageLevel.DISK_ONLY))
+        return self.frames[-1]
+
+    def release(self) -> None:
+        while self.frames:
+            self.frames.pop().unpersist()
+
+
 def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut an Arrow batch into pieces of bounded rows and characters."""
     sizes = pa.compute.binary_length(batch.column(batch.schema.get_field_index(text))).to_pylist()

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, arrow_schema, column, map_rows, slices, utf8, written
+from .common import LOWER, arrow_schema, batches_of, column, map_rows, utf8, written
 
 #: Minima in a signature.
 HASHES = 252
@@ -35,6 +35,8 @@ SLACK = 4.9
 BLOCK = 2048
 #: The same where full sets are at hand.
 SET_BLOCK = 512
+#: Rows of narrow tables in a file; of signatures; of sets; of pairs that are still to be made or confirmed.
+EDGES, SIGNS_A_FILE, SETS_A_FILE, PAIRS_A_FILE = 500_000, 25_000, 5_000, 20_000
 #: Rows of an Arrow batch where they hold texts, signatures or sets.
 WIDE = 1000
 
@@ -294,12 +296,12 @@ def _shared(p: np.ndarray, q: np.ndarray) -> int:
     return int(np.count_nonzero(q[at] == p))
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, similarity: Similarity, text: str) -> DataFrame:
+def _sets(docs: DataFrame, nodes: DataFrame, similarity: Similarity, text: str, parts: int) -> DataFrame:
     """(node, items) for distinct nodes, from their texts.
 
     Hashes of the nodes, 2^20 rows at most, are broadcast to drop other texts before the join.
     """
-    nodes = written(nodes, "neardup-nodes")
+    nodes = written(nodes, "neardup-nodes", parts)
     short = F.pmod("node", F.lit(1 << 20)).cast("int").alias("short")
     rows = docs.select(F.xxhash64("doc_id", text).alias("node"), F.col(text).alias("text"))
     maybe = rows.withColumn("short", short).join(F.broadcast(nodes.select(short).distinct()), "short", "left_semi").drop("short")
@@ -309,7 +311,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, similarity: Similarity, text: str)
         return {"node": batch.column(0), "items": [shingles(t, similarity.words, known).tobytes() for t in column(batch, "text")]}
 
     sets = map_rows(maybe.join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "node long, items binary", run)
-    return written(sets, "neardup-sets", WIDE)
+    return written(sets, "neardup-sets", nodes.count() // SETS_A_FILE + 1)
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, similarity: Similarity, text: str) -> DataFrame:
@@ -326,7 +328,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, similarity: Similarity, text:
             kept = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(kept) for k in (0, 1)], schema=out)
 
-    sets = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), similarity, text)
+    sets = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), similarity, text, pairs.count() // EDGES + 1)
     x = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     y = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     return pairs.hint("merge").join(x, "a").join(y.hint("merge"), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
@@ -335,9 +337,11 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, similarity: Similarity, text:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of all nodes that have a link (a, b); component is the smallest node reachable.
 
-    Alternates large-star and small-star until nothing changes; each round is written to the shared folder.
+    Alternates large-star and small-star until nothing changes; each round is written to the
+    shared folder, in files of about EDGES links.
     """
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "stars")
+    parts = links.count() // EDGES + 1
+    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "stars", parts)
     known = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -345,7 +349,7 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
-        edges = written(small.where("u <> v").distinct(), "stars")
+        edges = written(small.where("u <> v").distinct(), "stars", parts)
         state = edges.agg(F.count("u"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0))).first()
         if state == known:
             break
@@ -364,32 +368,44 @@ def classes(docs: DataFrame, similarity: Similarity | None = None, text: str = "
     ids: that the component is null), so repeated rows are kept or dropped alike. Documents of one
     id and different texts stay apart unless their texts are linked.
     """
-    similarity = similarity or Similarity()
-    signs = written(signed(docs, similarity, text), "neardup-signs", WIDE)
-    nodes = written(signs.where("fp is not null").groupBy("fp").agg(F.min("key").alias("node"), F.min("doc_id").alias("first")), "neardup-fps")
+    with batches_of(docs.sparkSession, WIDE):
+        signs, of_fp = _classes(docs, similarity or Similarity(), text)
+    out = signs.select("doc_id", "key", "n_shingles", "fp").join(of_fp, "fp", "left")
+    component = F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _classes(docs: DataFrame, similarity: Similarity, text: str) -> tuple[DataFrame, DataFrame]:
+    """Signatures of all documents, and the component of each fingerprint; both written.
+
+    Every step is a table in the shared folder, of files sized by its rows.
+    """
+    signs = written(signed(docs, similarity, text), "neardup-signs")
+    n = signs.count()
+    nodes = written(signs.where("fp is not null").groupBy("fp").agg(F.min("key").alias("node"), F.min("doc_id").alias("first")), "neardup-fps", n // EDGES + 1)
     # one row a node; a repeated row has the same key, and the same signature
     of_nodes = signs.where("fp is not null").select("fp", F.col("key").alias("node"), "sig", "bands").join(nodes.select("fp", "node").hint("merge"), ["fp", "node"], "left_semi")
-    of_nodes = written(of_nodes, "neardup-of-nodes")
-    members = written(_shared_buckets(of_nodes.select("node", F.posexplode("bands").alias("band", "bucket")).select("bucket", F.col("band").cast("long"), "node")), "neardup-members")
+    of_nodes = written(of_nodes, "neardup-of-nodes", n // SIGNS_A_FILE + 1)
+    bands = of_nodes.select("node", F.posexplode("bands").alias("band", "bucket")).select("bucket", F.col("band").cast("long"), "node")
+    members = written(_shared_buckets(bands), "neardup-members", n * (HASHES // similarity.rows) // EDGES + 1)
+    m = members.count()
     # the members of shared buckets only: a small part of all signatures goes on
-    signatures = written(of_nodes.select("node", "sig").join(members.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "neardup-sigs")
-    near = written(_nearest(_grouped(members, signatures), similarity), "neardup-near", WIDE)
-    links = written(_confirmed(docs, near, similarity, text), "neardup-links", WIDE)
-    found = written(components(links), "neardup-components")
+    signatures = of_nodes.select("node", "sig").join(members.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"])
+    signatures = written(signatures, "neardup-sigs", n // SIGNS_A_FILE + 1)
+    near = written(_nearest(_grouped(members, signatures), similarity), "neardup-near", m // PAIRS_A_FILE + 1)
+    links = written(_confirmed(docs, near, similarity, text), "neardup-links", near.count() // PAIRS_A_FILE + 1)
+    found = components(links)
     placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # a bucket inside one component needs no second look, nor does one of two nodes: its one pair was tested
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("n").alias("last")).where("x <> y and last > 1").select("bucket")
-    placed = written(placed.join(mixed, "bucket", "left_semi"), "neardup-placed")
-    payload = signatures.join(_sets(docs, placed.select("node").distinct(), similarity, text), "node")
-    more = written(_bridges(_grouped(placed, payload, SET_BLOCK), similarity), "neardup-more", WIDE)
-    if more.limit(1).count():
-        found = written(components(links.unionByName(more)), "neardup-components")
+    placed = written(placed.join(mixed, "bucket", "left_semi"), "neardup-placed", m // EDGES + 1)
+    payload = signatures.join(_sets(docs, placed.select("node").distinct(), similarity, text, m // EDGES + 1), "node")
+    more = written(_bridges(_grouped(placed, payload, SET_BLOCK), similarity), "neardup-more", placed.count() // PAIRS_A_FILE + 1)
+    if more.count():
+        found = components(links.unionByName(more))
     roots = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = roots.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_fp = roots.join(named, "component").select("fp", "component_id")
-    out = signs.select("doc_id", "key", "n_shingles", "fp").join(of_fp, "fp", "left")
-    component = F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return signs, written(roots.join(named, "component").select("fp", "component_id"), "neardup-classes", n // EDGES + 1)
 
 
 def deduplicate(docs: DataFrame, similarity: Similarity | None = None, text: str = "text") -> DataFrame:
@@ -397,8 +413,18 @@ def deduplicate(docs: DataFrame, similarity: Similarity | None = None, text: str
 
     Rows with a null id are kept once per class of such rows. Texts without words are all kept, repeated rows of them once.
     """
-    flags = classes(docs, similarity, text).where("kept").select(F.col("key").alias("__key"), F.col("component_id").alias("__c"), F.col("n_shingles").alias("__n"))
+    found = classes(docs, similarity, text)
+    parts = docs.count() // EDGES + 1
+    flags = written(found.select(F.col("key").alias("__key"), F.col("component_id").alias("__c"), F.col("n_shingles").alias("__n"), "kept"), "neardup-flags", parts)
     # of rows with a null id, or of one id and several linked texts, one key stands for the class
-    one = flags.groupBy("__c", F.when(F.col("__n") == 0, F.col("__key")).when(F.col("__c").isNull(), F.col("__key")).alias("__apart")).agg(F.min("__key").alias("__key")).select("__key")
-    rows = docs.withColumn("__key", F.xxhash64("doc_id", text))
-    return rows.join(one.hint("merge"), "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    apart = F.when(F.col("__n") == 0, F.col("__key")).when(F.col("__c").isNull(), F.col("__key")).alias("__apart")
+    one = written(flags.where("kept").groupBy("__c", apart).agg(F.min("__key").alias("__key")).select("__key"), "neardup-kept", parts)
+    # rows whose key is kept and comes once stay without a shuffle: only those that share a short hash, of 2^20
+    # at most, with a dropped or repeated key are looked up
+    short = F.pmod("__key", F.lit(1 << 20)).cast("int").alias("__short")
+    counts = flags.groupBy("__key").agg(F.count("*").alias("__n")).join(one.select("__key", F.lit(True).alias("__kept")).hint("merge"), "__key", "left")
+    doubtful = F.broadcast(written(counts.where("__kept is null or __n > 1").select(short).distinct(), "neardup-doubtful", 1))
+    rows = docs.withColumn("__key", F.xxhash64("doc_id", text)).withColumn("__short", short)
+    sure = rows.join(doubtful, "__short", "left_anti").select(*docs.columns)
+    looked_up = rows.join(doubtful, "__short", "left_semi").join(one.hint("merge"), "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    return sure.unionByName(looked_up)
