@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, arrow_schema, column, ends, extend, slices, written
+from .common import Held, alnum_words, arrow_schema, column, ends, extend, slices, written
 
 #: Kinds of spans, in order; the first four are the base.
 KINDS = ("email", "ip", "card", "phone", "key", "term")
@@ -38,6 +38,8 @@ GENERALISE, REMOVE = 0.8, 0.95
 BITS = 1 << 20
 #: Terms whose counts a task holds before it passes them on.
 TERMS_HELD = 500_000
+#: Terms in a file of the table of revealing ones.
+ROWS_A_FILE = 500_000
 #: Revealing terms handled in one pass over the documents.
 BLOCK_TERMS = 200_000
 
@@ -189,21 +191,26 @@ class Disclosure:
 
 def fit(docs: DataFrame, text: str = "text", threshold: float = GENERALISE, support: int = SUPPORT) -> Disclosure:
     """Estimate disclosures from all documents; terms below `threshold` or `support` are left out."""
-    near = written(_near(docs, text), "pii-near")
-    kinds = {r["kind"]: r["n"] for r in near.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    terms = near.groupBy("term", "kind").agg(F.sum("n").alias("near"), F.count("value").alias("values")).where(F.col("values") >= support)
-    marked = [r["b"] for r in terms.select((F.crc32(F.col("term").cast("binary")) % BITS).cast("int").alias("b")).distinct().collect()]  # BITS at most
-    bitmap = np.zeros(BITS, bool)
-    bitmap[marked] = True
-    counts = written(_occurrences(docs, bitmap, text), "pii-terms")
-    total = counts.where("term = ''").agg(F.sum("n")).first()[0] or 0
-    if not kinds or not total:
-        return Disclosure(terms.select("term", "kind", F.lit(0.0).alias("disclosure")).limit(0), 0)
-    prior = F.create_map(*(F.lit(x) for k, n in kinds.items() for x in (k, min(n / total, 0.5))))
-    share = F.least(F.col("near") / F.col("n"), F.lit(1.0))
-    scored = terms.hint("merge").join(counts, "term").select("term", "kind", (F.log(share / prior[F.col("kind")]) / -F.log(prior[F.col("kind")])).alias("disclosure"))
-    kept = written(scored.where(F.col("disclosure") >= threshold), "pii-disclosure")
-    return Disclosure(kept, kept.count())
+    held = Held()
+    try:
+        near = held(_near(docs, text))
+        parts = near.count() // ROWS_A_FILE + 1
+        kinds = {r["kind"]: r["n"] for r in near.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+        terms = near.groupBy("term", "kind").agg(F.sum("n").alias("near"), F.count("value").alias("values")).where(F.col("values") >= support)
+        marked = [r["b"] for r in terms.select((F.crc32(F.col("term").cast("binary")) % BITS).cast("int").alias("b")).distinct().collect()]  # BITS at most
+        bitmap = np.zeros(BITS, bool)
+        bitmap[marked] = True
+        counts = held(_occurrences(docs, bitmap, text))
+        total = counts.where("term = ''").agg(F.sum("n")).first()[0] or 0
+        if not kinds or not total:
+            return Disclosure(docs.sparkSession.createDataFrame([], "term string, kind int, disclosure double"), 0)
+        prior = F.create_map(*(F.lit(x) for k, n in kinds.items() for x in (k, min(n / total, 0.5))))
+        share = F.least(F.col("near") / F.col("n"), F.lit(1.0))
+        scored = terms.hint("merge").join(counts, "term").select("term", "kind", (F.log(share / prior[F.col("kind")]) / -F.log(prior[F.col("kind")])).alias("disclosure"))
+        kept = written(scored.where(F.col("disclosure") >= threshold), "pii-disclosure", parts)
+        return Disclosure(kept, kept.count())
+    finally:
+        held.release()
 
 
 def detect(docs: DataFrame, disclosure: Disclosure, text: str = "text", keep_text: bool = True) -> DataFrame:
