@@ -331,7 +331,7 @@ def fit(docs: DataFrame, learn: Column, text: str = "text") -> tuple[Model, Data
     STRIDE of its training documents, whole; their networks are averaged by tokens.
     """
     marked = docs.select(F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    local = written(_chunk_words(marked), "lm-words")
+    local = _chunk_words(marked)
     counted = written(local.selectExpr("hash", "chunk", "ending", "sum(cast(n as bigint)) over (partition by hash) as c", "row_number() over (partition by hash order by chunk) = 1 as first"), "lm-counts")
     types = counted.where("first and c > 0")
     tokens, kinds = types.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
