@@ -1,15 +1,18 @@
 """Quality rules: a base filter and a hashed n-gram log-likelihood ratio.
 
 Two multinomials over 2^18 hashed word uni- and bigrams are counted, one over the trusted target
-documents and one over the whole raw corpus. A document's score is the mean, over its n-grams, of
-log((t + s) / (e + s)), where t is the bucket's target count, e the count expected if the
-target were drawn from the raw corpus, and s a pseudo-count that draws thin buckets to 0. Every
-document is kept or rejected by a fixed threshold; nothing is drawn at random.
+texts and one over all texts of the raw corpus, each distinct text once however often it is copied.
+A document's score is the mean, over its n-grams, of log((t + s) / (e + s)), where t is the
+bucket's target count, e the count expected if the target were drawn from the raw corpus, and s a
+pseudo-count that draws thin buckets to 0. The scored text's own n-grams are left out of all
+counts, so a score says what other texts say. Every document is kept or rejected by a fixed
+threshold; nothing is drawn at random.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
@@ -17,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, column, extend, map_rows, slices, utf8
+from .common import LOWER, column, extend, map_rows, slices, utf8, written
 
 BUCKETS = 1 << 18
 PSEUDO = 2.0
@@ -70,12 +73,36 @@ def bucket_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out
 
 
-def ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Shrunk log ratio a bucket; all 0 where there is no target."""
-    if not target.sum() or not raw.sum():
-        return np.zeros(BUCKETS, np.float32)
-    expected = raw * (target.sum() / raw.sum())
-    return np.log((target + PSEUDO) / (expected + PSEUDO)).astype(np.float32)
+@dataclass
+class Ratios:
+    """Bucket counts of the raw corpus and of the target, with their sums."""
+
+    raw: np.ndarray
+    target: np.ndarray
+    n_raw: float
+    n_target: float
+
+    def means(self, buckets: np.ndarray) -> tuple[float, float]:
+        """Mean shrunk log ratio of a text's n-grams without its own counts: if the text isn't in the target, and if it is.
+
+        0 where nothing else is left in the corpus or in the target.
+        """
+        if not len(buckets):
+            return 0.0, 0.0
+        met, n = np.unique(buckets, return_counts=True)
+        raw, n_raw = self.raw[met] - n, self.n_raw - len(buckets)
+
+        def mean(target: np.ndarray, n_target: float) -> float:
+            if n_raw <= 0 or n_target <= 0:
+                return 0.0
+            return float(n @ np.log((target + PSEUDO) / (raw * (n_target / n_raw) + PSEUDO))) / len(buckets)
+
+        target = self.target[met]
+        return mean(target, self.n_target), mean(np.maximum(target - n, 0), self.n_target - len(buckets))
+
+
+def ratios(raw: np.ndarray, target: np.ndarray) -> Ratios:
+    return Ratios(raw, target, float(raw.sum()), float(target.sum()))
 
 
 def base_stats(text: str | None, words: list[bytes]) -> tuple[int, int, int, int]:
@@ -107,40 +134,44 @@ def base_stats(text: str | None, words: list[bytes]) -> tuple[int, int, int, int
     return chars, symbols, dup, repeated
 
 
-def judge(text: str | None, weights: np.ndarray, known: dict[bytes, int], threshold: float) -> tuple:
-    """n_words, the base statistics, base_failed, llr and kept of one text."""
+def judge(text: str | None, weights: Ratios, known: dict[bytes, int], threshold: float) -> tuple:
+    """n_words, the base statistics and base_failed of one text; then llr and kept if it isn't in the target, and if it is."""
     words = utf8(text).split()
     stats = base_stats(text, words)
     lower = utf8(text).translate(LOWER).split()
-    llr = float(weights[gram_buckets(_word_hashes(lower, known))].mean(dtype=np.float64)) if words else 0.0
     failed = len(words) < 50 or 100 * stats[3] > 50 * len(words)
-    return len(words), *stats, failed, llr, not failed and llr >= threshold
+    found = weights.means(gram_buckets(_word_hashes(lower, known)) if words else np.zeros(0, np.uint32))
+    return len(words), *stats, failed, *(x for llr in found for x in (llr, not failed and llr >= threshold))
 
 
-def score(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: base statistics, base_failed, llr and kept.
+def score(docs: DataFrame, weights: Ratios, trusted: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document of the corpus that was fitted: base statistics, base_failed, llr and kept.
 
     A null or empty text has no words, llr 0 and fails the base filter. A document of one word
     has one n-gram. Ties with the threshold are kept. Repeated rows and ids are judged one by
-    one; other columns are ignored.
+    one; other columns are ignored. Texts are judged for either case of being in the target, so
+    that only the narrow results are joined with the table of trusted texts.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr_out", "kept_out", "llr_in", "kept_in")
 
     def run(batch) -> dict:
         known: dict[bytes, int] = {}
         rows = [judge(t, shared.value, known, threshold) for t in batch.column(1).to_pylist()]
-        return dict(zip(names, zip(*rows, strict=True), strict=True)) | {id_col: batch.column(0)}
+        return dict(zip(names, zip(*rows, strict=True), strict=True)) | {id_col: batch.column(0), "h": batch.column(2)}
 
-    schema = f"{id_col} {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr double, kept boolean"
-    return map_rows(docs.select(F.col(id_col), F.col(text).alias("text")), schema, run)
+    schema = f"{id_col} {kind}, h long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr_out double, kept_out boolean, llr_in double, kept_in boolean"
+    judged = map_rows(docs.select(F.col(id_col), F.col(text).alias("text"), F.xxhash64(text).alias("h")), schema, run)
+    chosen = [F.when(F.col("inside"), F.col(f"{c}_in")).otherwise(F.col(f"{c}_out")).alias(c) for c in ("llr", "kept")]
+    return judged.join(trusted.withColumn("inside", F.lit(True)), "h", "left").select(id_col, *names[:6], *chosen)
 
 
 def keep_flags(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Fit on all documents, with those labelled good and not toxic as the target, and score all."""
-    return score(docs, fit(docs, labels), threshold)
+    trusted = trusted_hashes(docs, labels)
+    return score(docs, fit(docs, trusted), trusted, threshold)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -161,16 +192,53 @@ def trusted_docs(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return maybe.join(ids.hint("merge"), "doc_id", "left_semi")
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    return ratios(bucket_counts(docs), bucket_counts(trusted_docs(docs, labels)))
+def trusted_hashes(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Hashes (h) of the texts that some trusted id has; each once. No text is shuffled."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"))
+    return written(rows.join(trusted_ids(labels).hint("merge"), "doc_id", "left_semi").select("h").distinct(), "quality-trusted")
+
+
+def _short(h: str):
+    return F.pmod(F.col(h), F.lit(1 << 20)).cast("int")
+
+
+def _may_be_in(rows: DataFrame, hashes: DataFrame, how: str) -> DataFrame:
+    """Rows whose shortened hash is (left_semi) or isn't (left_anti) among those of `hashes`, of which at most 2^20 are broadcast."""
+    return rows.withColumn("s", _short("h")).join(F.broadcast(hashes.select(_short("h").alias("s")).distinct()), "s", how).drop("s")
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """Each text of the documents once. Only texts that may be copies are shuffled, one of each a task."""
+    rows = docs.select("text", F.xxhash64("text").alias("h"))
+    copied = written(rows.groupBy("h").count().where("count > 1").select("h"), "quality-copied")
+    once, again = _may_be_in(rows, copied, "left_anti"), _may_be_in(rows, copied, "left_semi")
+    return once.union(again.dropDuplicates(["h"])).select("text")
+
+
+def target_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Each trusted text once. The join isn't a semi-join, which the optimizer would move before the copies are dropped."""
+    rows = docs.select("text", F.xxhash64("text").alias("h"))
+    return _may_be_in(rows, trusted, "left_semi").dropDuplicates(["h"]).join(trusted.hint("merge"), "h").select("text")
+
+
+def fit(docs: DataFrame, trusted: DataFrame) -> Ratios:
+    return ratios(bucket_counts(distinct_texts(docs)), bucket_counts(target_texts(docs, trusted)))
 
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that are kept, with their own columns; judged as in `score`, row by row."""
-    weights = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    """The documents that are kept, with their own columns; judged as in `score`, row by row.
+
+    Texts are shuffled only where it makes a difference whether they are in the target.
+    """
+    trusted = trusted_hashes(docs, labels)
+    weights = docs.sparkSession.sparkContext.broadcast(fit(docs, trusted))
 
     def run(batch) -> dict:
         known: dict[bytes, int] = {}
-        return {"__kept": [judge(t, weights.value, known, threshold)[-1] for t in column(batch, "text")]}
+        found = [judge(t, weights.value, known, threshold) for t in column(batch, "text")]
+        return {"__out": [x[-3] for x in found], "__in": [x[-1] for x in found]}
 
-    return extend(docs, "__kept boolean", run).where("__kept").drop("__kept")
+    judged = extend(docs.withColumn("__h", F.xxhash64("text")), "__out boolean, __in boolean", run)
+    same = judged.where("__out and __in")
+    either = judged.where("__out != __in").join(trusted.select(F.col("h").alias("__h"), F.lit(True).alias("__t")).hint("merge"), "__h", "left")
+    return same.select(*docs.columns).union(either.where("if(__t is not null, __in, __out)").select(*docs.columns))

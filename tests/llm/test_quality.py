@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -74,3 +75,41 @@ def test_odd_tables(spark):
     kept = quality.keep(docs.withColumnRenamed("kept", "n_words"), labels)
     assert kept.columns == ["doc_id", "text", "n_words"] and kept.count() == sum(r["kept"] for r in out)
     assert quality.keep_flags(docs.limit(0), labels).count() == 0
+
+
+def copied(copies, seed=9):
+    """Clean prose with labels for most, and one clean unlabelled text many times."""
+    rng = random.Random(seed)
+    prose = lambda: " ".join(f"word{min(rng.randrange(300), rng.randrange(300))}" for _ in range(120))
+    rows = [(i, prose()) for i in range(200)]
+    labels = [(i, 1, 0) for i in range(120)]
+    text = prose()
+    return rows + [(1000 + i, text) for i in range(copies)], labels
+
+
+def test_copies_without_labels_are_judged_like_one(spark):
+    got = {}
+    for copies in (1, 1000):
+        rows, labels = copied(copies)
+        docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        found = [r for r in quality.keep_flags(docs, marks).collect() if r["doc_id"] >= 1000]
+        assert len(found) == copies and all(r["kept"] for r in found)
+        got[copies] = {round(r["llr"], 9) for r in found}
+        assert quality.keep(docs, marks).where("doc_id >= 1000").count() == copies
+    assert got[1] == got[1000] and len(got[1]) == 1
+
+
+def test_own_counts_are_left_out(spark):
+    rows, labels = copied(3)
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r["llr"] for r in quality.keep_flags(docs, marks).collect()}
+    grams = lambda t: quality.gram_buckets(quality._word_hashes(t.encode().translate(quality.LOWER).split(), {}))
+    texts, good = dict(rows), {i for i, _, _ in labels}
+    for own in (5, 150, 1001):
+        raw, target = quality.np.zeros(quality.BUCKETS), quality.np.zeros(quality.BUCKETS)
+        for text in set(texts.values()) - {texts[own]}:
+            quality.np.add.at(raw, grams(text), 1)
+        for i in good - {own}:
+            quality.np.add.at(target, grams(texts[i]), 1)
+        w = quality.np.log((target + quality.PSEUDO) / (raw * (target.sum() / raw.sum()) + quality.PSEUDO))
+        assert found[own] == pytest.approx(w[grams(texts[own])].mean())
