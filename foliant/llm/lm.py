@@ -41,8 +41,6 @@ HIDDEN = 24
 WINDOW, SIDE = 32, 64
 #: Tokens, and documents, of the sample that warms the network up, at most; and characters of one of these.
 WARM_TOKENS, WARM_DOCS, WARM_CHARS = 300_000, 600, 20_000
-#: Of every so many training documents one trains a task's copy of the network.
-STRIDE = 24
 #: States kept before the outputs are evaluated.
 BUFFER = 131_072
 #: Stands for the hash of the end token; words' hashes are positive.
@@ -323,14 +321,14 @@ def _encoded(texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray, np.
     return docs, np.array([END, *map(_hash, words)], np.int64), np.array([-1, *map(_ending, words)], np.int64)
 
 
-def fit(docs: DataFrame, learn: Column, text: str = "text") -> tuple[Model, DataFrame]:
+def fit(docs: DataFrame, learn: Column, text: str = "text", id_col: str = "doc_id") -> tuple[Model, DataFrame]:
     """The model, and the corpus counts that scoring needs: (chunk, hash, c) of each word that a chunk has.
 
     Counts, N, V and the shares of endings are over all rows of `learn`. The network is warmed up
-    on a sample bounded by WARM_TOKENS and then trained by all tasks side by side, each on one of
-    STRIDE of its training documents, whole; their networks are averaged by tokens.
+    on a sample bounded by WARM_TOKENS and then trained by all tasks side by side, each on all of its
+    training documents, whole; their networks are averaged by tokens.
     """
-    marked = docs.select(F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    marked = docs.select(F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"), F.xxhash64(id_col, text).alias("h"))
     local = _chunk_words(marked)
     counted = written(local.selectExpr("hash", "chunk", "ending", "sum(cast(n as bigint)) over (partition by hash) as c", "row_number() over (partition by hash order by chunk) = 1 as first"), "lm-counts")
     types = counted.where("first and c > 0")
@@ -364,8 +362,8 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _train(marked: DataFrame, model: Model) -> None:
-    rows = marked.where("learn and text is not null").select("text", F.xxhash64("text").alias("h"))
-    # a few thousand rows by hash first, so that what is ordered doesn't grow with the input
+    rows = marked.where("learn and text is not null").select("text", "h")
+    # a few thousand rows by hash of id and text first, so that what is ordered doesn't grow with the input and copies come in by their share
     few = F.pmod("h", F.lit(max(1, rows.count() // (4 * WARM_DOCS)))) == 0
     sample = rows.where(few & (F.length("text") <= WARM_CHARS)).orderBy("h").limit(WARM_DOCS).select("text").collect()
     docs, hashes, endings = _encoded([r["text"] for r in sample])
@@ -386,7 +384,7 @@ def _train(marked: DataFrame, model: Model) -> None:
             yield pa.RecordBatch.from_arrays([pa.array([float(weight)]), pa.array([net.packed()], pa.binary())], ["weight", "net"])
 
     schema = "weight double, net binary"
-    nets = written(rows.where(F.pmod("h", F.lit(STRIDE)) == 0).select("text").mapInArrow(run, schema), "lm-nets")
+    nets = written(rows.select("text").mapInArrow(run, schema), "lm-nets")
     n = nets.count()
     while n > 1:  # about sixteen networks at a time in each task
         n = -(-n // 16)
@@ -403,7 +401,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "t
     Without any training document every token is unknown. Repeated rows and ids are scored one by
     one; other columns are ignored.
     """
-    model, counts = fit(docs, learn, text)
+    model, counts = fit(docs, learn, text, id_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"{id_col} {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"

@@ -112,3 +112,31 @@ def test_odd_tables(spark, tmp_path):
     none = lm.score(df, F.lit(False)).collect()
     assert len(none) == 5 and all(r["n_known"] == 0 and r["train_tokens"] == 0 and np.isfinite(r["score"]) for r in none)
     assert lm.score(spark.read.parquet(path).limit(0), F.lit(True)).count() == 0
+
+
+def test_every_training_document_trains_the_network(spark, tmp_path, monkeypatch):
+    """The networks' weights are the tokens learned from: all those of the training documents."""
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, f"some words of text {i} " * 13) for i in range(128)], "doc_id long, text string").coalesce(1).write.parquet(path)
+    kept = []
+
+    def seen(df, name, parts=0, write=lm.written):
+        out = write(df, name, parts)
+        if name == "lm-nets":
+            kept.append(sum(r["weight"] for r in out.select("weight").collect()))
+        return out
+
+    monkeypatch.setattr(lm, "written", seen)
+    lm.fit(spark.read.parquet(path), F.col("doc_id") >= 64)
+    assert kept == [64 * (5 * 13 + 1)]
+
+
+def test_copies_come_into_the_warm_up_by_their_share(spark, tmp_path, monkeypatch):
+    """The text of the lowest hash makes up a third of the rows, and must not fill the sample."""
+    texts = [r["text"] for r in spark.createDataFrame([(f"text number {i}",) for i in range(6000)], "text string").orderBy(F.xxhash64("text")).collect()]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(enumerate([texts[0]] * 3000 + texts[1:])), "doc_id long, text string").write.parquet(path)
+    warm = []
+    monkeypatch.setattr(lm, "_encoded", lambda found, encode=lm._encoded: warm.append(found) or encode(found))
+    lm.fit(spark.read.parquet(path), F.lit(True))
+    assert len(warm) == 1 and 0.2 * lm.WARM_DOCS < warm[0].count(texts[0]) < 0.5 * lm.WARM_DOCS
