@@ -5,8 +5,8 @@ strongly a term reveals an entity kind e is estimated from the whole corpus: ove
 positions, P(e) is the share that lies within REACH words of an entity of the kind, P(e|t)
 the same share among the positions of term t. The term's disclosure is pointwise mutual information
 over the entity's information content, log(P(e|t) / P(e)) / -log P(e), which is 1 if the
-term occurs near such entities only. Terms near an entity are generalised where their disclosure
-reaches one threshold, and removed where it reaches a higher one.
+term occurs near such entities only. Terms are generalised wherever they stand, near an entity or not,
+where their disclosure reaches one threshold, and removed where it reaches a higher one.
 """
 
 from __future__ import annotations
@@ -100,15 +100,31 @@ def entities(text: str | None) -> list[Span]:
     return sorted(out)
 
 
-def neighbours(text: str, spans: list[Span]) -> Iterator[tuple[str, int, int, Span]]:
-    """Terms within REACH words of each span: term, start, end, span. Words that touch an entity or have a digit are no terms."""
+def _uncovered(text: str, spans: list[Span]) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a text (start, end), their starts and ends as arrays, and which of them touch a span."""
     words = [(m.start(), m.end()) for m in _WORD.finditer(text.translate(_UPPER))]
     starts = np.array([a for a, _ in words], np.int64)
-    taken: list[tuple[int, int]] = [(a, b) for a, _, b in spans]
     covered = np.zeros(len(words), bool)
     ends = np.array([b for _, b in words], np.int64)
-    for a, b in taken:
+    for a, _, b in spans:
         covered[np.searchsorted(ends, a, "right") : np.searchsorted(starts, b, "left")] = True
+    return words, starts, ends, covered
+
+
+def occurrences(text: str, spans: list[Span], terms: dict[bytes, float]) -> Iterator[tuple[int, int, float]]:
+    """All places of the given terms in a text: start, end, disclosure. Words that touch an entity are no terms."""
+    if terms.keys().isdisjoint(alnum_words(text)):
+        return
+    words, _, _, covered = _uncovered(text, spans)
+    for (a, b), hidden in zip(words, covered, strict=True):
+        d = None if hidden else terms.get(text[a:b].translate(_UPPER).encode("utf-8", "replace"))
+        if d is not None:
+            yield a, b, d
+
+
+def neighbours(text: str, spans: list[Span]) -> Iterator[tuple[str, int, int, Span]]:
+    """Terms within REACH words of each span: term, start, end, span. Words that touch an entity or have a digit are no terms."""
+    words, starts, ends, covered = _uncovered(text, spans)
     for span in spans:
         first, last = int(np.searchsorted(ends, span[0], "right")), int(np.searchsorted(starts, span[2], "left"))
         for i in [*range(max(0, first - REACH), first), *range(last, min(len(words), last + REACH))]:
@@ -216,14 +232,15 @@ def fit(docs: DataFrame, text: str = "text", threshold: float = GENERALISE, supp
 def detect(docs: DataFrame, disclosure: Disclosure, text: str = "text", keep_text: bool = True) -> DataFrame:
     """The documents with `pii` added: an array of (kind, start, end, disclosure) by start, then kind.
 
-    Offsets are code points, ends exclusive. disclosure is 1 for entities. A null or empty text
+    Offsets are code points, ends exclusive. disclosure is 1 for entities, and a term's highest
+    over the kinds. Every occurrence of a revealing term is marked, in every document. A null or empty text
     has no spans. Repeated documents are treated one by one. Input columns are kept, except that a
     column named pii is replaced and the texts go if they aren't wanted any more.
     """
     fields = "pii array<struct<kind:string,start:long,end:long,disclosure:double>>"
 
     def add(df: DataFrame, block: dict[str, dict[int, float]], first: bool, last: bool) -> DataFrame:
-        shared = df.sparkSession.sparkContext.broadcast(block)
+        shared = df.sparkSession.sparkContext.broadcast({t.encode("utf-8", "replace"): max(kinds.values()) for t, kinds in block.items()})
 
         def run(batch) -> dict:
             out, terms = [], shared.value
@@ -231,10 +248,8 @@ def detect(docs: DataFrame, disclosure: Disclosure, text: str = "text", keep_tex
             for t, old in zip(column(batch, text), before, strict=True):
                 spans = entities(t)
                 found = {(a, k, b): 1.0 for a, k, b in spans} | {(x["start"], KINDS.index(x["kind"]), x["end"]): x["disclosure"] for x in old}
-                for term, a, b, span in neighbours(t, spans) if spans and terms else ():
-                    d = terms.get(term, {}).get(span[1])
-                    if d is not None:
-                        found[a, 5, b] = max(d, found.get((a, 5, b), 0.0))
+                for a, b, d in occurrences(t, spans, terms) if t and terms else ():
+                    found[a, 5, b] = d
                 out.append([{"kind": KINDS[k], "start": a, "end": b, "disclosure": d} for (a, k, b), d in sorted(found.items())])
             return {"pii": out}
 

@@ -132,3 +132,20 @@ def test_odd_tables(spark):
     assert out[0].asDict().keys() == set(df.columns)
     assert sorted(((r["doc_id"], r["text"][:9] if r["text"] else r["text"], r["n_chars"]) for r in out), key=str) == sorted([(None, None, 3), (1, "", 0), (2, "[EMAIL]", 7), (2, "[EMAIL]", 7), (3, "é [EMAIL]", 200_010)], key=str)
     assert privacy.sanitise(df.limit(0)).count() == 0
+
+
+def test_revealing_terms_go_wherever_they_stand(spark):
+    """Half of a term's occurrences stand far from entities, or in documents without any."""
+    rows = cued(200)
+    texts = dict(rows)
+    far = " ".join(["plain"] * 20) + " Mailbox, end"
+    rows += [(1000, texts[0] + " " + far)] + [(2000 + i, f"{far} of {i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = privacy.fit(df)
+    d = {(r["term"], r["kind"]): r["disclosure"] for r in model.terms.collect()}["mailbox", 0]
+    assert privacy.GENERALISE <= d < privacy.REMOVE
+    clean = {r["doc_id"]: r["text"] for r in privacy.sanitise(df).collect()}
+    assert all("mailbox" not in t.lower() for t in clean.values())
+    assert clean[2003] == " ".join(["plain"] * 20) + " [TERM], end of 3"
+    pii = {r["doc_id"]: r["pii"] for r in privacy.detect(df, model).collect()}
+    assert [(s["kind"], s["start"], s["end"]) for s in pii[2003]] == [("term", 120, 127)]
