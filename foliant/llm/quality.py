@@ -5,8 +5,10 @@ texts and one over all texts of the raw corpus, each distinct text once however
 A document's score is the mean, over its n-grams, of log((t + s) / (e + s)), where t is the
 bucket's target count, e the count expected if the target were drawn from the raw corpus, and s a
 pseudo-count that draws thin buckets to 0. The scored text's own n-grams are left out of all
-counts, so a score says what other texts say. Every document is kept or rejected by a fixed
-threshold; nothing is drawn at random.
+counts, so a score says what other texts say. The means over unigrams and over bigrams are also
+judged apart: words that the target avoids (toxic ones) show in the unigrams only. Their thresholds
+are what all but a small share of the target's texts reach, each scored without its own counts; that
+over all n-grams is fixed. Every document is kept or rejected by these; nothing is drawn at random.
 """
 
 from __future__ import annotations
@@ -24,8 +26,12 @@ from .common import LOWER, column, extend, map_rows, slices, utf8, written
 
 BUCKETS = 1 << 18
 PSEUDO = 2.0
-#: Mean log-likelihood ratio below which a document is rejected.
+#: Mean log-likelihood ratio over all n-grams below which a document is rejected.
 THRESHOLD = -0.2
+#: Share of the target's texts that may lie below the threshold of unigrams, and below that of bigrams.
+LOSS = 0.003
+#: Words below which a text is rejected.
+LEAST_WORDS = 50
 SYMBOLS = b"#*$%&|<>"
 
 
@@ -73,29 +79,36 @@ def bucket_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out
 
 
+Means = tuple[float, float, float]  # over all n-grams, unigrams, bigrams
+
+
 @dataclass
 class Ratios:
-    """Bucket counts of the raw corpus and of the target, with their sums."""
+    """Bucket counts of the raw corpus and of the target with their sums, and the thresholds of unigrams and bigrams."""
 
     raw: np.ndarray
     target: np.ndarray
     n_raw: float
     n_target: float
+    least: tuple[float, float] = (-np.inf, -np.inf)
 
-    def means(self, buckets: np.ndarray) -> tuple[float, float]:
-        """Mean shrunk log ratio of a text's n-grams without its own counts: if the text isn't in the target, and if it is.
+    def means(self, buckets: np.ndarray) -> tuple[Means, Means]:
+        """Mean shrunk log ratios of a text's n-grams without its own counts: if the text isn't in the target, and if it is.
 
-        0 where nothing else is left in the corpus or in the target.
+        0 where nothing else is left in the corpus or in the target, and where there is no n-gram.
         """
         if not len(buckets):
-            return 0.0, 0.0
-        met, n = np.unique(buckets, return_counts=True)
+            return (0.0, 0.0, 0.0), (0.0, 0.0, 0.0)
+        words = (len(buckets) + 1) // 2  # unigrams come first, and there is one more of them
+        met, at, n = np.unique(buckets, return_inverse=True, return_counts=True)
         raw, n_raw = self.raw[met] - n, self.n_raw - len(buckets)
 
-        def mean(target: np.ndarray, n_target: float) -> float:
+        def mean(target: np.ndarray, n_target: float) -> Means:
             if n_raw <= 0 or n_target <= 0:
-                return 0.0
-            return float(n @ np.log((target + PSEUDO) / (raw * (n_target / n_raw) + PSEUDO))) / len(buckets)
+                return 0.0, 0.0, 0.0
+            each = np.log((target + PSEUDO) / (raw * (n_target / n_raw) + PSEUDO))[at]
+            one, two = float(each[:words].sum()), float(each[words:].sum())
+            return (one + two) / len(buckets), one / words, two / max(1, len(buckets) - words)
 
         target = self.target[met]
         return mean(target, self.n_target), mean(np.maximum(target - n, 0), self.n_target - len(buckets))
@@ -105,6 +118,21 @@ def ratios(raw: np.ndarray, target: np.ndarray) -> Ratios:
     return Ratios(raw, target, float(raw.sum()), float(target.sum()))
 
 
+def thresholds(weights: Ratios, target: DataFrame, loss: float = LOSS) -> tuple[float, float]:
+    """Means over unigrams and bigrams that all but a share `loss` of the target's texts of enough words reach, at that text itself."""
+    shared = target.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batch) -> dict:
+        known: dict[bytes, int] = {}
+        words = [utf8(t).translate(LOWER).split() for t in batch.column(0).to_pylist()]
+        found = [shared.value.means(gram_buckets(_word_hashes(w, known)))[1][1:] for w in words if len(w) >= LEAST_WORDS]
+        return {"one": [x for x, _ in found], "two": [x for _, x in found]}
+
+    rows = map_rows(target.select("text"), "one double, two double", run)
+    least = rows.agg(*(F.percentile_approx(c, loss, 100_000) for c in ("one", "two"))).first()
+    return tuple(-np.inf if x is None else x for x in least)
+
+
 def base_stats(text: str | None, words: list[bytes]) -> tuple[int, int, int, int]:
     """word_chars, n_symbols, n_dup_lines, n_repeat_words of a text and its words."""
     data = utf8(text)
@@ -139,16 +167,17 @@ def judge(text: str | None, weights: Ratios, known: dict[bytes, int], threshold:
     words = utf8(text).split()
     stats = base_stats(text, words)
     lower = utf8(text).translate(LOWER).split()
-    failed = len(words) < 50 or 100 * stats[3] > 50 * len(words)
+    failed = len(words) < LEAST_WORDS or 100 * stats[3] > 50 * len(words)
     found = weights.means(gram_buckets(_word_hashes(lower, known)) if words else np.zeros(0, np.uint32))
-    return len(words), *stats, failed, *(x for llr in found for x in (llr, not failed and llr >= threshold))
+    one, two = weights.least
+    return len(words), *stats, failed, *(x for m in found for x in (m[0], not failed and m[0] >= threshold and m[1] >= one and m[2] >= two))
 
 
 def score(docs: DataFrame, weights: Ratios, trusted: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document of the corpus that was fitted: base statistics, base_failed, llr and kept.
 
     A null or empty text has no words, llr 0 and fails the base filter. A document of one word
-    has one n-gram. Ties with the threshold are kept. Repeated rows and ids are judged one by
+    has one n-gram. Ties with the thresholds are kept. Repeated rows and ids are judged one by
     one; other columns are ignored. Texts are judged for either case of being in the target, so
     that only the narrow results are joined with the table of trusted texts.
     """
@@ -222,7 +251,10 @@ def target_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, trusted: DataFrame) -> Ratios:
-    return ratios(bucket_counts(distinct_texts(docs)), bucket_counts(target_texts(docs, trusted)))
+    target = target_texts(docs, trusted)
+    weights = ratios(bucket_counts(distinct_texts(docs)), bucket_counts(target))
+    weights.least = thresholds(weights, target)
+    return weights
 
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

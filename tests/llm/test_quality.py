@@ -113,3 +113,24 @@ def test_own_counts_are_left_out(spark):
             quality.np.add.at(target, grams(texts[i]), 1)
         w = quality.np.log((target + quality.PSEUDO) / (raw * (target.sum() / raw.sum()) + quality.PSEUDO))
         assert found[own] == pytest.approx(w[grams(texts[own])].mean())
+
+
+def test_toxic_prose_goes_by_its_words(spark):
+    """Clean prose with a few words that the target avoids: like clean prose over all n-grams, but not over unigrams."""
+    rng = random.Random(5)
+    prose = lambda: [f"word{min(rng.randrange(300), rng.randrange(300))}" for _ in range(120)]
+    rows, labels = [], []
+    for i in range(400):
+        words = prose()
+        if i % 10 == 0:
+            for at in range(0, 120, 15):
+                words[at] = f"toxic{rng.randrange(4)}"
+        rows.append((i, " ".join(words)))
+        if i % 10 == 0 or i % 4 == 1:
+            labels.append((i, 1, int(i % 10 == 0)))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r for r in quality.keep_flags(docs, marks).collect()}
+    toxic, clean = [found[i] for i in range(0, 400, 10)], [r for i, r in found.items() if i % 10]
+    assert all(r["llr"] >= quality.THRESHOLD for r in toxic) and not any(r["kept"] for r in toxic)
+    assert sum(r["kept"] for r in clean) >= 0.95 * len(clean)
+    assert all(found[i]["kept"] for i in range(400) if i % 4 == 1)
