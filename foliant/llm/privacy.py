@@ -11,7 +11,6 @@ where their disclosure reaches one threshold, and removed where it reaches a hig
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -30,7 +29,7 @@ KINDS = ("email", "ip", "card", "phone", "key", "term")
 BASE = 4
 #: Words on either side of an entity that count as its neighbourhood.
 REACH = 5
-#: Different entity values that a term must stand near before it can count as revealing.
+#: Places near entities of a kind, of one value or of several, that a term must have before it can count as revealing.
 SUPPORT = 3
 #: Disclosure from which a term is generalised, and from which it is removed.
 GENERALISE, REMOVE = 0.8, 0.95
@@ -136,8 +135,8 @@ def neighbours(text: str, spans: list[Span]) -> Iterator[tuple[str, int, int, Sp
 
 
 def _near(docs: DataFrame, text: str) -> DataFrame:
-    """term, kind, value (hash of the entity), n: positions of a term near an entity of a kind."""
-    out = arrow_schema("term string, kind int, value long, n long")
+    """term, kind, n: positions of a term near an entity of a kind."""
+    out = arrow_schema("term string, kind int, n long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,14 +145,14 @@ def _near(docs: DataFrame, text: str) -> DataFrame:
                 for t in part.column(0).to_pylist():
                     spans = entities(t)
                     if spans:
-                        once = {(a, span[1]): (term, span) for term, a, _, span in neighbours(t, spans)}
-                        for (_, kind), (term, (a, _, b)) in once.items():
-                            found[term, kind, int.from_bytes(hashlib.blake2b(t[a:b].encode("utf-8", "replace"), digest_size=7).digest(), "little")] += 1
-                rows = list(zip(*((*k, n) for k, n in found.items()), strict=True)) or [[]] * 4
+                        once = {(a, span[1]): term for term, a, _, span in neighbours(t, spans)}
+                        for (_, kind), term in once.items():
+                            found[term, kind] += 1
+                rows = list(zip(*((*k, n) for k, n in found.items()), strict=True)) or [[]] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, out, strict=True)], schema=out)
 
-    found = docs.select(F.col(text).alias("text")).mapInArrow(run, "term string, kind int, value long, n long")
-    return found.groupBy("term", "kind", "value").agg(F.sum("n").alias("n"))
+    found = docs.select(F.col(text).alias("text")).mapInArrow(run, "term string, kind int, n long")
+    return found.groupBy("term", "kind").agg(F.sum("n").alias("n"))
 
 
 def _occurrences(docs: DataFrame, bitmap: np.ndarray, text: str) -> DataFrame:
@@ -212,7 +211,7 @@ def fit(docs: DataFrame, text: str = "text", threshold: float = GENERALISE, supp
         near = held(_near(docs, text))
         parts = near.count() // ROWS_A_FILE + 1
         kinds = {r["kind"]: r["n"] for r in near.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-        terms = near.groupBy("term", "kind").agg(F.sum("n").alias("near"), F.count("value").alias("values")).where(F.col("values") >= support)
+        terms = near.withColumnRenamed("n", "near").where(F.col("near") >= support)
         marked = [r["b"] for r in terms.select((F.crc32(F.col("term").cast("binary")) % BITS).cast("int").alias("b")).distinct().collect()]  # BITS at most
         bitmap = np.zeros(BITS, bool)
         bitmap[marked] = True

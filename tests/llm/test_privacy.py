@@ -149,3 +149,13 @@ def test_revealing_terms_go_wherever_they_stand(spark):
     assert clean[2003] == " ".join(["plain"] * 20) + " [TERM], end of 3"
     pii = {r["doc_id"]: r["pii"] for r in privacy.detect(df, model).collect()}
     assert [(s["kind"], s["start"], s["end"]) for s in pii[2003]] == [("term", 120, 127)]
+
+
+def test_a_name_tied_to_one_address_is_revealing(spark):
+    """One address only, in many documents or many times in one."""
+    rows = cued(100) + [(1000 + i, f"w x y z quillon ada@one.example z y x w {i}") for i in range(5)]
+    rows += [(2000, " then ".join(["mrs brandish bob@two.example of " + "w x y z " * 5] * 4)), (3000, "seen quillon, and brandish again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = {(r["term"], r["kind"]) for r in privacy.fit(df).terms.collect()}
+    assert {("quillon", 0), ("brandish", 0)} <= terms
+    assert not any(w in r["text"] for r in privacy.sanitise(df).collect() for w in ("quillon", "brandish"))
