@@ -68,58 +68,58 @@ lattice structure, crystal structure, bloch sphere, error rate, fidelity vs, suc
 decoherence, relaxation time, table of, table showing, comparison of
 """
 
-# Topics, each with the aliases that its rule (see `topics`) doesn't make.
+# Topics and their aliases.
 TOPICS = """
-Deutsch-Jozsa Algorithm: constant vs balanced, DJ algorithm
-Bernstein-Vazirani Algorithm: secret string finding, BV algorithm
-Simon's Algorithm: simon algorithm, hidden subgroup, period finding
-Grover's Algorithm: grover, amplitude amplification, unstructured search, oracle search
+Deutsch-Jozsa Algorithm: deutsch jozsa, deutsch-jozsa, constant vs balanced, DJ algorithm
+Bernstein-Vazirani Algorithm: bernstein vazirani, bernstein-vazirani, secret string finding, BV algorithm
+Simon's Algorithm: simon's algorithm, simon algorithm, hidden subgroup, period finding
+Grover's Algorithm: grover, amplitude amplification, unstructured search, grover search, oracle search
 Shor's Algorithm: shor, prime factorization, order finding, modular exponentiation, period finding
-Quantum Phase Estimation (QPE): phase estimation, eigenvalue estimation, phase kickback, IPE
-Quantum Fourier Transform (QFT): IQFT
-HHL Algorithm: harrow hassidim lloyd, linear systems, matrix inversion, quantum linear system
-Quantum Counting: counting algorithm, approximate counting
-Quantum Amplitude Estimation (QAE): amplitude estimation
-Variational Quantum Eigensolver (VQE): ground state energy, UCCSD, unitary coupled cluster
-Quantum Approximate Optimization (QAOA): maxcut, max-cut, combinatorial optimization, mixer hamiltonian, driver hamiltonian
-Variational Quantum Classifier (VQC): variational classifier, quantum classifier, circuit centric classifier
-Quantum Neural Network (QNN): parameterized quantum circuit, PQC, quantum perceptron
+Quantum Phase Estimation (QPE): phase estimation, QPE, eigenvalue estimation, phase kickback, iterative phase estimation, IPE
+Quantum Fourier Transform (QFT): quantum fourier transform, QFT, inverse QFT, IQFT, approximate QFT
+HHL Algorithm: HHL, harrow hassidim lloyd, linear systems, matrix inversion, quantum linear system
+Quantum Counting: quantum counting, counting algorithm, approximate counting
+Quantum Amplitude Estimation (QAE): amplitude estimation, QAE, canonical amplitude estimation, maximum likelihood amplitude estimation
+Variational Quantum Eigensolver (VQE): VQE, variational quantum eigensolver, ground state energy, UCCSD, unitary coupled cluster, adaptive VQE, ADAPT-VQE
+Quantum Approximate Optimization (QAOA): QAOA, quantum approximate optimization, maxcut, max-cut, combinatorial optimization, mixer hamiltonian, driver hamiltonian
+Variational Quantum Classifier (VQC): VQC, variational classifier, quantum classifier, circuit centric classifier
+Quantum Neural Network (QNN): QNN, quantum neural network, parameterized quantum circuit, PQC, quantum perceptron, dissipative QNN
 Hardware Efficient Ansatz: hardware efficient, HEA, entangling layers, ry-cnot, alternating layer
 Quantum Kernel Method: quantum kernel, kernel estimation, QSVM, quantum support vector machine, fidelity kernel
-Variational Autoencoder (QVAE): quantum autoencoder, compression circuit
+Variational Autoencoder (QVAE): QVAE, quantum autoencoder, variational autoencoder, compression circuit
 Quantum Error Correction (General): error correction, QEC, syndrome measurement, stabilizer measurement, parity check
-Surface Code: toric code, lattice surgery, plaquette, star operator
-Repetition Code: bit flip code, phase flip code, majority vote, 3-qubit code
-Shor Code: 9-qubit code, nine qubit code
-Steane Code: 7-qubit code, seven qubit code, color code, triangular code
+Surface Code: surface code, toric code, lattice surgery, plaquette, star operator, rotated surface code
+Repetition Code: repetition code, bit flip code, phase flip code, majority vote, 3-qubit code
+Shor Code: shor code, 9-qubit code, nine qubit code
+Steane Code: steane code, 7-qubit code, seven qubit code, color code, triangular code
 Bacon-Shor Code: bacon-shor, bacon shor, subsystem code
 Heavy Hex Code: heavy hex, heavy-hex, ibm quantum code
 Bosonic Codes: cat code, gkp code, gottesman-kitaev-preskill, binomial code
-Magic State Distillation: magic state, distillation circuit, T-state distillation
-Dynamical Decoupling: spin echo, CPMG, XY4, pulse sequence, DD sequence
-Swap Test: overlap measurement, inner product measurement, fidelity test
-Hadamard Test: expectation value estimation, imaginary part estimation
+Magic State Distillation: magic state distillation, magic state, distillation circuit, T-state distillation
+Dynamical Decoupling: dynamical decoupling, spin echo, CPMG, XY4, pulse sequence, DD sequence
+Swap Test: swap test, overlap measurement, inner product measurement, fidelity test
+Hadamard Test: hadamard test, expectation value estimation, imaginary part estimation
 Quantum Teleportation: teleportation, teleport, bell measurement, ebit
-Superdense Coding: dense coding, information transfer
-Entanglement Swapping: repeater, swap operation
-State Preparation: loading data, amplitude encoding, basis encoding
-Oracle Implementation: oracle, black box, marking unitary
-Quantum Adder: ripple carry, draper qft adder, addition circuit
-Quantum Multiplier: multiplication circuit, karatsuba, arithmetic circuit
+Superdense Coding: superdense coding, dense coding, information transfer
+Entanglement Swapping: entanglement swapping, repeater, swap operation
+State Preparation: state preparation, loading data, amplitude encoding, basis encoding
+Oracle Implementation: oracle, black box, marking unitary, phase oracle
+Quantum Adder: quantum adder, ripple carry, draper qft adder, addition circuit, CDKM ripple carry
+Quantum Multiplier: quantum multiplier, multiplication circuit, karatsuba, arithmetic circuit
 Quantum Comparator: comparator, compare, greater than, less than
-Quantum RAM (QRAM): quantum memory, bucket brigade, fanout
-Modular Exponentiation: mod exp, modular multiplier
-Hamiltonian Simulation: time evolution, trotter, trotterization, product formula
-Qubitization: quantum signal processing, QSP, block encoding
-Boson Sampling: photon network
+Quantum RAM (QRAM): QRAM, quantum ram, quantum memory, bucket brigade, fanout
+Modular Exponentiation: modular exponentiation, mod exp, modular multiplier
+Hamiltonian Simulation: hamiltonian simulation, time evolution, trotter, trotterization, suzuki-trotter, product formula
+Qubitization: qubitization, quantum signal processing, QSP, block encoding
+Boson Sampling: boson sampling, gaussian boson sampling, photon network
 Quantum Random Walk: quantum walk, random walk, walker, coin operator, szegedy walk
-Randomized Benchmarking: RB, clifford sequences
-Quantum Volume: QV, heavy output, square circuit
-Tomography: QST, QPT, maximum likelihood estimation
+Randomized Benchmarking: randomized benchmarking, RB, clifford sequences, interleaved RB, direct RB
+Quantum Volume: quantum volume, QV, heavy output, square circuit
+Tomography: state tomography, process tomography, QST, QPT, maximum likelihood estimation, shadow tomography
 Cross-Entropy Benchmarking: cross entropy, XEB, supremacy, sycamore
-Quantum Key Distribution (QKD): BB84, E91, B92, key distribution, quantum cryptography, key exchange
-Quantum Money: unforgeable, verification
-Blind Quantum Computing: delegated quantum computing, blind computing
+Quantum Key Distribution (QKD): QKD, BB84, E91, B92, key distribution, quantum cryptography, key exchange
+Quantum Money: quantum money, unforgeable, verification
+Blind Quantum Computing: blind quantum computing, delegated quantum computing, blind computing
 """
 
 # Generic names by pattern, and inferences by keyword, in order.
@@ -206,22 +206,7 @@ def gates() -> Vocabulary:
 
 
 def topics() -> Vocabulary:
-    """Topics with their aliases, listed or by rule.
-
-    By rule, what stands before brackets and the short form inside are aliases; so is a name without
-    "Algorithm" (unless it is a possessive), with hyphens and with spaces. Aliases that hold another
-    alias of their topic as whole words would find nothing more and are left out. A fuller list can
-    be given with `Vocabulary.load`.
-    """
-
-    def made(name: str) -> list[str]:
-        bracket = re.fullmatch(r"(.+) \((\w+)\)", name)
-        if bracket:
-            return [bracket[1].lower(), *([bracket[2]] if bracket[2].isupper() else [])]
-        plain = name.removesuffix(" Algorithm")
-        return list(dict.fromkeys([plain.lower(), plain.lower().replace("-", " ")])) if plain != name and not plain.endswith("'s") else []
-
-    return Vocabulary(tuple((c, tuple(dict.fromkeys((*aliases, *made(c))))) for c, aliases in Vocabulary.parse(TOPICS).entries))
+    return Vocabulary.parse(TOPICS)
 
 
 def generic_patterns() -> list[tuple[str, str]]:
