@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 import pyarrow.compute
@@ -44,12 +45,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where none is set (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share; one of its own only in local mode, where there is one machine."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
-        context = spark.sparkContext
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="foliant-checkpoints-"))
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="foliant-checkpoints-"))
         found = context.getCheckpointDir()
     return found.rstrip("/")
 
@@ -75,7 +77,20 @@ def written(df: DataFrame, name: str, parts: int = 0) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     (df.coalesce(parts) if parts else df).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+#: Folders of the tables that `written` returned.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `written` returned and that no frame needs any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop(df))
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class Held:
@@ -96,12 +111,18 @@ class Held:
             self.frames.pop().unpersist()
 
 
-def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for n in (name + "_" * k for k in range(len(taken) + 1)) if n.lower() not in taken) for name in names]
+
+
+def slices(batch: pa.RecordBatch, text: str = "text", rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     """Cut an Arrow batch into pieces of bounded rows and characters."""
     sizes = pa.compute.binary_length(batch.column(batch.schema.get_field_index(text))).to_pylist()
     start = total = 0
     for i, n in enumerate(sizes):
-        if i > start and (i - start >= ROWS_AT_ONCE or total + (n or 0) > CHARS_AT_ONCE):
+        if i > start and (i - start >= rows or total + (n or 0) > CHARS_AT_ONCE):
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += n or 0
@@ -130,7 +151,7 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], t
     return df.mapInArrow(run, schema)
 
 
-def extend(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
+def extend(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], text: str = "text", drop: tuple[str, ...] = (), rows: int = ROWS_AT_ONCE) -> DataFrame:
     """Keep the columns of df and add those of `schema`; where names clash, the new column takes the old one's place."""
     from pyspark.sql.types import StructType
 
@@ -140,7 +161,7 @@ def extend(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], dict], tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, rows):
                 columns = fn(part)
                 kept = [part.column(part.schema.get_field_index(f.name)) for f in old]
                 yield pa.RecordBatch.from_arrays([*kept, *(pa.array(columns[f.name], f.type) for f in out)], names=[*(f.name for f in old), *out.names])

@@ -8,9 +8,14 @@ The network is a gated recurrent unit whose output is a softmax over classes and
 class. It is trained with truncated back-propagation, and its state runs on from window to
 window, so that scores are of whole documents.
 
-Word counts come from all training documents. They are counted per chunk (a bounded slice of
-documents), summed over the corpus and sent back to the chunks, so no task holds the whole
-vocabulary, and what is shuffled follows distinct words a chunk, not words.
+1. Texts are split into words once. Chunks (bounded slices of documents) are written as numbers
+   into the chunk's own vocabulary, together with that vocabulary as sorted hashes.
+2. The vocabularies are cut by hash into groups of bounded size, which sum each word's training
+   occurrences over the corpus and send them back to the chunks. What is shuffled follows distinct
+   words a chunk, in arrays, not words.
+3. Each chunk becomes a table of symbols and of base scores.
+4. The network is trained on every training document, in rounds: all tasks side by side, each on
+   its own documents; the networks are averaged by tokens after each round.
 """
 
 from __future__ import annotations
@@ -27,30 +32,28 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, arrow_schema, column, utf8, written
+from .common import LOWER, arrow_schema, column, discard, utf8, written
 
 #: Characters in a chunk, one longer document excepted.
 CHUNK_CHARS = 6_000_000
+#: Distinct words of one chunk in a row of its vocabulary; and of all chunks in a group that sums counts.
+VOCABULARY_ROW, GROUP = 65_536, 1_000_000
 #: Endings; every ending and every frequent token is a symbol.
 ENDINGS = 256
 #: Tokens with symbols of their own, at most.
 FREQUENT = 1792
 CLASSES = 48
 HIDDEN = 24
-#: Tokens that a window of training has, and documents trained side by side.
-WINDOW, SIDE = 32, 64
-#: Tokens, and documents, of the sample that warms the network up, at most; and characters of one of these.
-WARM_TOKENS, WARM_DOCS, WARM_CHARS = 300_000, 600, 20_000
-#: States kept before the outputs are evaluated.
-BUFFER = 131_072
+#: Tokens that a window of training has.
+WINDOW = 32
+#: Rounds of training: sixteenths of the training documents, streams side by side, rate.
+ROUNDS = ((1, 32, 0.15), (1, 32, 0.15), (2, 64, 0.15), (4, 128, 0.12), (8, 256, 0.1))
+#: Tokens that a task trains on at a time; states kept before the outputs are evaluated.
+TRAIN_TOKENS, BUFFER = 1_000_000, 16_384
 #: Stands for the hash of the end token; words' hashes are positive.
 END = 0
 
 
-def _words(text: str | None) -> list[bytes]:
-    return utf8(text).translate(LOWER).split()
-
-
 def _hash(word: bytes) -> int:
     return (xxhash.xxh3_64_intdigest(word) >> 1) or 1
 
@@ -62,43 +65,131 @@ def _ending(word: bytes) -> int:
 # -- counts
 
 
-def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Cut a task's documents into numbered chunks, those of similar length together.
-
-    The same table, read in the same way, gives the same chunks.
-    """
-    number = TaskContext.get().partitionId() << 20
+def _chunked(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """A task's documents, cut into pieces of `size` bytes and the document that exceeds them."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index("text"))
         sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        order = np.argsort(sizes, kind="stable")
-        cut = np.flatnonzero(np.diff(np.cumsum(sizes[order]) // CHUNK_CHARS, prepend=0)).tolist()
-        for a, b in zip([0, *cut], [*cut, len(order)], strict=True):
+        cut = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // size, prepend=0)).tolist()
+        for a, b in zip([0, *cut], [*cut, len(sizes)], strict=True):
             if b > a:
-                yield number, batch.take(pa.array(order[a:b]))
-                number += 1
-
+                yield batch.slice(a, b - a)
+
+
+def _numbered(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens of a chunk as numbers of its sorted vocabulary, tokens a document, and the vocabulary's hashes and endings; 0 is the end."""
+    words: list[bytes] = []
+    sizes = np.empty(len(texts), np.int64)
+    for i, t in enumerate(texts):
+        before = len(words)
+        words += utf8(t).translate(LOWER).split()
+        sizes[i] = len(words) - before + 1
+    ids = dict.fromkeys(words)
+    hashes = np.fromiter(map(_hash, ids), np.int64, len(ids))
+    endings = np.fromiter(map(_ending, ids), np.uint8, len(ids))
+    order = np.argsort(hashes, kind="stable")
+    rank = np.empty(len(ids), np.int32)
+    rank[order] = np.arange(1, len(ids) + 1)
+    ids.update(zip(ids, rank.tolist(), strict=True))
+    tokens = np.zeros(sizes.sum(), np.int32)
+    last = np.zeros(len(tokens), bool)
+    last[np.cumsum(sizes) - 1] = True
+    tokens[~last] = np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
+    return tokens, sizes, np.append(END, hashes[order]), np.append(np.uint8(0), endings[order])
+
+
+def _tokens(marked: DataFrame, kind: str) -> DataFrame:
+    """Rows of documents (chunk, id, learn, round, n_tokens, tokens) and of vocabularies (chunk, start, words, hashes, endings, n), written.
+
+    n are a word's occurrences in training documents of the chunk.
+    """
+    schema = f"chunk long, id {kind}, learn boolean, round int, n_tokens int, tokens binary, start int, words int, hashes binary, endings binary, n binary"
+    out = arrow_schema(schema)
+    chars, row = CHUNK_CHARS, VOCABULARY_ROW
 
-def _chunk_words(docs: DataFrame) -> DataFrame:
-    """(hash, chunk, ending, n): occurrences, in training documents, of each word that a chunk has."""
-    schema = "hash long, chunk long, ending int, n int"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(n: int, /, **found) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([found[f.name].cast(f.type) if isinstance(found.get(f.name), pa.Array) else pa.array(found.get(f.name, [None] * n), f.type) for f in out], schema=out)
+
+        number = TaskContext.get().partitionId() << 32
+        for part in _chunked(batches, chars):
+            learn = part.column(1)
+            tokens, sizes, hashes, endings = _numbered(column(part, "text"))
+            edges = np.append(0, np.cumsum(sizes))
+            n = np.bincount(tokens[np.repeat(learn.to_numpy(zero_copy_only=False), sizes)], minlength=len(hashes)).astype(np.int32)
+            whole = tokens.tobytes()
+            cut = [whole[4 * a : 4 * b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+            yield rows(len(cut), chunk=[number] * len(cut), id=part.column(0), learn=learn, round=part.column(2), n_tokens=sizes.tolist(), tokens=cut)
+            at = list(range(0, len(hashes), row))
+            pieces = lambda x: [x[a : a + row].tobytes() for a in at]  # noqa: E731, B023
+            yield rows(len(at), chunk=[number] * len(at), start=at, words=[min(row, len(hashes) - a) for a in at], hashes=pieces(hashes), endings=pieces(endings), n=pieces(n))
+            number += 1
+
+    return written(marked.select("id", "learn", "round", "text").mapInArrow(run, schema), "lm-tokens")
+
+
+def _by_hash(vocabularies: DataFrame, groups: int) -> DataFrame:
+    """The vocabularies cut into `groups` ranges of the hash: (part, chunk, start, hashes, endings, n)."""
+    schema = "part int, chunk long, start int, hashes binary, endings binary, n binary"
     out = arrow_schema(schema)
+    bounds = np.linspace(0, 2.0**63, groups + 1)[1:-1].astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, part in _chunked(batches):
-            ids: dict[bytes, int] = {}
-            seen: list[np.ndarray] = [np.zeros(0, np.int64)]
-            for text, learn in zip(column(part, "text"), column(part, "learn"), strict=True):
-                found = [ids.setdefault(w, len(ids)) for w in _words(text)]
-                if learn:
-                    seen.append(np.array(found, np.int64))
-            n = np.bincount(np.concatenate(seen), minlength=len(ids))
-            hashes = np.fromiter(map(_hash, ids), np.int64, len(ids))
-            endings = np.fromiter(map(_ending, ids), np.int32, len(ids))
-            columns = [np.append(hashes, END), np.full(len(ids) + 1, number), np.append(endings, -1), np.append(n, len(seen) - 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out)
-
-    return docs.select("text", "learn").mapInArrow(run, schema)
+        for batch in batches:
+            for chunk, start, h, e, n in zip(*(column(batch, c) for c in ("chunk", "start", "hashes", "endings", "n")), strict=True):
+                cut = [0, *np.searchsorted(np.frombuffer(h, np.int64), bounds).tolist(), len(e)]
+                found = [(p, chunk, start + a, h[8 * a : 8 * b], e[a:b], n[4 * a : 4 * b]) for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), out, strict=True)], schema=out)
+
+    return vocabularies.select("chunk", "start", "hashes", "endings", "n").mapInArrow(run, schema)
+
+
+def _counted(tokens: DataFrame) -> tuple[DataFrame, int]:
+    """Corpus counts, written, and the number of training tokens.
+
+    Rows of three sorts: (chunk, start, c, endings, fat, fat_hashes), the counts of a range of a chunk's vocabulary, with the
+    places and hashes of those tokens that may have a symbol of their own; (ending, n, types), training tokens and their types;
+    (hash, ending, n), a token that may have a symbol.
+    """
+    total, pairs = tokens.agg(F.coalesce(F.sum(F.when(F.col("learn"), F.col("n_tokens"))), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    schema = "chunk long, start int, c binary, endings binary, fat binary, fat_hashes binary, hash long, ending int, n long, types long"
+    out = arrow_schema(schema)
+
+    def rows(found: list[tuple], names: tuple) -> pa.Table:
+        columns = dict(zip(names, zip(*found, strict=True), strict=True)) if found else {}
+        return pa.Table.from_arrays([pa.array(columns.get(f.name, [None] * len(found)), f.type) for f in out], schema=out)
+
+    def run(part: pa.Table) -> pa.Table:
+        blobs = [column(part, c) for c in ("hashes", "endings", "n")]
+        hashes, endings, n = (np.frombuffer(b"".join(x), t) for x, t in zip(blobs, (np.int64, np.uint8, np.int32), strict=True))
+        order = np.argsort(hashes, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(hashes[order]) != 0))
+        sums = np.add.reduceat(n[order].astype(np.int64), first)
+        c = np.empty(len(hashes), np.int64)
+        c[order] = np.repeat(sums, np.diff(np.append(first, len(order))))
+        # a share of one in a million or more: a million tokens at most, however many there are
+        fat = (c > 0) & (c * 1_000_000 >= total)
+        edges = np.cumsum([0, *map(len, blobs[1])]).tolist()
+        chunks = []
+        for chunk, start, e, a, b in zip(column(part, "chunk"), column(part, "start"), blobs[1], edges[:-1], edges[1:], strict=True):
+            at = np.flatnonzero(fat[a:b])
+            chunks.append((chunk, start, c[a:b].tobytes(), e, at.astype(np.int32).tobytes(), hashes[a:b][at].tobytes()))
+        word, ending = hashes[order][first], endings[order][first].astype(np.int64)
+        ending[word == END] = -1
+        known = np.flatnonzero(sums > 0)
+        tokens, kinds = np.bincount(ending[known] + 1, sums[known], ENDINGS + 1), np.bincount(ending[known] + 1, minlength=ENDINGS + 1)
+        by_ending = [(e - 1, int(tokens[e]), int(kinds[e])) for e in np.flatnonzero(kinds).tolist()]
+        top = known[sums[known] * 1_000_000 >= total]
+        top = top[np.lexsort((word[top], -sums[top]))][:FREQUENT]
+        frequent = list(zip(word[top].tolist(), ending[top].tolist(), sums[top].tolist(), strict=True))
+        return pa.concat_tables([
+            rows(chunks, ("chunk", "start", "c", "endings", "fat", "fat_hashes")),
+            rows(by_ending, ("ending", "n", "types")),
+            rows(frequent, ("hash", "ending", "n")),
+        ])
+
+    by_hash = _by_hash(tokens.where("words is not null"), pairs // GROUP + 1)
+    return written(by_hash.groupBy("part").applyInArrow(run, schema), "lm-counts"), total
 
 
 # -- network
@@ -146,110 +237,170 @@ def new_network(counts: np.ndarray, seed: int = 7) -> Network:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.tanh(x * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
+    """In place. Sums are held within what single precision can take the exponential of."""
+    np.clip(x, -80, 80, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
-def _step(net: Network, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """The next state, and what back-propagation needs."""
+def _step(net: Network, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The next state; the gates (reset, update), the candidate and its recurrent sum."""
     g = h @ net.recurrent
     gates = _sigmoid(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-    r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    c = np.tanh(x[:, 2 * HIDDEN :] + r * g[:, 2 * HIDDEN :])
-    return c + z * (h - c), (h, r, z, c, g[:, 2 * HIDDEN :])
-
-
-def _by_class(net: Network, targets: np.ndarray) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, int, int]]]:
-    """Classes of the targets, and for each class that occurs: rows, first and end symbol."""
-    cls = np.searchsorted(net.starts, targets, "right") - 1
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(len(net.starts)))
-    return cls, ((order[edges[c] : edges[c + 1]], int(net.starts[c]), int(net.starts[c + 1])) for c in np.flatnonzero(np.diff(edges)))
-
-
-def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    top = logits.max(1)
-    return logits[np.arange(len(at)), at] - top - np.log(np.exp(logits - top[:, None]).sum(1))
+    c = gates[:, :HIDDEN] * g[:, 2 * HIDDEN :]
+    c += x[:, 2 * HIDDEN :]
+    c += c
+    c = _sigmoid(c)  # which makes the hyperbolic tangent
+    c += c
+    c -= 1
+    new = h - c
+    new *= gates[:, HIDDEN:]
+    new += c
+    return new, gates, c, g[:, 2 * HIDDEN :]
+
+
+def _by_class(net: Network, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[slice, int, int]]]:
+    """The order that sorts the targets, their classes in that order, and for each class that occurs: its rows, first and end symbol."""
+    order = np.argsort(targets.astype(np.uint16), kind="stable")
+    edges = np.searchsorted(targets[order], net.starts)
+    cls = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    return order, cls, [(slice(edges[c], edges[c + 1]), int(net.starts[c]), int(net.starts[c + 1])) for c in np.flatnonzero(np.diff(edges))]
+
+
+def _soften(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Turns logits into probabilities, in place; returns the log probabilities of the places `at`."""
+    if not -60 < logits.min(initial=0) <= logits.max(initial=0) < 60:
+        logits -= logits.max(1, keepdims=True)
+    picked = logits[np.arange(len(at)), at].astype(np.float64)
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], np.float32)
+    logits *= (1 / total)[:, None]
+    return picked - np.log(total)
 
 
 def log_probs(net: Network, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """Natural log probability of each target symbol given the state before it."""
-    cls, groups = _by_class(net, targets)
-    out = _log_softmax_at(states @ net.classes[:HIDDEN] + net.classes[HIDDEN], cls).astype(np.float64)
+    """Natural log probability of each target symbol given the state before it (with a last column of ones)."""
+    order, cls, groups = _by_class(net, targets)
+    s, y = states.take(order, 0), targets[order]
+    found = _soften(s @ net.classes, cls)
     for i, a, b in groups:
-        w = net.outputs[a:b]
-        out[i] += _log_softmax_at(states[i] @ w[:, :HIDDEN].T + w[:, HIDDEN], targets[i] - a)
+        found[i] += _soften(s[i] @ net.outputs[a:b].T, y[i] - a)
+    out = np.empty(len(targets))
+    out[order] = found
     return out
 
 
-def _output_gradients(net: Network, s: np.ndarray, y: np.ndarray, grads: list[np.ndarray]) -> np.ndarray:
-    """Adds the gradients of the output weights; returns those of the states."""
-
-    def soft(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-        p = np.exp(logits - logits.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(len(at)), at] -= 1
-        return p
-
-    cls, groups = _by_class(net, y)
-    p = soft(s @ net.classes[:HIDDEN] + net.classes[HIDDEN], cls)
-    grads[2][:HIDDEN] += s.T @ p
-    grads[2][HIDDEN] += p.sum(0)
-    out = p @ net.classes[:HIDDEN].T
+def _output_gradients(net: Network, states: np.ndarray, targets: np.ndarray, grads: list[np.ndarray]) -> np.ndarray:
+    """Sets the gradients of the output weights; returns those of the states. Of the negated sum of log probabilities."""
+    order, cls, groups = _by_class(net, targets)
+    s, y = states.take(order, 0), targets[order]
+    p = s @ net.classes
+    _soften(p, cls)
+    p[np.arange(len(cls)), cls] -= 1
+    np.matmul(s.T, p, out=grads[2])
+    d = p @ net.classes.T
     for i, a, b in groups:
         w = net.outputs[a:b]
-        p = soft(s[i] @ w[:, :HIDDEN].T + w[:, HIDDEN], y[i] - a)
-        grads[3][a:b, :HIDDEN] += p.T @ s[i]
-        grads[3][a:b, HIDDEN] += p.sum(0)
-        out[i] += p @ w[:, :HIDDEN]
+        p = s[i] @ w.T
+        _soften(p, y[i] - a)
+        p[np.arange(len(p)), y[i] - a] -= 1
+        np.matmul(p.T, s[i], out=grads[3][a:b])
+        d[i] += p @ w
+    out = np.empty_like(d)
+    out[order] = d
     return out
 
 
-def train(net: Network, docs: list[np.ndarray], rate: float) -> int:
-    """Truncated back-propagation over documents laid end to end in SIDE streams; returns the tokens learned from.
+def window_gradients(net: Network, h: np.ndarray, inputs: np.ndarray, live: np.ndarray, targets: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The state after a window, and the gradients of its negated log probability.
 
-    The state is carried from window to window and reset where a document begins; gradients
-    stop at a window's start. Adagrad steps.
+    All but h are steps x streams: the symbols before the targets, whether the state goes on from
+    there (else it is reset), the targets, and whether they count.
     """
-    flat = np.concatenate([*docs, np.zeros(0, np.int64)])
-    first = np.zeros(len(flat), bool)
-    first[np.cumsum([0, *map(len, docs)])[:-1]] = True
-    side = max(1, min(SIDE, len(flat) // WINDOW))
-    length = len(flat) // side
-    tokens, begins = flat[: side * length].reshape(side, length), first[: side * length].reshape(side, length)
-    h = np.zeros((side, HIDDEN), np.float32)
-    squares = [np.full(a.shape, 1e-3, np.float32) for a in net.learned()]
-    previous, known = np.zeros(side, np.int64), np.zeros(side, bool)
-    for at in range(0, length, WINDOW):
-        steps = min(WINDOW, length - at)
-        saved, states, inputs = [], [], []
-        for t in range(at, at + steps):
-            live = known & ~begins[:, t]
-            new, memo = _step(net, h, net.inputs[previous])
-            h = np.where(live[:, None], new, np.float32(0))
-            saved.append((memo, live))
-            inputs.append(previous)
-            states.append(h)
-            previous, known = tokens[:, t], np.ones(side, bool)
-        s, y = np.concatenate(states), tokens[:, at : at + steps].T.reshape(-1)
-        grads = [np.zeros_like(a) for a in net.learned()]
-        d_state = _output_gradients(net, s, y, grads).reshape(steps, side, HIDDEN)
-        d_h = np.zeros((side, HIDDEN), np.float32)
-        for k in reversed(range(steps)):
-            (before, r, z, c, gc), live = saved[k]
-            d = np.where(live[:, None], d_state[k] + d_h, np.float32(0))
-            dz, da = d * (before - c) * z * (1 - z), d * (1 - z) * (1 - c * c)
-            dr = da * gc * r * (1 - r)
-            dg = np.concatenate([dr, dz, da * r], 1)
-            np.add.at(grads[0], inputs[k], np.concatenate([dr, dz, da], 1))
-            grads[1] += before.T @ dg
-            d_h = d * z + dg @ net.recurrent.T
-        scale = np.float32(len(y) ** -0.5)
-        for a, g, q in zip(net.learned(), grads, squares, strict=True):
-            g *= scale
-            np.clip(g, -1, 1, out=g)
-            q += g * g
-            a -= np.float32(rate) * g / np.sqrt(q)
-    return side * length
+    steps, side = targets.shape
+    x = net.inputs.take(inputs, 0)
+    h_before, gates, cand, sums = (np.empty((steps, side, n), np.float32) for n in (HIDDEN, 2 * HIDDEN, HIDDEN, HIDDEN))
+    states = np.ones((steps, side, HIDDEN + 1), np.float32)
+    on = live.astype(np.float32)[:, :, None]
+    for k in range(steps):
+        h_before[k] = h
+        h, gates[k], cand[k], sums[k] = _step(net, h, x[k])
+        h *= on[k]
+        states[k, :, :HIDDEN] = h
+    grads = [np.zeros_like(a) for a in net.learned()]
+    every = real.all()
+    flat = states.reshape(-1, HIDDEN + 1)
+    d_state = np.zeros_like(flat)
+    if every:
+        d_state = _output_gradients(net, flat, targets.reshape(-1), grads)
+    elif real.any():
+        at = np.flatnonzero(real)
+        d_state[at] = _output_gradients(net, flat[at], targets.reshape(-1)[at], grads)
+    d_state = d_state.reshape(steps, side, HIDDEN + 1)[:, :, :HIDDEN]
+    r, z = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+    to_z = (h_before - cand) * z * (1 - z)
+    to_c = (1 - z) * (1 - cand * cand)
+    to_r = sums * r * (1 - r)
+    d_sums = np.empty((steps, side, 3 * HIDDEN), np.float32)
+    d_cand = np.empty((steps, side, HIDDEN), np.float32)
+    back = np.ascontiguousarray(net.recurrent.T)
+    d_h = np.zeros((side, HIDDEN), np.float32)
+    for k in reversed(range(steps)):
+        d = d_state[k] + d_h
+        d *= on[k]
+        dg, dc = d_sums[k], d_cand[k]
+        np.multiply(d, to_c[k], out=dc)
+        np.multiply(dc, to_r[k], out=dg[:, :HIDDEN])
+        np.multiply(d, to_z[k], out=dg[:, HIDDEN : 2 * HIDDEN])
+        np.multiply(dc, r[k], out=dg[:, 2 * HIDDEN :])
+        d_h = dg @ back
+        d_h += d * z[k]
+    d_sums = d_sums.reshape(-1, 3 * HIDDEN)
+    np.matmul(h_before.reshape(-1, HIDDEN).T, d_sums, out=grads[1])
+    d_sums[:, 2 * HIDDEN :] = d_cand.reshape(-1, HIDDEN)
+    places = (inputs.reshape(-1) * d_sums.shape[1])[:, None] + np.arange(d_sums.shape[1])
+    grads[0][...] = np.bincount(places.reshape(-1), d_sums.reshape(-1), grads[0].size).reshape(grads[0].shape)
+    return h, grads
+
+
+class Trainer:
+    """Truncated back-propagation with Adagrad steps over documents laid end to end in `side` streams.
+
+    The state is carried from window to window and reset where a document begins; gradients stop
+    at a window's start.
+    """
+
+    def __init__(self, net: Network, side: int, rate: float) -> None:
+        self.net, self.side, self.rate = net, side, np.float32(rate)
+        self.squares = [np.full(a.shape, 1e-3, np.float32) for a in net.learned()]
+
+    def learn(self, flat: np.ndarray, sizes: np.ndarray) -> int:
+        """Train on documents given as their symbols, end to end, and their sizes; returns the tokens learned from: all of them."""
+        if not len(flat):
+            return 0
+        first = np.zeros(len(flat), bool)
+        first[np.cumsum(sizes) - sizes] = True
+        side = max(1, min(self.side, len(flat) // WINDOW))
+        length = -(-len(flat) // side)
+        pad = lambda x, value: np.concatenate([x, np.full(side * length - len(x), value, x.dtype)]).reshape(side, length).T
+        targets, begins, real = pad(flat, 0), pad(first, True), pad(np.ones(len(flat), bool), False)
+        begins[0] = True
+        inputs = np.concatenate([np.zeros((1, side), targets.dtype), targets[:-1]])
+        h = np.zeros((side, HIDDEN), np.float32)
+        for at in range(0, length, WINDOW):
+            part = slice(at, at + WINDOW)
+            h, grads = window_gradients(self.net, h, inputs[part], ~begins[part], targets[part], real[part])
+            scale = np.float32(max(1, real[part].sum()) ** -0.5)
+            for a, g, q in zip(self.net.learned(), grads, self.squares, strict=True):
+                g *= scale
+                np.clip(g, -1, 1, out=g)
+                q += g * g
+                g /= np.sqrt(q)
+                g *= self.rate
+                a -= g
+        return len(flat)
 
 
 def score_documents(net: Network, docs: list[np.ndarray]) -> np.ndarray:
@@ -262,7 +413,7 @@ def score_documents(net: Network, docs: list[np.ndarray]) -> np.ndarray:
         return np.zeros(0)
     order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
     sizes = np.array([len(docs[i]) for i in order])
-    flat = np.concatenate([docs[i] for i in order])
+    flat = np.concatenate([docs[i] for i in order]).astype(np.int64)
     begin = np.cumsum(sizes) - sizes
     going = len(docs) - np.searchsorted(sizes[::-1], np.arange(sizes[0]), "right")  # documents longer than t
     sums = np.zeros(len(docs))
@@ -273,9 +424,9 @@ def score_documents(net: Network, docs: list[np.ndarray]) -> np.ndarray:
     held = 0
     for t, n in enumerate(going.tolist()):
         if t:
-            h = _step(net, h[:n], net.inputs[symbol[:n]])[0]
+            h = _step(net, h[:n], net.inputs.take(symbol[:n], 0))[0]
         symbol = flat[begin[:n] + t]
-        states.append(h)
+        states.append(np.pad(h, ((0, 0), (0, 1)), constant_values=1))
         targets.append(symbol)
         held += n
         if held >= BUFFER or t + 1 == len(going):
@@ -304,51 +455,87 @@ class Model:
     train_types: int  # V
     net: Network
 
-    def symbol_of(self, hashes: np.ndarray, endings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols, and whether they are the tokens' own."""
-        if not len(self.frequent):
-            return self.ending_symbols[np.maximum(endings, 0)], np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
-        own = self.frequent[at] == hashes
-        return np.where(own, self.symbols[at], self.ending_symbols[np.maximum(endings, 0)]), own
-
+    def symbol_of(self, endings: np.ndarray, fat: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of a vocabulary, and whether they are the tokens' own; `fat` are places of tokens that may have one, with their hashes."""
+        symbols, own = self.ending_symbols[endings], np.zeros(len(endings), bool)
+        if len(self.frequent):
+            at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
+            found = self.frequent[at] == hashes
+            symbols[fat[found]], own[fat[found]] = self.symbols[at[found]], True
+        return symbols, own
 
-def _encoded(texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Documents as numbers of distinct tokens (0 is the end), with the tokens' hashes and endings."""
-    ids: dict[bytes | None, int] = {None: 0}
-    docs = [np.array([*(ids.setdefault(w, len(ids)) for w in _words(t)), 0], np.int64) for t in texts]
-    words = list(ids)[1:]
-    return docs, np.array([END, *map(_hash, words)], np.int64), np.array([-1, *map(_ending, words)], np.int64)
 
-
-def fit(docs: DataFrame, learn: Column, text: str = "text", id_col: str = "doc_id") -> tuple[Model, DataFrame]:
-    """The model, and the corpus counts that scoring needs: (chunk, hash, c) of each word that a chunk has.
-
-    Counts, N, V and the shares of endings are over all rows of `learn`. The network is warmed up
-    on a sample bounded by WARM_TOKENS and then trained by all tasks side by side, each on all of its
-    training documents, whole; their networks are averaged by tokens.
-    """
-    marked = docs.select(F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"), F.xxhash64(id_col, text).alias("h"))
-    local = _chunk_words(marked)
-    counted = written(local.selectExpr("hash", "chunk", "ending", "sum(cast(n as bigint)) over (partition by hash) as c", "row_number() over (partition by hash order by chunk) = 1 as first"), "lm-counts")
-    types = counted.where("first and c > 0")
-    tokens, kinds = types.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
-    # a share of one in a million or more: a million tokens at most, however many there are
-    top = types.where(F.col("c") * 1_000_000 >= tokens).orderBy(F.desc("c"), "hash").select("hash", "c").limit(FREQUENT).collect()
-    known = F.broadcast(docs.sparkSession.createDataFrame([(r["hash"],) for r in top], "hash long"))  # FREQUENT rows at most
-    rare = types.where("ending >= 0").join(known, "hash", "left_anti").groupBy("ending").agg(F.sum("c").alias("c"), F.count("c").alias("v")).collect()
+def _model(counts: DataFrame, total: int) -> Model:
+    """Symbols, and a network that isn't trained yet."""
+    top = counts.where("hash is not null").orderBy(F.desc("n"), "hash").select("hash", "ending", "n").limit(FREQUENT).collect()
     ending_tokens, ending_types = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    for r in rare:
-        ending_tokens[r["ending"]], ending_types[r["ending"]] = r["c"], r["v"]
-    counts = np.append(ending_tokens, [r["c"] for r in top])
-    rank = np.argsort(-counts, kind="stable")  # frequent symbols share classes with frequent ones
-    number = np.empty(len(counts), np.int64)
-    number[rank] = np.arange(len(counts))
+    kinds = 0
+    for r in counts.where("types is not null").groupBy("ending").agg(F.sum("n").alias("n"), F.sum("types").alias("types")).collect():
+        kinds += r["types"]
+        if r["ending"] >= 0:
+            ending_tokens[r["ending"]], ending_types[r["ending"]] = r["n"], r["types"]
+    for r in top:
+        if r["ending"] >= 0:
+            ending_tokens[r["ending"]] -= r["n"]
+            ending_types[r["ending"]] -= 1
+    n = np.append(ending_tokens, [r["n"] for r in top])
+    rank = np.argsort(-n, kind="stable")  # frequent symbols share classes with frequent ones
+    number = np.empty(len(n), np.int64)
+    number[rank] = np.arange(len(n))
     hashes = np.array([r["hash"] for r in top], np.int64)
     order = np.argsort(hashes)
-    model = Model(hashes[order], number[ENDINGS:][order], number[:ENDINGS], ending_tokens, ending_types, int(tokens), int(kinds), new_network(counts[rank]))
-    _train(marked, model)
-    return model, counted.select("chunk", "hash", "c")
+    return Model(hashes[order], number[ENDINGS:][order], number[:ENDINGS], ending_tokens, ending_types, int(total), int(kinds), new_network(n[rank]))
+
+
+def _encoded(tokens: DataFrame, counts: DataFrame, model: Model, kind: str) -> DataFrame:
+    """One row per document, written: id, learn, round, n_tokens, n_known, base and extra (log10, of the words within their endings), symbols."""
+    schema = f"id {kind}, learn boolean, round int, n_tokens long, n_known long, base double, extra double, symbols binary"
+    out = arrow_schema(schema)
+    shared = tokens.sparkSession.sparkContext.broadcast(model)
+
+    def run(part: pa.Table, words: pa.Table) -> pa.Table:
+        m: Model = shared.value
+        if not part.num_rows:
+            return pa.Table.from_arrays([pa.array([], f.type) for f in out], schema=out)
+        if not words.num_rows:
+            raise ValueError("a chunk's vocabulary isn't whole")
+        words = words.sort_by("start")
+        joined = lambda name, t: np.frombuffer(b"".join(column(words, name)), t)
+        c, endings, hashes = joined("c", np.int64), joined("endings", np.uint8), joined("fat_hashes", np.int64)
+        fat = np.concatenate([np.frombuffer(x, np.int32) + start for x, start in zip(column(words, "fat"), column(words, "start"), strict=True)])
+        flat, sizes = np.frombuffer(b"".join(column(part, "tokens")), np.int32), np.array(column(part, "n_tokens"), np.int64)
+        if len(endings) != len(c) or flat.max() >= len(c):
+            raise ValueError("a chunk's vocabulary isn't whole")
+        symbols, own = m.symbol_of(endings, fat, hashes)
+        base = np.log10((c + 1) / (m.train_tokens + m.train_types + 1))
+        extra = np.log10((c + 1) / (m.ending_tokens[endings] + m.ending_types[endings] + 1))
+        extra[own] = 0.0
+        extra[0] = 0.0
+        first = np.cumsum(sizes) - sizes
+        coded = symbols.astype("<u2")[flat].tobytes()
+        cut = [coded[2 * a : 2 * (a + n)] for a, n in zip(first.tolist(), sizes.tolist(), strict=True)]
+        columns = {
+            "id": part.column("id").combine_chunks(), "learn": part.column("learn").combine_chunks(), "round": part.column("round").combine_chunks(),
+            "n_tokens": sizes, "n_known": np.add.reduceat((c > 0)[flat].astype(np.int64), first),
+            "base": np.add.reduceat(base[flat], first), "extra": np.add.reduceat(extra[flat], first), "symbols": cut,
+        }
+        return pa.Table.from_arrays([columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], f.type) for f in out], schema=out)
+
+    docs = tokens.where("tokens is not null").select("chunk", "id", "learn", "round", "n_tokens", "tokens")
+    of_chunks = counts.where("chunk is not null").select("chunk", "start", "c", "endings", "fat", "fat_hashes")
+    return written(docs.groupBy("chunk").cogroup(of_chunks.groupBy("chunk")).applyInArrow(run, schema), "lm-encoded")
+
+
+def _symbol_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows in pieces of about TRAIN_TOKENS tokens, with their symbols end to end and their sizes."""
+    for batch in batches:
+        at = batch.schema.get_field_index("symbols")
+        sizes = pa.compute.binary_length(batch.column(at)).to_numpy(zero_copy_only=False).astype(np.int64) // 2
+        cut = np.flatnonzero(np.diff(np.cumsum(sizes) // TRAIN_TOKENS, prepend=0)).tolist()
+        for a, b in zip([0, *cut], [*cut, len(sizes)], strict=True):
+            if b > a:
+                part = batch.slice(a, b - a)
+                yield part, np.frombuffer(b"".join(part.column(at).to_pylist()), "<u2").astype(np.int64), sizes[a:b]
 
 
 def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,76 +548,65 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([weight]), pa.array([(total / weight).astype("<f4").tobytes()], pa.binary())], ["weight", "net"])
 
 
-def _train(marked: DataFrame, model: Model) -> None:
-    rows = marked.where("learn and text is not null").select("text", "h")
-    # a few thousand rows by hash of id and text first, so that what is ordered doesn't grow with the input and copies come in by their share
-    few = F.pmod("h", F.lit(max(1, rows.count() // (4 * WARM_DOCS)))) == 0
-    sample = rows.where(few & (F.length("text") <= WARM_CHARS)).orderBy("h").limit(WARM_DOCS).select("text").collect()
-    docs, hashes, endings = _encoded([r["text"] for r in sample])
-    symbols, _ = model.symbol_of(hashes, endings)
-    size = np.cumsum([len(d) for d in docs])
-    docs = [symbols[d] for d, n in zip(docs, size, strict=True) if n <= WARM_TOKENS]
-    for rate in (0.08, 0.04):
-        train(model.net, docs, rate)
-    shared = marked.sparkSession.sparkContext.broadcast(model)
+def _train(encoded: DataFrame, model: Model) -> None:
+    """Train on all documents of `learn`, each in one round and whole."""
+    schema = "weight double, net binary"
+    for number, (_, side, rate) in enumerate(ROUNDS):
+        shared = encoded.sparkSession.sparkContext.broadcast(model.net)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, side=side, rate=rate) -> Iterator[pa.RecordBatch]:
+            net, weight = shared.value.copy(), 0
+            trainer = Trainer(net, side, rate)
+            for _, flat, sizes in _symbol_pieces(batches):
+                weight += trainer.learn(flat, sizes)
+            if weight:
+                yield pa.RecordBatch.from_arrays([pa.array([float(weight)]), pa.array([net.packed()], pa.binary())], ["weight", "net"])
+
+        nets = written(encoded.where((F.col("round") == number) & F.col("learn")).select("symbols").mapInArrow(run, schema), "lm-nets")
+        n = nets.count()
+        while n > 1:  # about sixteen networks at a time in each task
+            n = -(-n // 16)
+            nets = written(nets.repartition(n).mapInArrow(_average, schema), "lm-nets")
+        for r in nets.collect():  # one, or none without a document
+            model.net.unpack(r["net"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, weight = shared.value.net.copy(), 0
-        for _, part in _chunked(batches):
-            docs, hashes, endings = _encoded(column(part, "text"))
-            symbols, _ = shared.value.symbol_of(hashes, endings)
-            weight += train(net, [symbols[d] for d in docs], 0.01)
-        if weight:
-            yield pa.RecordBatch.from_arrays([pa.array([float(weight)]), pa.array([net.packed()], pa.binary())], ["weight", "net"])
 
-    schema = "weight double, net binary"
-    nets = written(rows.select("text").mapInArrow(run, schema), "lm-nets")
-    n = nets.count()
-    while n > 1:  # about sixteen networks at a time in each task
-        n = -(-n // 16)
-        nets = written(nets.repartition(n).mapInArrow(_average, schema), "lm-nets")
-    for r in nets.collect():
-        model.net.unpack(r["net"])
+def fit(docs: DataFrame, learn: Column, text: str = "text", id_col: str = "doc_id") -> tuple[Model, DataFrame]:
+    """The trained model, and all documents as symbols with their counts and base scores.
+
+    Counts, N, V, the shares of endings and the network come from all rows of `learn`, whole.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    share = F.pmod(F.xxhash64(id_col, text), F.lit(sum(n for n, _, _ in ROUNDS)))
+    number = sum((share >= sum(n for n, _, _ in ROUNDS[:k])).cast("int") for k in range(1, len(ROUNDS)))
+    marked = docs.select(F.col(id_col).alias("id"), F.coalesce(learn, F.lit(False)).alias("learn"), number.alias("round"), F.col(text).alias("text"))
+    tokens = _tokens(marked, kind)
+    counts, total = _counted(tokens)
+    model = _model(counts, total)
+    encoded = _encoded(tokens, counts, model, kind)
+    discard(tokens, counts)
+    _train(encoded, model)
+    return model, encoded
 
 
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
 
-    docs must be a stored table: it is read more than once, and must come in the same order each
-    time (use `written` first for anything else). A null or empty text is its end token alone.
-    Without any training document every token is unknown. Repeated rows and ids are scored one by
-    one; other columns are ignored.
+    A null or empty text is its end token alone. Without any training document every token is
+    unknown. Repeated rows and ids are scored one by one; other columns are ignored.
     """
-    model, counts = fit(docs, learn, text, id_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model, encoded = fit(docs, learn, text, id_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model.net)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"{id_col} {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     out = arrow_schema(schema)
+    train_tokens = model.train_tokens
 
-    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, part in _chunked(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, number)), part.column(0), part.column(1)], ["chunk", id_col, "text"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, flat, sizes in _symbol_pieces(batches):
+            net = score_documents(shared.value, np.split(flat, np.cumsum(sizes)[:-1])) / np.log(10)
+            scores = net + part.column("extra").to_numpy(zero_copy_only=False)
+            columns = [part.column("id"), part.column("n_tokens"), part.column("n_known"), pa.array([train_tokens] * part.num_rows, pa.int64()), part.column("base"), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, schema=out)
 
-    def run(part: pa.Table, words: pa.Table) -> pa.Table:
-        m: Model = shared.value
-        docs, hashes, endings = _encoded(part.column("text").to_pylist())
-        known, c = words.column("hash").to_numpy(), words.column("c").to_numpy()
-        order = np.argsort(known)
-        c = c[order][np.searchsorted(known[order], hashes)].astype(np.float64)
-        base = np.log10((c + 1) / (m.train_tokens + m.train_types + 1))
-        symbols, own = m.symbol_of(hashes, endings)
-        e = np.maximum(endings, 0)
-        extra = np.where(own | (endings < 0), 0.0, np.log10((c + 1) / (m.ending_tokens[e] + m.ending_types[e] + 1)))
-        net = score_documents(m.net, [symbols[d] for d in docs]) / np.log(10)
-        columns = [
-            part.column(id_col).combine_chunks(),
-            pa.array([len(d) for d in docs], pa.int64()),
-            pa.array([int((c[d] > 0).sum()) for d in docs], pa.int64()),
-            pa.array([m.train_tokens] * len(docs), pa.int64()),
-            pa.array([float(base[d].sum()) for d in docs]),
-            pa.array([float(n + extra[d].sum()) for n, d in zip(net, docs, strict=True)]),
-        ]
-        return pa.Table.from_arrays(columns, schema=out)
-
-    tagged = docs.select(F.col(id_col), F.col(text).alias("text")).mapInArrow(tag, f"chunk long, {id_col} {kind}, text string")
-    return tagged.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(run, schema)
+    return encoded.select("id", "n_tokens", "n_known", "base", "extra", "symbols").mapInArrow(run, schema)
