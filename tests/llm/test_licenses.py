@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 
@@ -70,6 +72,44 @@ def test_odd_texts(spark):
     assert licenses.digest(licenses.scan(df.limit(0))).count() == 0
 
 
+RNG = random.Random(5)
+PHRASES = ["MIT License", "the Apache License, Version 2.0", "GNU General Public License v3", "licensed under the MIT license", "some words", "a", "BSD 3-clause license", "SPDX-License-Identifier: MIT"]
+
+
+def test_overlaps_agree_with_the_plain_version(spark):
+    """Random texts full of detections, more of them than are judged in one run."""
+    texts = [" ".join(RNG.choice(PHRASES) for _ in range(RNG.choice([1, 3, 10, 40]))) for _ in range(60)] + [" ".join(RNG.choice(PHRASES) for _ in range(700))]
+    found = licenses.digest(licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"))).collect()
+    for r in found:
+        expected = plain(texts[r["doc_id"]])
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"]) == expected[:6]
+        assert r["score"] == pytest.approx(expected[6])
+
+
+def test_work_is_linear_in_matches(spark):
+    """50,000 places in one document; the second call is timed, after the first has planned and compiled."""
+    text = "MIT license, apache license; general public license and more. " * 16_700
+    df = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    for _ in range(2):
+        began = time.time()
+        r = licenses.digest(licenses.scan(df)).first()
+        took = time.time() - began
+    assert r["n_base"] == 50_100 and r["labels"] == "apache,gpl,mit" and took < 20
+
+
+def test_names_that_clash(spark):
+    df = spark.createDataFrame([("mit license", "w", 1, "k")], "text string, words string, words_ int, kept string")
+    r = licenses.scan(df).first()
+    assert (r["words"], r["words_"], r["n_words"], len(r["kept"])) == ("w", 1, 2, 2)
+
+
+def test_rules_may_have_any_ids(spark):
+    rules = [dict(id=70, label="x", priority=4, keyword="foo", pattern="(?<= )(?:foo bar)(?= )", base=False), dict(id=3, label="y", priority=4, keyword="bar", pattern="(?<= )(?:bar)(?= )", base=False)]
+    r = licenses.scan(spark.createDataFrame([("Foo bar foo bar bar",)], "text string"), rules).first()
+    assert [(h["start"], h["end"], h["id"]) for h in r["hits"]] == [(0, 2, 70), (2, 4, 70), (1, 2, 3), (3, 4, 3), (4, 5, 3)]
+    assert [(h["start"], h["id"]) for h in r["kept"]] == [(0, 70), (2, 70), (4, 3)]
+
+
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = op7_licenses(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
