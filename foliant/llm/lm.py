@@ -47,9 +47,9 @@ HIDDEN = 24
 #: Tokens that a window of training has.
 WINDOW = 32
 #: Rounds of training: sixteenths of the training documents, streams side by side, rate.
-ROUNDS = ((1, 32, 0.15), (1, 32, 0.15), (2, 64, 0.15), (4, 128, 0.12), (8, 256, 0.1))
-#: Tokens that a task trains on at a time; states kept before the outputs are evaluated.
-TRAIN_TOKENS, BUFFER = 1_000_000, 16_384
+ROUNDS = ((1, 64, 0.2), (1, 64, 0.2), (2, 128, 0.2), (4, 256, 0.2), (8, 256, 0.15))
+#: Tokens that a task trains on at a time, and that it scores side by side; states kept before the outputs are evaluated.
+TRAIN_TOKENS, SCORE_TOKENS, BUFFER = 1_000_000, 4_000_000, 16_384
 #: Stands for the hash of the end token; words' hashes are positive.
 END = 0
 
@@ -237,8 +237,8 @@ def new_network(counts: np.ndarray, seed: int = 7) -> Network:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place. Sums are held within what single precision can take the exponential of."""
-    np.clip(x, -80, 80, out=x)
+    """In place. Sums are held above what single precision can take the exponential of."""
+    np.maximum(x, -80, out=x)
     np.negative(x, out=x)
     np.exp(x, out=x)
     x += 1
@@ -419,23 +419,23 @@ def score_documents(net: Network, docs: list[np.ndarray]) -> np.ndarray:
     sums = np.zeros(len(docs))
     h = np.zeros((len(docs), HIDDEN), np.float32)
     symbol = np.zeros(len(docs), np.int64)
-    states: list[np.ndarray] = []
+    states = np.ones((BUFFER + len(docs), HIDDEN + 1), np.float32)
     targets: list[np.ndarray] = []
     held = 0
     for t, n in enumerate(going.tolist()):
         if t:
             h = _step(net, h[:n], net.inputs.take(symbol[:n], 0))[0]
         symbol = flat[begin[:n] + t]
-        states.append(np.pad(h, ((0, 0), (0, 1)), constant_values=1))
+        states[held : held + n, :HIDDEN] = h
         targets.append(symbol)
         held += n
         if held >= BUFFER or t + 1 == len(going):
-            found = log_probs(net, np.concatenate(states), np.concatenate(targets))
+            found = log_probs(net, states[:held], np.concatenate(targets))
             at = 0
             for x in targets:
                 sums[: len(x)] += found[at : at + len(x)]
                 at += len(x)
-            states, targets, held = [], [], 0
+            targets, held = [], 0
     total = np.empty(len(docs))
     total[order] = sums
     return total
@@ -526,12 +526,12 @@ def _encoded(tokens: DataFrame, counts: DataFrame, model: Model, kind: str) -> D
     return written(docs.groupBy("chunk").cogroup(of_chunks.groupBy("chunk")).applyInArrow(run, schema), "lm-encoded")
 
 
-def _symbol_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Rows in pieces of about TRAIN_TOKENS tokens, with their symbols end to end and their sizes."""
+def _symbol_pieces(batches: Iterator[pa.RecordBatch], tokens: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows in pieces of about so many tokens, with their symbols end to end and their sizes."""
     for batch in batches:
         at = batch.schema.get_field_index("symbols")
         sizes = pa.compute.binary_length(batch.column(at)).to_numpy(zero_copy_only=False).astype(np.int64) // 2
-        cut = np.flatnonzero(np.diff(np.cumsum(sizes) // TRAIN_TOKENS, prepend=0)).tolist()
+        cut = np.flatnonzero(np.diff(np.cumsum(sizes) // tokens, prepend=0)).tolist()
         for a, b in zip([0, *cut], [*cut, len(sizes)], strict=True):
             if b > a:
                 part = batch.slice(a, b - a)
@@ -557,7 +557,7 @@ def _train(encoded: DataFrame, model: Model) -> None:
         def run(batches: Iterator[pa.RecordBatch], shared=shared, side=side, rate=rate) -> Iterator[pa.RecordBatch]:
             net, weight = shared.value.copy(), 0
             trainer = Trainer(net, side, rate)
-            for _, flat, sizes in _symbol_pieces(batches):
+            for _, flat, sizes in _symbol_pieces(batches, TRAIN_TOKENS):
                 weight += trainer.learn(flat, sizes)
             if weight:
                 yield pa.RecordBatch.from_arrays([pa.array([float(weight)]), pa.array([net.packed()], pa.binary())], ["weight", "net"])
@@ -566,9 +566,11 @@ def _train(encoded: DataFrame, model: Model) -> None:
         n = nets.count()
         while n > 1:  # about sixteen networks at a time in each task
             n = -(-n // 16)
-            nets = written(nets.repartition(n).mapInArrow(_average, schema), "lm-nets")
+            before, nets = nets, written(nets.repartition(n).mapInArrow(_average, schema), "lm-nets")
+            discard(before)
         for r in nets.collect():  # one, or none without a document
             model.net.unpack(r["net"])
+        discard(nets)
 
 
 def fit(docs: DataFrame, learn: Column, text: str = "text", id_col: str = "doc_id") -> tuple[Model, DataFrame]:
@@ -603,7 +605,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "t
     train_tokens = model.train_tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, flat, sizes in _symbol_pieces(batches):
+        for part, flat, sizes in _symbol_pieces(batches, SCORE_TOKENS):
             net = score_documents(shared.value, np.split(flat, np.cumsum(sizes)[:-1])) / np.log(10)
             scores = net + part.column("extra").to_numpy(zero_copy_only=False)
             columns = [part.column("id"), part.column("n_tokens"), part.column("n_known"), pa.array([train_tokens] * part.num_rows, pa.int64()), part.column("base"), pa.array(scores)]
