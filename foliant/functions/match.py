@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..vocab import Vocabulary
+from .arrays import let
 from .text import spans, strip
 
 #: Flags of every pattern: ignore case, and letters, digits and boundaries as Unicode has them.
@@ -30,14 +31,25 @@ def find_terms(text: Column, vocabulary: Vocabulary) -> Column:
 
 
 def locate_terms(text: Column, vocabulary: Vocabulary) -> Column:
-    """Every match of every term as (start, end, text, canonical), by start, then vocabulary order."""
+    """Every match of every term as (start, end, text, canonical), by start, then vocabulary order.
+
+    Literal patterns tell which terms occur; only these are located.
+    """
     text = F.coalesce(text, F.lit(""))
-    parts = (_labelled(spans(text, FLAGS + vocabulary.pattern(t)), c, i) for i, (c, t) in enumerate(vocabulary.terms()))
-    return F.transform(F.array_sort(F.concat(*parts)), lambda m: F.struct(m["start"], m["end"], m["text"], m["canonical"]))
+    terms = vocabulary.terms()
+    table = F.array(*(F.struct(F.lit(FLAGS + vocabulary.pattern(t)).alias("pattern"), F.lit(c).alias("canonical")) for c, t in terms))
+    there = F.filter(F.array(*(F.when(text.rlike(FLAGS + vocabulary.pattern(t)), F.lit(i)) for i, (_, t) in enumerate(terms))), lambda i: i.isNotNull())
+
+    def of(i: Column) -> Column:
+        return let(F.element_at(table, i + 1), lambda e: F.transform(spans(text, e["pattern"]), lambda m: F.struct(m["start"], i.alias("ord"), m["end"], m["text"], e["canonical"])))
+
+    return F.transform(F.array_sort(F.flatten(F.transform(there, of))), lambda m: F.struct(m["start"], m["end"], m["text"], m["canonical"]))
 
 
-def _labelled(found: Column, canonical: str, order: int) -> Column:
-    return F.transform(found, lambda m: F.struct(m["start"], F.lit(order).alias("ord"), m["end"], m["text"], F.lit(canonical).alias("canonical")))
+def raw_matches(caption: Column, contexts: Column, extra: Column, vocabulary: Vocabulary) -> Column:
+    """The texts of all matches as they stand, of the caption, then the contexts, then further text; each text's by place."""
+    sources = F.concat(F.array(caption), F.coalesce(contexts, F.array().cast("array<string>")), F.array(extra))
+    return F.flatten(F.transform(sources, lambda t: F.transform(locate_terms(t, vocabulary), lambda m: m["text"])))
 
 
 def _map(vocabulary: Vocabulary) -> Column:

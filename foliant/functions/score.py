@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..vocab import Keywords
+from .arrays import let
 
 # Patterns for and against, and words that go with "circuit".
 FOR = (
@@ -87,33 +88,35 @@ class Weights:
     context_threshold: float = 0.3
 
 
-def _which(text: Column, names: tuple[str, ...], how) -> Column:
-    return F.filter(F.array(*(F.when(how(text, n), F.lit(n)) for n in names)), lambda x: x.isNotNull())
+def _parts(text: Column, parts: tuple[str, ...]) -> Column:
+    """Those that occur as substrings, in order."""
+    return F.filter(F.array(*(F.lit(p) for p in parts)), lambda p: F.contains(text, p))
 
 
-def _has(text: Column, part: str) -> Column:
-    return text.contains(part)
+def _words(text: Column, words: tuple[str, ...]) -> Column:
+    """Those that stand in a lower-cased text as whole words, in order.
 
+    Words of letters, digits and underscores only are looked up among the text's words; of the others
+    only those that occur as substrings are searched with their boundaries.
+    """
+    simple = re.compile(r"\w+")
+    single = [w for w in words if simple.fullmatch(w)]
+    other = [F.struct(F.lit(w).alias("word"), F.lit(rf"(?U)\b{re.escape(w)}\b").alias("pattern")) for w in words if not simple.fullmatch(w)]
+    found = F.array_intersect(F.array(*(F.lit(w) for w in single)), F.regexp_extract_all(text, F.lit(r"(?U)\w+"), F.lit(0))) if single else F.array().cast("array<string>")
+    if other:
+        found = F.concat(found, F.transform(F.filter(F.array(*other), lambda o: F.contains(text, o["word"]) & F.regexp_like(text, o["pattern"])), lambda o: o["word"]))
+    return let(found, lambda f: F.filter(F.array(*(F.lit(w) for w in words)), lambda w: F.array_contains(f, w)))
 
-def _word(text: Column, word: str) -> Column:
-    """Whether a lower-case word stands in a lower-cased text; the cheap search goes first."""
-    return text.contains(word) & text.rlike(rf"(?U)\b{re.escape(word)}\b")
 
-
-def let(value: Column, body) -> Column:
-    """body(value), with the value worked out once however often the body names it."""
-    return F.transform(F.array(value), body)[0]
-
-
-def _number(text: Column, patterns: tuple[str, ...]) -> Column:
-    """How many of the patterns match somewhere; \\s and \\w as Unicode has them."""
-    return F.size(F.filter(F.array(*(text.rlike("(?U)" + p) for p in patterns)), lambda x: x))
+def _matching(text: Column, patterns: tuple[str, ...]) -> Column:
+    """The patterns that match somewhere, in order; \\s and \\w as Unicode has them."""
+    return F.filter(F.array(*(F.when(text.rlike("(?U)" + p), F.lit(p)) for p in patterns)), lambda p: p.isNotNull())
 
 
 def keyword_matches(text: Column, k: Keywords) -> Column:
     """Keywords that occur, by kind: primary and negative as substrings, the others as words."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    return F.struct(_which(low, k.primary, _has).alias("primary"), _which(low, k.secondary, _word).alias("secondary"), _which(low, k.entities, _word).alias("gates"), _which(low, k.negative, _has).alias("negative"))
+    return F.struct(_parts(low, k.primary).alias("primary"), _words(low, k.secondary).alias("secondary"), _words(low, k.entities).alias("gates"), _parts(low, k.negative).alias("negative"))
 
 
 def keyword_score(matches: Column, w: Weights = Weights()) -> Column:
@@ -131,14 +134,17 @@ def quick_indicator(text: Column, k: Keywords) -> Column:
 def caption_analysis(caption: Column, k: Keywords, w: Weights = Weights()) -> Column:
     """(is_circuit, confidence, keyword_score, pattern_score, evidence) of a caption; all 0 if it is null or empty."""
     low = F.lower(F.coalesce(caption, F.lit("")))
-    boosted = low.contains("circuit") & (F.size(_which(low, BOOSTING, _has)) > 0)
-    seen = F.struct(keyword_matches(caption, k).alias("m"), _number(low, FOR).alias("good"), _number(low, AGAINST).alias("bad"), boosted.alias("boosted"))
+    boosting = F.when(low.contains("circuit"), F.size(_parts(low, BOOSTING))).otherwise(0)
+    seen = F.struct(keyword_matches(caption, k).alias("m"), _matching(low, FOR).alias("good"), _matching(low, AGAINST).alias("bad"), boosting.alias("boosting"))
+    marked = lambda names, mark, most=None: F.transform(names, lambda x: F.concat(F.lit(mark), F.substring(x, 1, most), F.lit("...")) if most else F.concat(F.lit(mark), x))
 
     def scored(s: Column) -> Column:
-        raw = s["good"] * F.lit(w.for_pattern) + s["bad"] * F.lit(w.against_pattern) + F.when(s["boosted"], F.lit(w.boost)).otherwise(0.0)
-        raw = F.when((s["bad"] > 0) & (s["good"] == 0), F.least(raw, F.lit(-0.2))).otherwise(raw)
+        good, bad, boosted = F.size(s["good"]), F.size(s["bad"]), s["boosting"] > 0
+        raw = good * F.lit(w.for_pattern) + bad * F.lit(w.against_pattern) + F.when(boosted, F.lit(w.boost)).otherwise(0.0)
+        raw = F.when((bad > 0) & (good == 0), F.least(raw, F.lit(-0.2))).otherwise(raw)
         pattern = F.greatest(F.lit(-0.5), F.least(F.lit(1.0), raw + F.lit(0.3)))
-        evidence = F.concat(F.transform(s["m"]["primary"], lambda x: F.concat(F.lit("primary:"), x)), F.transform(F.slice(s["m"]["gates"], 1, 3), lambda x: F.concat(F.lit("gate:"), x)))
+        both = F.when(boosted, F.array(F.concat(F.lit("gate+circuit:"), s["boosting"].cast("string")))).otherwise(F.array().cast("array<string>"))
+        evidence = F.concat(marked(s["m"]["primary"], "primary:"), marked(F.slice(s["m"]["gates"], 1, 3), "gate:"), marked(s["good"], "pattern:", 30), marked(s["bad"], "negative:", 20), both)
         return F.struct(keyword_score(s["m"], w).alias("score"), pattern.alias("pattern"), evidence.alias("evidence"))
 
     def judged(r: Column) -> Column:
@@ -156,7 +162,7 @@ def context_analysis(contexts: Column, k: Keywords, w: Weights = Weights()) -> C
 
     def one(c: Column) -> Column:
         low = F.lower(F.coalesce(c, F.lit("")))
-        return let(keyword_matches(c, k), lambda m: F.struct((keyword_score(m, w) + _number(low, DESCRIBES) * F.lit(w.describes)).alias("score"), F.slice(m["primary"], 1, 2).alias("evidence")))
+        return let(keyword_matches(c, k), lambda m: F.struct((keyword_score(m, w) + F.size(_matching(low, DESCRIBES)) * F.lit(w.describes)).alias("score"), F.slice(m["primary"], 1, 2).alias("evidence")))
 
     def judged(rows: Column) -> Column:
         mean = F.aggregate(rows, F.lit(0.0), lambda s, r: s + r["score"]) / F.greatest(F.size(rows), F.lit(1))

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
+
+from .arrays import first_of_equal, let, sums_before
 
 #: White space at either end, Unicode-aware.
 _ENDS = r"(?U)^\s+|\s+$"
@@ -55,23 +59,23 @@ def clean_text(c: Column) -> Column:
     return F.coalesce(strip(F.regexp_replace(collapse(c), r"\[PAGE \d+\]", "")), F.lit(""))
 
 
-def spans(text: Column, pattern: str) -> Column:
+def spans(text: Column, pattern: str | Column) -> Column:
     """All matches as (start, end, text), offsets in code points, ends exclusive.
 
-    The offsets follow from the pieces between the matches, so no function with positions is
-    needed. The pattern must not match the empty string.
+    The offsets follow from the sizes of the matches and of the pieces between them, so no
+    function with positions is needed. The pattern must not match the empty string.
     """
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("hit"))
-    kind = "array<struct<start:int,end:int,text:string>>"
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, 0).alias("hit"))
+    sized = F.transform(pairs, lambda p: F.struct(F.length(p["gap"]).alias("gap"), F.coalesce(F.length(p["hit"]), F.lit(0)).alias("size"), p["hit"].alias("text")))
 
-    def step(state: Column, p: Column) -> Column:
-        start = state["at"] + F.length(p["gap"])
-        end = start + F.coalesce(F.length(p["hit"]), F.lit(0))
-        hit = F.struct(start.alias("start"), end.alias("end"), p["hit"].alias("text"))
-        return F.struct(end.alias("at"), F.when(p["hit"].isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(hit))).alias("out"))
+    def placed(rows: Column) -> Column:
+        before = sums_before(F.transform(rows, lambda r: r["gap"] + r["size"]))
+        every = F.transform(F.arrays_zip(rows.alias("r"), before.alias("at")), lambda z: F.struct((z["at"] + z["r"]["gap"]).alias("start"), (z["at"] + z["r"]["gap"] + z["r"]["size"]).alias("end"), z["r"]["text"].alias("text")))
+        return F.filter(every, lambda m: m["text"].isNotNull())
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
-    return F.coalesce(F.aggregate(pairs, zero, step, lambda s: s["out"]), F.array().cast(kind))
+    kind = "array<struct<start:int,end:int,text:string>>"
+    return F.coalesce(let(sized, placed), F.array().cast(kind))
 
 
 def page_markers(text: Column) -> Column:
@@ -98,9 +102,7 @@ def captions(text: Column) -> Column:
     number = lambda m: F.regexp_extract(m["text"], r"\d+", 0).cast("int")
     found = F.concat(*(spans(text, p) for p in CAPTIONS))
     rows = F.transform(found, lambda m: F.struct(number(m).alias("figure_number"), strip(m["text"]).alias("caption_text"), m["start"].alias("start"), m["end"].alias("end"), page_at(markers, m["start"]).alias("page")))
-    same = lambda a, b: (a["figure_number"] == b["figure_number"]) & (a["page"] == b["page"])
-    kind = "array<struct<figure_number:int,caption_text:string,start:int,end:int,page:int>>"
-    return F.aggregate(rows, F.array().cast(kind), lambda kept, r: F.when(F.exists(kept, lambda k: same(k, r)), kept).otherwise(F.concat(kept, F.array(r))))
+    return first_of_equal(rows, lambda r: F.struct(r["figure_number"], r["page"]))
 
 
 def references(text: Column, before: int = 100, after: int = 200) -> Column:
@@ -138,24 +140,35 @@ def paragraph_type(text: Column) -> Column:
     )
 
 
+@F.pandas_udf(ArrayType(IntegerType()))
+def _found_in_order(full: pd.Series, bodies: pd.Series) -> pd.Series:
+    """Where each text stands, searched from the end of the one before; a running position isn't an expression of linear cost."""
+
+    def of(text: str | None, parts: list | None) -> list[int]:
+        out, at = [], 0
+        for body in () if parts is None else parts:
+            found = (text or "").find(body or "", at)
+            out.append(at if found < 0 else found)
+            at = out[-1] + len(body or "")
+        return out
+
+    return pd.Series([of(t, p) for t, p in zip(full, bodies, strict=True)])
+
+
 def track_offsets(full: str, blocks: str) -> Column:
     """Paragraphs of the text column `full` from the array column `blocks` of (page, text), as (text, page, start, end, type).
 
     Each block is searched from the end of the one before; one that isn't found keeps the running
-    position. Blocks are stripped; blank ones are skipped.
+    position. Blocks are stripped; blank ones are skipped. Cost is linear in the text.
     """
-    kind = "array<struct<text:string,page:int,start:int,end:int,type:string>>"
-
-    def step(state: Column, b: Column) -> Column:
-        body = strip(b["text"])
-        # an array of one value holds the position, so that it is worked out once
-        at = F.transform(F.array(F.call_function("locate", body, F.col(full), state["at"] + 1) - 1), lambda p: F.when(p < 0, state["at"]).otherwise(p))[0]
-        row = F.struct(body.alias("text"), b["page"].alias("page"), at.alias("start"), (at + F.length(body)).alias("end"), paragraph_type(body).alias("type"))
-        blank = F.coalesce(F.length(body), F.lit(0)) == 0
-        return F.struct(F.when(blank, state["at"]).otherwise(at + F.length(body)).alias("at"), F.when(blank, state["out"]).otherwise(F.concat(state["out"], F.array(row))).alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
-    return F.aggregate(F.col(blocks), zero, step, lambda s: s["out"])
+
+    def paragraphs(rows: Column) -> Column:
+        starts = _found_in_order(F.col(full), F.transform(rows, lambda b: b["body"]))
+        row = lambda z: F.struct(z["b"]["body"].alias("text"), z["b"]["page"].alias("page"), z["at"].alias("start"), (z["at"] + F.length(z["b"]["body"])).alias("end"), paragraph_type(z["b"]["body"]).alias("type"))
+        return F.transform(F.arrays_zip(rows.alias("b"), starts.alias("at")), row)
+
+    stripped = F.transform(blocks, lambda b: F.struct(strip(b["text"]).alias("body"), b["page"].alias("page")))
+    return paragraphs(F.filter(stripped, lambda b: F.length(b["body"]) > 0))
 
 
 def find(full: Column, part: Column) -> Column:

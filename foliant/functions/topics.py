@@ -6,10 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..vocab import Vocabulary, generic_patterns, inferences
+from .arrays import let
 from .match import find_terms
 
 UNKNOWN = "Unspecified quantum circuit"
-_RESULT = "struct<algorithm:string,confidence:double,alternatives:array<string>,source:string>"
+_RESULT = "struct<algorithm:string,confidence:double,alternatives:array<string>,source:string,evidence:array<string>>"
 
 
 def _candidates(names: Column, confidence: float, source: str) -> Column:
@@ -24,12 +25,12 @@ def infer_topic(text: Column) -> Column:
 
 
 def identify_topic(caption: Column, contexts: Column, vocabulary: Vocabulary, section: Column | None = None) -> Column:
-    """(algorithm, confidence, alternatives, source).
+    """(algorithm, confidence, alternatives, source, evidence).
 
     Candidates: section title 1.0, caption 0.9, a generic pattern of the caption 0.7, a context
     0.6. The most confident wins, then the longest name, then the first by alphabet; the next three,
-    each once, are the alternatives. Without candidates a keyword decides (0.7), else the
-    topic is unknown (0.1).
+    each once, are the alternatives; the first five places are the evidence, generic patterns not
+    counted. Without candidates a keyword decides (0.7), else the topic is unknown (0.1).
     """
     caption = F.coalesce(caption, F.lit(""))
     contexts = F.coalesce(contexts, F.array().cast("array<string>"))
@@ -38,14 +39,18 @@ def identify_topic(caption: Column, contexts: Column, vocabulary: Vocabulary, se
     parts += [_candidates(find_terms(caption, vocabulary), 0.9, "caption"), _candidates(generic, 0.7, "caption_generic")]
     parts.append(_candidates(F.flatten(F.transform(contexts, lambda c: find_terms(c, vocabulary))), 0.6, "context"))
     inferred = infer_topic(F.concat_ws(" ", caption, F.concat_ws(" ", contexts)))
-    both = F.array(F.struct(F.array_sort(F.concat(*parts)).alias("found"), inferred.alias("inferred")))
+    told = [(section, "Section: ", 50, "")] if section is not None else []
+    told.append((caption, "Caption: ", 50, ""))
+    said = lambda t, mark, most, end: F.concat(F.lit(mark), F.substring(t, 1, most), F.lit(end))
+    places = F.concat(*(F.array_repeat(said(*x), F.size(find_terms(x[0], vocabulary))) for x in told))
+    places = F.concat(places, F.flatten(F.transform(contexts, lambda c: F.array_repeat(said(c, "Context: ", 40, "..."), F.size(find_terms(c, vocabulary))))))
 
     def choose(s: Column) -> Column:
         found, guess = s["found"], s["inferred"]
         first = F.try_element_at(found, F.lit(1))
-        best = F.struct(first["name"], -first["c"], F.array_distinct(F.transform(F.slice(found, 2, 3), lambda c: c["name"])), first["source"]).cast(_RESULT)
-        guessed = F.struct(F.try_element_at(guess, F.lit(1)), F.lit(0.7), F.slice(guess, 2, 100), F.lit("inference")).cast(_RESULT)
-        unknown = F.struct(F.lit(UNKNOWN), F.lit(0.1), F.array().cast("array<string>"), F.lit("fallback")).cast(_RESULT)
+        best = F.struct(first["name"], -first["c"], F.array_distinct(F.transform(F.slice(found, 2, 3), lambda c: c["name"])), first["source"], F.slice(s["places"], 1, 5)).cast(_RESULT)
+        guessed = F.struct(F.try_element_at(guess, F.lit(1)), F.lit(0.7), F.slice(guess, 2, 100), F.lit("inference"), F.array(F.concat(F.lit("Inferred from text patterns: "), F.array_join(guess, ", ")))).cast(_RESULT)
+        unknown = F.struct(F.lit(UNKNOWN), F.lit(0.1), F.array().cast("array<string>"), F.lit("fallback"), F.array().cast("array<string>")).cast(_RESULT)
         return F.when(F.size(found) > 0, best).when(F.size(guess) > 0, guessed).otherwise(unknown)
 
-    return F.transform(both, choose)[0]
+    return let(F.struct(F.array_sort(F.concat(*parts)).alias("found"), inferred.alias("inferred"), places.alias("places")), choose)

@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,14 +99,19 @@ def merge(boxes: np.ndarray, reach: float = 100.0) -> np.ndarray:
             continue
         left[seed] = False
         own = boxes[seed].copy()
-        grown = True
-        while grown:
-            grown = False
-            for j in np.flatnonzero(left):  # in order: what one takes in can bring the next within reach
-                if _near(own, boxes[j : j + 1], reach)[0]:
-                    own = np.array([*np.minimum(own[:2], boxes[j, :2]), *np.maximum(own[2:], boxes[j, 2:])])
-                    left[j] = False
-                    grown = True
+        at = taken = 0
+        while True:
+            # in order: what one takes in can bring the next within reach, and those before it on the next round
+            near = np.flatnonzero(left[at:] & _near(own, boxes[at:], reach))
+            if len(near):
+                j = at + int(near[0])
+                own = np.array([*np.minimum(own[:2], boxes[j, :2]), *np.maximum(own[2:], boxes[j, 2:])])
+                left[j] = False
+                at, taken = j + 1, taken + 1
+            elif taken:
+                at = taken = 0
+            else:
+                break
         out.append(own)
     return np.array(out).reshape(-1, 4)
 
@@ -113,22 +119,38 @@ def merge(boxes: np.ndarray, reach: float = 100.0) -> np.ndarray:
 def regions(drawings: DataFrame, eps: float = 80.0, reach: float = 100.0, margin: float = 10.0, most: int = 2000) -> DataFrame:
     """Figure regions of drawings: arxiv_id, page, region_ord, bbox, area; by top edge.
 
-    Drawings are clustered and merged per page (pages of more than `most` drawings are left out,
-    which bounds a group), filtered by shape, grown by a margin and clipped to the page.
+    Drawings are clustered and merged per page, filtered by shape, grown by a margin and clipped to the
+    page. Pages stream by in order; of a page of more than `most` drawings no more are held, and
+    it is left out, so one scan and one shuffle do. Missing boxes count for the bound only.
     """
-    rows = busy_pages_dropped(drawings, most).where("rect is not null").select("arxiv_id", "page", "draw_ord", "rect.*", "page_w", "page_h")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("draw_ord", kind="stable")
-        found = merge(cluster(pdf[["x0", "y0", "x1", "y1"]].to_numpy(float), eps), reach)
-        out = pd.DataFrame(found, columns=["x0", "y0", "x1", "y1"])
-        for c in ("arxiv_id", "page", "page_w", "page_h"):
-            out[c] = pdf[c].iloc[0]
-        out["seed"] = range(len(out))
-        return out
-
-    schema = "x0 double, y0 double, x1 double, y1 double, arxiv_id string, page int, page_w double, page_h double, seed int"
-    found = rows.groupBy("arxiv_id", "page").applyInPandas(run, schema).withColumn("b", F.struct("x0", "y0", "x1", "y1"))
+    rows = drawings.select("arxiv_id", "page", "draw_ord", "rect.*", "page_w", "page_h").repartition("arxiv_id", "page").sortWithinPartitions("arxiv_id", "page", "draw_ord")
+    names = ["x0", "y0", "x1", "y1", "arxiv_id", "page", "page_w", "page_h", "seed"]
+
+    def page_regions(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(parts)
+        boxes = np.stack([t.column(c).to_numpy() for c in names[:4]], 1).astype(float)
+        found = merge(cluster(boxes[~np.isnan(boxes).any(1)], eps), reach)
+        same = [pa.array([t.column(c)[0].as_py()] * len(found), t.schema.field(c).type) for c in names[4:8]]
+        return pa.RecordBatch.from_arrays([*(pa.array(found[:, k]) for k in range(4)), *same, pa.array(np.arange(len(found)), pa.int32())], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, n = None, [], 0
+        for batch in batches:
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            edges = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+            for a, b in zip(edges, [*edges[1:], len(keys)], strict=True):
+                if keys[a] != key:
+                    if held and n <= most:
+                        yield page_regions(held)
+                    key, held, n = keys[a], [], 0
+                n += b - a
+                held = [*held, batch.slice(a, b - a)] if n <= most else []
+        if held and n <= most:
+            yield page_regions(held)
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = f"x0 double, y0 double, x1 double, y1 double, arxiv_id {kinds['arxiv_id']}, page {kinds['page']}, page_w {kinds['page_w']}, page_h {kinds['page_h']}, seed int"
+    found = rows.mapInArrow(run, schema).withColumn("b", F.struct("x0", "y0", "x1", "y1"))
     b = F.col("b")
     shaped = found.where(G.region_aspect_ok(b["x1"] - b["x0"], b["y1"] - b["y0"])).withColumn("bbox", G.padded(b, margin, F.col("page_w"), F.col("page_h")))
     w = Window.partitionBy("arxiv_id", "page").orderBy("bbox.y0", "seed")

@@ -35,12 +35,13 @@ def accepted_figures(i: Inputs, figures: DataFrame, threshold: float = 0.5) -> D
     return D.scored(named, F.col("circuit_prob")).where(F.col("score") >= threshold)
 
 
-def collect_circuits(i: Inputs, target: int = 250, wave: int = 64, gate_terms: Vocabulary | None = None, topic_terms: Vocabulary | None = None, persist: Callable[[DataFrame, int], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+def collect_circuits(i: Inputs, target: int = 250, wave: int = 64, gate_terms: Vocabulary | None = None, topic_terms: Vocabulary | None = None, persist: Callable[[DataFrame, int], DataFrame] | None = None, held: list[DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(circuits in order, papers with status and count) until `target` circuits are found.
 
     A limit can't stop stages before it, so papers are scored in waves of growing size, in
     order, until enough figures are accepted; then the cut is exact, also inside a paper. Only a
-    count per wave comes to the driver. `persist` may store a wave's accepted figures.
+    count per wave comes to the driver. `persist` may store a wave's accepted figures; without it they are
+    cached, and put on `held` for the caller to release.
     """
     done, have, low = None, 0, 0
     bounds = i.papers.agg(F.min("paper_ord"), F.max("paper_ord")).first()
@@ -50,6 +51,8 @@ def collect_circuits(i: Inputs, target: int = 250, wave: int = 64, gate_terms: V
         part = i.papers.where(F.col("paper_ord").between(low, low + wave - 1))
         found = accepted_figures(i, i.figures.join(part.select("arxiv_id", "paper_ord"), "arxiv_id"))
         found = persist(found, number) if persist else found.cache()
+        if held is not None and not persist:
+            held.append(found)
         have += found.count()
         done = found if done is None else done.unionByName(found)
         low, wave, number = low + wave, 2 * wave, number + 1
@@ -75,10 +78,15 @@ def collect_circuits(i: Inputs, target: int = 250, wave: int = 64, gate_terms: V
 
 def run(i: Inputs, disk: DataFrame, directory: str, target: int = 250) -> dict[str, str]:
     """Collect, check, clean if need be, and export; the cleaned rows are the ones exported."""
-    circuits, papers = collect_circuits(i, target)
-    cleaned, _ = fix(export_rules(circuits), disk, gates())
-    totals = papers.agg(F.count_if(F.col("status") == "processed").alias("p")).first()["p"]
-    return export(cleaned, D.statistics(cleaned, totals, i.figures.count()), directory)
+    held: list[DataFrame] = []
+    try:
+        circuits, papers = collect_circuits(i, target, held=held)
+        cleaned, _ = fix(export_rules(circuits), disk, gates())
+        totals = papers.agg(F.count_if(F.col("status") == "processed").alias("p")).first()["p"]
+        return export(cleaned, D.statistics(cleaned, totals, i.figures.count()), directory)
+    finally:
+        for df in held:
+            df.unpersist()
 
 
 def run_phase_one(i: Inputs, limit: int = 100) -> DataFrame:
@@ -97,17 +105,46 @@ def run_validation(spark: SparkSession, dataset: str, images: DataFrame, show: i
     return line["is_valid"]
 
 
+def stored_inputs(spark: SparkSession, tables: str) -> Inputs:
+    """Inputs from Parquet tables in a folder: papers, figures, pages, blocks, and scores (filename, circuit_prob) of a scorer that ran before.
+
+    A figure without a score counts as an error. `visual_gates` of a table `tokens` (filename, visual_gates) are taken if there is one.
+    """
+    read = lambda name: spark.read.parquet(f"{tables}/{name}.parquet")
+    scores = read("scores").select("filename", F.col("circuit_prob").cast("double").alias("circuit_prob"))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{tables}/tokens.parquet")
+    there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    recognise = (lambda df: df.join(read("tokens").select("filename", "visual_gates"), "filename", "left")) if there else None
+    return Inputs(read("papers"), read("figures"), read("pages"), read("blocks"), lambda df: df.join(scores, "filename", "left"), recognise)
+
+
 def main(argv: list[str] | None = None) -> int:
-    """Command line: validation of a dataset file. The full run needs parsers and a scorer, and so is started from Python."""
+    """The whole run (to a target of figures), phase one alone, or validation of a dataset file."""
     from ..session import session
 
     p = argparse.ArgumentParser(description=main.__doc__)
-    p.add_argument("--validate-only", "-v", metavar="DATASET", required=True)
-    p.add_argument("--images", required=True, help="folder of PNG files")
+    p.add_argument("--target", "-t", type=int, default=250, help="figures to collect")
+    p.add_argument("--test", action="store_true", help="collect 5")
+    p.add_argument("--phase-one", type=int, metavar="N", help="only write the figures of whole papers until N are found")
+    p.add_argument("--validate-only", "-v", metavar="DATASET")
+    p.add_argument("--tables", help="folder of papers, figures, pages, blocks and scores as Parquet")
+    p.add_argument("--images", help="folder of PNG files")
+    p.add_argument("--out", help="folder of the results")
     a = p.parse_args(argv)
+    needed = ("images",) if a.validate_only else ("tables", "out") if a.phase_one else ("tables", "out", "images")
+    for name in needed:
+        if getattr(a, name) is None:
+            p.error(f"--{name} is needed")
     spark = session()
+    if a.phase_one:
+        run_phase_one(stored_inputs(spark, a.tables), a.phase_one).write.mode("overwrite").parquet(f"{a.out}/figures")
+        return 0
     images = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").load(a.images).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"))
-    return 0 if run_validation(spark, a.validate_only, images) else 1
+    if a.validate_only:
+        return 0 if run_validation(spark, a.validate_only, images) else 1
+    for name, path in run(stored_inputs(spark, a.tables), images, a.out, 5 if a.test else a.target).items():
+        print(f"{name}: {path}")
+    return 0
 
 
 if __name__ == "__main__":

@@ -89,13 +89,6 @@ def gate_find(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Y.frame(spark, sf_dir, "captions").select("id", F.array_join(M.find_terms(F.col("caption"), gates()), ",").alias("gates"))
 
 
-@query(None)
-def gate_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every match of every term, with offsets."""
-    rows = Y.frame(spark, sf_dir, "captions").select("id", F.explode(M.locate_terms(F.col("caption"), gates())).alias("m"))
-    return rows.select("id", F.col("m.canonical").alias("gate"), F.col("m.start").alias("start_at"), F.col("m.end").alias("end_at"), F.col("m.text").alias("matched"))
-
-
 _TOKENS = ["hadamard gate", "CX", "controlled_z", "feynman gate", "foo", "Pauli-X", "  swap   gate ", "toffoli", "sqrt-z", "u3", "Controlled  Not", "measurement"]
 _TOKEN_CASE = Y._case("(l_partkey + l_linenumber)", tuple(_TOKENS))
 _LOOKUP = "MAP {" + ", ".join(f"{_sq(k)}: {_sq(v)}" for k, v in gates().lookup().items()) + "}"
@@ -328,24 +321,6 @@ def text_clean_two_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.clean_description(x)).alias("description"), F.md5(T.clean_text(x)).alias("quality"))
 
 
-def _caption_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One text a hundred captions, pages of ten."""
-    rows = Y.frame(spark, sf_dir, "captions")
-    line = F.concat(F.lit("Fig. "), (F.col("id") % 7).cast("string"), F.lit(": "), "caption", F.lit("\nAs shown in Figure "), (F.col("id") % 5).cast("string"), F.lit(", "), F.coalesce("c1", F.lit("nothing")), F.lit("\n"))
-    pages = rows.groupBy(F.floor(F.col("id") / 100).cast("string").alias("arxiv_id"), (F.floor(F.col("id") / 10) % 10 + 1).cast("int").alias("page"))
-    return L.full_text(pages.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", line.alias("t")))), lambda r: r["t"]), "").alias("text")))
-
-
-@query(None)
-def caption_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.captions(_caption_texts(spark, sf_dir)).select("arxiv_id", "figure_number", "page", F.col("start").alias("start_at"), F.col("end").alias("end_at"), "caption_text")
-
-
-@query(None)
-def reference_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.references(_caption_texts(spark, sf_dir)).select("arxiv_id", "figure_number", "page", F.col("start").alias("start_at"), F.col("end").alias("end_at"), "context")
-
-
 # -- links
 
 _FIGURES_SQL = "figs AS (SELECT CAST(l_suppkey AS VARCHAR) AS arxiv_id, CAST(l_orderkey % 8 AS INT) AS figure_index, CAST(l_partkey % 6 AS INT) AS page_number, l_orderkey * 10 + l_linenumber AS fig_ord FROM lineitem)"
@@ -420,11 +395,6 @@ def size_aspect_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _boxes(spark, sf_dir).select(F.col("fig_ord").alias("ord"), G.size_ok(w, h).alias("size_ok"), G.aspect_ok(w, h).alias("aspect_ok"), G.area_ok(w, h).alias("area_ok"), G.region_aspect_ok(w, h).alias("region_ok"), b["x0"].alias("left_edge"), b["x1"].alias("right_edge"))
 
 
-@query(None)
-def bbox_nms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FG.suppressed(_boxes(spark, sf_dir), ["arxiv_id", "page_number"], ["fig_ord"]).select("arxiv_id", "page_number", "fig_ord")
-
-
 @query(None)
 def bbox_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawings = _boxes(spark, sf_dir).select(F.col("arxiv_id").cast("string").alias("arxiv_id"), F.col("page_number").alias("page"), F.col("fig_ord").alias("draw_ord"), F.col("bbox").alias("rect"), F.lit(612.0).alias("page_w"), F.lit(792.0).alias("page_h"))
@@ -648,3 +618,6 @@ def score_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocab_distribution_topk(spark, sf_dir)
+
+
+from . import checks  # noqa: E402, F401  (registers the rest)

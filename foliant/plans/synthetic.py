@@ -58,7 +58,7 @@ TABLES = {
     "boxes": ("lineitem", {
         "paper": "l_suppkey",
         "page": "CAST(l_partkey % 5 AS INT) + 1",
-        "ord": "l_orderkey * 10 + l_linenumber",
+        "ord": "(l_orderkey * 10 + l_linenumber) * 99991 + l_partkey",
         "x0": "CAST((l_orderkey * 37) % 500 AS DOUBLE)",
         "y0": "CAST((l_partkey * 53) % 700 AS DOUBLE)",
         "w": "CAST((l_orderkey * 11 + l_linenumber * 71) % 260 + 1 AS DOUBLE)",

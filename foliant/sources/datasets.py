@@ -7,18 +7,15 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import DATASET, STATISTICS
+from ..schemas import ENTRY, STATISTICS
 
 EXAM = "37"
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a dataset file, a JSON object filename -> entry, with each entry's raw text as `json`."""
-    raw = spark.read.text(path, wholetext=True)
-    typed = F.explode(F.from_json("value", DATASET)).alias("filename", "entry")
-    entries = raw.select(typed).select("filename", "entry.*")
-    texts = raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("filename", "json"))
-    return entries.join(texts, "filename")
+    texts = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("filename", "json"))
+    return texts.withColumn("entry", F.from_json("json", ENTRY)).select("filename", "entry.*", "json")
 
 
 def dataset_json(entries: DataFrame, order: str = "ord") -> DataFrame:

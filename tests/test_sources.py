@@ -6,6 +6,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from foliant.logs import Stage, percent
 from foliant.operators import dataset as D
+from foliant.operators import figures as FG
 from foliant.plans import pipeline as P
 from foliant.sources import datasets as DS
 from foliant.sources import papers as PS
@@ -184,6 +185,23 @@ def test_whole_run_and_validation(spark, tmp_path, capsys):
     assert P.run_phase_one(i, 4).count() == 6
 
 
+def test_command_line(spark, tmp_path, capsys):
+    i = inputs(spark)
+    for name in ("papers", "figures", "pages", "blocks"):
+        getattr(i, name).write.parquet(str(tmp_path / "t" / f"{name}.parquet"))
+    i.score(i.figures.withColumn("filename", FG.filename())).select("filename", "circuit_prob").write.parquet(str(tmp_path / "t" / "scores.parquet"))
+    (tmp_path / "images").mkdir()
+    (tmp_path / "images" / "p0_1_1.png").write_bytes(b"x")
+    where = ["--tables", str(tmp_path / "t"), "--out", str(tmp_path / "out")]
+    assert P.main([*where, "--images", str(tmp_path / "images"), "--target", "3"]) == 0
+    assert "dataset:" in capsys.readouterr().out
+    assert P.main(["--validate-only", str(tmp_path / "out" / "dataset_37.json"), "--images", str(tmp_path / "images")]) == 1
+    assert P.main([*where, "--phase-one", "4"]) == 0
+    assert spark.read.parquet(str(tmp_path / "out" / "figures")).count() == 6
+    with pytest.raises(SystemExit):
+        P.main(["--target", "3"])
+
+
 def test_stage_timer(caplog):
     with Stage("s") as s:
         s.progress(1, 4)
