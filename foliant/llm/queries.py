@@ -63,6 +63,26 @@ def op10_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of op2 what SQL can express."""
+    return op2_quality(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def lm_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of op5 what SQL can express."""
+    return op5_lm_score(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+def licenses_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of op7 what SQL can express."""
+    return op7_licenses(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def privacy_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of op10 what SQL can express."""
+    return op10_privacy(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,6 +100,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neardup": op8_neardup,
     "op9_decontamination": op9_decontamination,
     "op10_privacy": op10_privacy,
+    "quality_base": quality_base,
+    "lm_base": lm_base,
+    "licenses_base": licenses_base,
+    "privacy_base": privacy_base,
     "pipeline": pipeline,
 }
 
@@ -154,4 +178,71 @@ SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
 
-SQL: dict[str, str] = {"op8_neardup": OP8_SQL, "op3_chat": OP3_SQL, "op9_decontamination": OP9_SQL}
+_SPACED = r"'[^\x20\x09-\x0D]+'"
+
+QUALITY_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT row, regexp_extract_all(t, {_SPACED}) AS w FROM d),
+grams AS (SELECT row, i, array_to_string(w[i : i + 2], ' ') AS g FROM w, unnest(range(1, len(w) - 1)) AS t(i)),
+twice AS (SELECT row, g FROM grams GROUP BY ALL HAVING count(*) > 1),
+repeated AS (SELECT row, count(DISTINCT i + k) AS n FROM grams JOIN twice USING (row, g), unnest([0, 1, 2]) AS t(k) GROUP BY row),
+lines AS (SELECT row, unnest(string_split(t, chr(10))) AS line FROM d),
+dup AS (SELECT row, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, {_SPACED}) GROUP BY row)
+SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(dup.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words, len(w) < 50 OR 100 * coalesce(repeated.n, 0) > 50 * len(w) AS base_failed
+FROM d JOIN w USING (row) LEFT JOIN dup USING (row) LEFT JOIN repeated USING (row)
+"""
+
+#: crc32 of an id's text, from the table of its polynomial.
+_CRC = "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+LM_SQL = rf"""
+WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
+d AS (SELECT row_number() OVER () AS row, doc_id, {_CRC} % 7 = 2 AS held_out, list_append(regexp_extract_all(coalesce({_LOWER.format("text")}, ''), {_SPACED}), '') AS w FROM documents, crc),
+tokens AS (SELECT row, held_out, unnest(w) AS token FROM d),
+counts AS (SELECT token, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY token),
+sums AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v FROM counts)
+SELECT doc_id, any_value(d.held_out) AS held_out, count(*) AS n_tokens, count(c) AS n_known, CAST(any_value(n) AS BIGINT) AS train_tokens,
+    round(sum(log10((coalesce(c, 0) + 1) / (n + v + 1))), 4) AS base_score
+FROM tokens JOIN d USING (row) LEFT JOIN counts USING (token), sums GROUP BY row, doc_id
+"""
+
+LICENSES_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce({_LOWER.format("text")}, ''), {_ALNUM}) AS w FROM documents),
+p AS (
+    SELECT *, list_filter(range(len(w)), lambda i: w[i + 1] = 'mit' AND w[i + 2] = 'license') AS mit, list_filter(range(len(w)), lambda i: w[i + 1] = 'apache' AND w[i + 2] = 'license') AS apache,
+        list_filter(range(len(w)), lambda i: w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license') AS gpl FROM d
+)
+SELECT doc_id, len(w) AS n_words, len(mit || apache || gpl) AS n_base, list_min(mit || apache || gpl) AS first_word, list_max(mit || apache || gpl) AS last_word,
+    array_to_string(list_filter([CASE WHEN len(apache) > 0 THEN 'apache' END, CASE WHEN len(gpl) > 0 THEN 'gpl' END, CASE WHEN len(mit) > 0 THEN 'mit' END], lambda x: x IS NOT NULL), ',') AS base_labels
+FROM p
+"""
+
+
+def _entities_sql(kind: int, name: str, pattern: str, good: str) -> str:
+    """Matches with their places, from the sizes of the pieces between them; dropped ones move no other."""
+    size = lambda what: f"coalesce(list_sum(list_transform({what}, lambda x: length(x))), 0)"
+    return f"""SELECT row, {kind} AS kind, '{name}' AS name, hits[i] AS hit, CAST({size('gaps[1 : i]')} + {size('hits[1 : i - 1]')} AS BIGINT) AS start_at
+    FROM (SELECT row, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS hits FROM d), unnest(range(1, len(hits) + 1)) AS u(i) WHERE {good}"""
+
+
+_DIGITS = "regexp_replace(hits[i], '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda k: CASE WHEN k % 2 = 1 THEN CAST(reverse({_DIGITS})[k] AS INT) ELSE 2 * CAST(reverse({_DIGITS})[k] AS INT) - CASE WHEN CAST(reverse({_DIGITS})[k] AS INT) > 4 THEN 9 ELSE 0 END END)) % 10 = 0"
+_PARTS = "list_bool_and(list_transform(string_split(hits[i], '.'), lambda p: length(ltrim(p, '0')) <= 3 AND CAST('0' || right(p, 3) AS INT) <= 255))"
+
+PRIVACY_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents), found AS (
+    {_entities_sql(0, "email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true")}
+    UNION ALL {_entities_sql(1, "ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", _PARTS)}
+    UNION ALL {_entities_sql(2, "card", r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 12 AND 19 AND {_LUHN}")}
+    UNION ALL {_entities_sql(3, "phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15")}
+)
+SELECT doc_id, count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip, count(*) FILTER (kind = 2) AS n_card, count(*) FILTER (kind = 3) AS n_phone,
+    sha256(coalesce(string_agg(name || ':' || start_at || ':' || (start_at + length(hit)), ',' ORDER BY start_at, kind), '')) AS base_sha256
+FROM d LEFT JOIN found USING (row) GROUP BY row, doc_id
+"""
+
+SQL: dict[str, str] = {
+    "op8_neardup": OP8_SQL, "op3_chat": OP3_SQL, "op9_decontamination": OP9_SQL,
+    "quality_base": QUALITY_SQL, "lm_base": LM_SQL, "licenses_base": LICENSES_SQL, "privacy_base": PRIVACY_SQL,
+}
