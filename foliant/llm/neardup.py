@@ -2,28 +2,33 @@
 
 1. Every text becomes the set of its hashed word shingles, a fingerprint of the set and a
    signature of universal-hash minima. Texts of equal sets are one node from here on.
-2. Bands of the signature are bucketed by a sort; buckets of one node fall away as they stream by.
-3. Inside a bucket signatures are compared (large buckets in pairs of blocks, each a group of
-   its own). For each node the nearest one before it is emitted; these pairs are confirmed on their full sets.
+2. Bands of the signature are bucketed by a sort over ranges of (bucket, node), so that a large bucket
+   spreads over tasks; buckets of one node fall away as they stream by.
+3. Each bucket is cut into blocks. A block's minima, place by place the most frequent ones, are its consensus;
+   the node nearest to it stands for the block, and every node is compared with that one alone. Where a
+   bucket has several blocks, the nodes that stand for them are a bucket of their own, and so on. Pairs whose
+   signatures agree often enough are confirmed on their full sets. All this is linear in a bucket's nodes.
 4. Links are joined by alternating large-star and small-star.
 5. Buckets that still hold different components get their nodes' full sets, and every pair of
-   nodes of different components whose signatures agree often enough is confirmed right there; only links
-   that join components come out. So a group of thousands of near copies yields few rows, yet no
-   pair that could join two components goes untested.
+   nodes of different components whose signatures agree often enough is confirmed right there: the nodes outside a
+   bucket's largest component against all others. Only links that join components come out. So a group of thousands
+   of near copies yields few rows, yet no pair that could join two components goes untested.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, arrow_schema, batches_of, column, map_rows, utf8, written
+from .common import LOWER, arrow_schema, batches_of, column, discard, fresh, map_rows, utf8, written
 
 #: Minima in a signature.
 HASHES = 252
@@ -31,10 +36,10 @@ HASHES = 252
 MISS = 1e-6
 #: Standard deviations below the threshold at which estimates still lead to a confirmation.
 SLACK = 4.9
-#: Nodes compared with each other in one group.
+#: Nodes of a bucket for which one node stands.
 BLOCK = 2048
-#: The same where full sets are at hand.
-SET_BLOCK = 512
+#: Nodes, and shingles in their sets, of either side in a group where all pairs across components are tested.
+SET_BLOCK, SET_ITEMS = 512, 4_000_000
 #: Rows of narrow tables in a file; of signatures; of sets; of pairs that are still to be made or confirmed.
 EDGES, SIGNS_A_FILE, SETS_A_FILE, PAIRS_A_FILE = 500_000, 25_000, 5_000, 20_000
 #: Rows of an Arrow batch where they hold texts, signatures or sets.
@@ -130,17 +135,30 @@ def signed(docs: DataFrame, similarity: Similarity, text: str = "text") -> DataF
     return map_rows(rows, f"doc_id {kind}, key long, n_shingles long, fp binary, sig binary, bands array<long>", run)
 
 
-def _shared_buckets(bands: DataFrame) -> DataFrame:
-    """(bucket, band, node, n) of buckets with two nodes or more; n numbers a bucket's nodes from 0."""
-    names = ["bucket", "band", "node", "n"]
+def _shared_buckets(bands: DataFrame, by_range: bool) -> DataFrame:
+    """(bucket, band, node, block, cut) of buckets with two nodes or more; a block is BLOCK nodes of one task.
+
+    By range, a bucket may run over several tasks; then its rows are marked as cut. Tasks say which
+    buckets they begin and end with, two rows a task.
+    """
+    names = ["bucket", "band", "node", "block", "edge"]
+    size = BLOCK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId() << 32
         held: tuple[int, int, int, int] | None = None  # the last row, its number in its bucket
         paired = False  # whether the held row has a neighbour before it
+        first = None  # the task's first bucket
+
+        def rows(*columns: np.ndarray, edge: bool = False) -> pa.RecordBatch:
+            b, d, i, n = (np.asarray(c, np.int64) for c in columns)
+            return pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (b, d, i, task + n // size)), pa.array([edge] * len(b), pa.bool_())], names)
+
         for batch in batches:
             b, d, i = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
             if not len(b):
                 continue
+            first = int(b[0]) if first is None else first
             if held is not None:
                 b, d, i = (np.concatenate([[h], x]) for h, x in zip(held, (b, d, i), strict=False))
             new = np.append(True, (b[1:] != b[:-1]) | (i[1:] != i[:-1]))
@@ -151,24 +169,86 @@ def _shared_buckets(bands: DataFrame) -> DataFrame:
             if held is not None:
                 before[0] = paired
                 n[: starts[1] if len(starts) > 1 else len(b)] += held[3]
-            keep = before | np.append(before[1:] & (b[1:] == b[:-1]), False)
+            # rows of the first bucket stay even if alone: the task before may have more of it
+            keep = before | np.append(before[1:] & (b[1:] == b[:-1]), False) | (b == first)
             held, paired = (b[-1], d[-1], i[-1], int(n[-1])), bool(before[-1])
             keep[-1] = False
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep], pa.int64()) for x in (b, d, i, n)], names)
-        if held is not None and paired:
-            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held], names)
+            yield rows(*(x[keep] for x in (b, d, i, n)))
+        if held is not None:
+            yield rows(*([x] for x in held))
+            yield rows(*zip(*((x, 0, 0, 0) for x in {first, int(held[0])}), strict=True), edge=True)
 
-    rows = bands.repartition("bucket").sortWithinPartitions("bucket", "node")
-    return rows.mapInArrow(run, "bucket long, band long, node long, n long")
+    dealt = bands.repartitionByRange("bucket", "node") if by_range else bands.repartition("bucket")
+    return dealt.sortWithinPartitions("bucket", "node").mapInArrow(run, "bucket long, band long, node long, block long, edge boolean")
 
 
-def _grouped(members: DataFrame, payload: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Members with what `payload` has for their nodes, dealt out to groups of at most two blocks."""
-    extra = [c for c in (*members.columns, *payload.columns) if c not in ("bucket", "band", "node", "n")]
-    large = members.where(F.col("n") >= block).groupBy("bucket").agg((F.floor(F.max("n") / block) + 1).alias("blocks"))
-    dealt = members.join(large, "bucket", "left").withColumn("own", F.floor(F.col("n") / block)).withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
-    dealt = dealt.join(payload, "node").select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "band", "node", *extra)
-    return dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "node")
+def _members(bands: DataFrame, by_range: bool, parts: int) -> DataFrame:
+    """(bucket, band, node, block, cut), written."""
+    found = written(_shared_buckets(bands, by_range), "neardup-buckets", parts)
+    edges = F.broadcast(found.where("edge").groupBy("bucket").count().where("count > 1").select("bucket", F.lit(True).alias("cut")))  # two rows a task at most
+    out = found.where("not edge").join(edges, "bucket", "left").select("bucket", "band", "node", "block", F.coalesce("cut", F.lit(False)).alias("cut"))
+    return out
+
+
+def _by_block(members: DataFrame, signatures: DataFrame) -> DataFrame:
+    rows = members.join(signatures, "node").select("bucket", F.col("block").alias("lo"), F.lit(0).cast("long").alias("hi"), F.col("cut").cast("long").alias("own"), "band", "node", "sig")
+    return rows.repartition("bucket", "lo").sortWithinPartitions("bucket", "lo", "hi", "node")
+
+
+def _near(blocks: DataFrame, similarity: Similarity) -> DataFrame:
+    """(bucket, band, a, b): each block's central node a with the nodes b whose signatures agree with its often enough; and (bucket, band, a, null) where a bucket may have more blocks."""
+    least, size = int(np.ceil(similarity.least * HASHES)), BLOCK
+    schema = "bucket long, band long, a long, b long"
+    out = arrow_schema(schema)
+
+    def central(sigs: np.ndarray) -> int:
+        """The signature nearest to the most frequent minima."""
+        if len(sigs) < 3:
+            return 0
+        ordered = np.sort(sigs, 0)
+        runs = np.zeros(ordered.shape, np.int32)
+        for i in range(1, len(ordered)):  # how often a minimum came before, place by place
+            runs[i] = (runs[i - 1] + 1) * (ordered[i] == ordered[i - 1])
+        mode = ordered[runs.argmax(0), np.arange(HASHES)]
+        return int((sigs == mode).sum(1).argmax())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+        for g in _each_group(batches, 1):
+            m = central(g.sigs)
+            near = np.flatnonzero(g.agreements(m, np.arange(len(g.nodes))) >= least)
+            a = int(g.nodes[m])
+            found += [(g.bucket, g.band, a, b) for b in g.nodes[near].tolist() if b != a]
+            if g.own[0] or len(g.nodes) >= size or g.lo & 0xFFFFFFFF:
+                found.append((g.bucket, g.band, a, None))
+            if len(found) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=out)
+                found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=out)
+
+    return blocks.mapInArrow(run, schema)
+
+
+def _candidates(bands: DataFrame, members: DataFrame, signatures: DataFrame, similarity: Similarity) -> DataFrame:
+    """(a, b) to confirm, once each, written: nodes and the central node of their block; of the blocks' central nodes likewise."""
+    found, level = [], members
+    while True:
+        m = level.count()
+        found.append(written(_near(_by_block(level, signatures), similarity), "neardup-near", m // PAIRS_A_FILE + 1))
+        # central nodes of blocks: a node for BLOCK nodes, and two a task
+        above = found[-1].where("b is null").select("bucket", "band", F.col("a").alias("node")).distinct()
+        shared = above.groupBy("bucket").count().where("count > 1").select("bucket")
+        above = written(above.join(shared, "bucket", "left_semi"), "neardup-central", m // EDGES + 1)
+        if above.isEmpty():
+            break
+        level = _members(above, False, m // EDGES + 1)
+    pairs = reduce(DataFrame.unionByName, (f.where("b is not null").select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "a") for f in found))
+    # a pair may come from both its nodes; either may stand for the block
+    pairs = pairs.groupBy("x", "y").agg(F.min("a").alias("a")).select("a", F.when(F.col("a") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("b"))
+    out = written(pairs, "neardup-pairs", members.count() // PAIRS_A_FILE + 1)
+    discard(*found)
+    return out
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -202,6 +282,8 @@ class _Group:
     nodes: np.ndarray
     own: np.ndarray
     across: bool
+    bucket: int
+    lo: int
     band: int
 
     def agreements(self, i: int, at: np.ndarray) -> np.ndarray:
@@ -212,14 +294,14 @@ class _Group:
         return np.flatnonzero(self.own[:i] != self.own[i]) if self.across else np.arange(i)
 
 
-def _each_group(batches: Iterator[pa.RecordBatch]) -> Iterator[_Group]:
+def _each_group(batches: Iterator[pa.RecordBatch], least: int = 2) -> Iterator[_Group]:
     for t in _groups(batches):
         bucket, lo, hi, own, band, node = (t.column(k).to_numpy() for k in range(6))
         edges = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))).tolist()
         sigs = np.frombuffer(b"".join(t.column("sig").to_pylist()), "<u2").reshape(len(node), HASHES)
         for x, y in zip(edges, [*edges[1:], len(node)], strict=True):
-            if y - x > 1:
-                yield _Group(t.slice(x, y - x), sigs[x:y], node[x:y], own[x:y], bool(lo[x] != hi[x]), int(band[x]))
+            if y - x >= least:
+                yield _Group(t.slice(x, y - x), sigs[x:y], node[x:y], own[x:y], bool(lo[x] != hi[x]), int(bucket[x]), int(lo[x]), int(band[x]))
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -227,26 +309,29 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def _nearest(groups: DataFrame, similarity: Similarity) -> DataFrame:
-    """Pairs a < b of each node and the most similar one before it in its group, if their signatures agree often enough."""
-    least = int(np.ceil(similarity.least * HASHES))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple[int, int]] = []
-        for g in _each_group(batches):
-            for i in range(1, len(g.nodes)):
-                at = g.before(i)
-                if len(at):
-                    agree = g.agreements(i, at)
-                    best = int(agree.argmax())
-                    if agree[best] >= least:
-                        found.append((int(g.nodes[at[best]]), int(g.nodes[i])))
-            if len(found) > 50_000:
-                yield _pairs(found)
-                found = []
-        yield _pairs(found)
+def _dealt(placed: DataFrame, payload: DataFrame) -> DataFrame:
+    """Nodes of buckets that hold several components, with what `payload` has for them, dealt out to groups.
 
-    return groups.mapInArrow(run, "a long, b long").distinct()
+    A bucket's largest component is one side, all other nodes the other. Both are cut into blocks of bounded
+    nodes and shingles, by a hash; the other side's blocks meet all blocks, those of the largest component
+    meet no block of their own side. Small buckets are one group.
+    """
+    rows = placed.join(payload, "node")
+    sums = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    of_bucket = sums.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n_all"), F.sum("s").alias("s_all"), F.max_by("n", F.struct("n", "component")).alias("n_main"), F.max_by("s", F.struct("n", "component")).alias("s_main"))
+    blocks = lambda n, size: F.greatest(F.ceil(n / SET_BLOCK), F.ceil(size / SET_ITEMS), F.lit(1))
+    n, s = F.col("n_all"), F.col("s_all")
+    of_bucket = of_bucket.select(
+        "bucket", "main", ((n <= SET_BLOCK) & (s <= SET_ITEMS)).alias("one"),
+        blocks(F.col("n_main"), F.col("s_main")).alias("mains"), blocks(n - F.col("n_main"), s - F.col("s_main")).alias("others"),
+    )
+    inside = F.col("component") == F.col("main")
+    number = lambda k: F.pmod(F.xxhash64("node", "bucket"), F.col(k))
+    own = F.when(F.col("one"), F.lit(0)).when(inside, F.col("others") + number("mains")).otherwise(number("others"))
+    last = F.when(F.col("one"), F.lit(0)).when(inside, F.col("others") - 1).otherwise(F.col("others") + F.col("mains") - 1)
+    dealt = rows.join(of_bucket, "bucket").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
+    dealt = dealt.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "band", "node", "component", "sig", "items")
+    return dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "node")
 
 
 def _bridges(groups: DataFrame, similarity: Similarity) -> DataFrame:
@@ -311,27 +396,41 @@ def _sets(docs: DataFrame, nodes: DataFrame, similarity: Similarity, text: str,
         return {"node": batch.column(0), "items": [shingles(t, similarity.words, known).tobytes() for t in column(batch, "text")]}
 
     sets = map_rows(maybe.join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "node long, items binary", run)
-    return written(sets, "neardup-sets", nodes.count() // SETS_A_FILE + 1)
+    out = written(sets, "neardup-sets", nodes.count() // SETS_A_FILE + 1)
+    discard(nodes)
+    return out
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, similarity: Similarity, text: str) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    out = arrow_schema("a long, b long")
+    """The pairs whose full sets are similar enough, written.
+
+    The set of a pair's first node isn't put beside each second one's: it comes once, before the sets of all its
+    second nodes. A node is the first of at most BLOCK pairs for each of its bands and levels.
+    """
+    n = pairs.count()
+    sets = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), similarity, text, n // EDGES + 1)
+    firsts = sets.join(pairs.select(F.col("a").alias("node")).distinct().hint("merge"), "node", "left_semi").select(F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "items")
+    seconds = pairs.hint("merge").join(sets.withColumnRenamed("node", "b"), "b").select("a", "b", "items")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = np.zeros(0, np.uint64)
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-                inter = _shared(p, q)
-                keep.append(similarity.linked(inter, len(p) + len(q) - inter))
+            for b, x in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                found = np.frombuffer(x.as_buffer(), np.uint64)
+                if b is None:
+                    first = found.copy()
+                    keep.append(False)
+                else:
+                    inter = _shared(first, found)
+                    keep.append(similarity.linked(inter, len(first) + len(found) - inter))
             kept = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(kept) for k in (0, 1)], schema=out)
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(kept) for k in (0, 1)], ["a", "b"])
 
-    sets = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), similarity, text, pairs.count() // EDGES + 1)
-    x = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
-    y = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    return pairs.hint("merge").join(x, "a").join(y.hint("merge"), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    rows = firsts.unionByName(seconds).repartition("a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
+    out = written(rows.mapInArrow(run, "a long, b long"), "neardup-links", n // PAIRS_A_FILE + 1)
+    discard(sets)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -349,7 +448,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
-        edges = written(small.where("u <> v").distinct(), "stars", parts)
+        before, edges = edges, written(small.where("u <> v").distinct(), "stars", parts)
+        discard(before)
         state = edges.agg(F.count("u"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0))).first()
         if state == known:
             break
@@ -387,25 +487,28 @@ def _classes(docs: DataFrame, similarity: Similarity, text: str) -> tuple[DataFr
     of_nodes = signs.where("fp is not null").select("fp", F.col("key").alias("node"), "sig", "bands").join(nodes.select("fp", "node").hint("merge"), ["fp", "node"], "left_semi")
     of_nodes = written(of_nodes, "neardup-of-nodes", n // SIGNS_A_FILE + 1)
     bands = of_nodes.select("node", F.posexplode("bands").alias("band", "bucket")).select("bucket", F.col("band").cast("long"), "node")
-    members = written(_shared_buckets(bands), "neardup-members", n * (HASHES // similarity.rows) // EDGES + 1)
+    members = written(_members(bands, True, n * (HASHES // similarity.rows) // EDGES + 1), "neardup-members", n * (HASHES // similarity.rows) // EDGES + 1)
     m = members.count()
     # the members of shared buckets only: a small part of all signatures goes on
     signatures = of_nodes.select("node", "sig").join(members.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"])
     signatures = written(signatures, "neardup-sigs", n // SIGNS_A_FILE + 1)
-    near = written(_nearest(_grouped(members, signatures), similarity), "neardup-near", m // PAIRS_A_FILE + 1)
-    links = written(_confirmed(docs, near, similarity, text), "neardup-links", near.count() // PAIRS_A_FILE + 1)
+    near = _candidates(bands, members, signatures, similarity)
+    links = _confirmed(docs, near, similarity, text)
     found = components(links)
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = members.select("bucket", "band", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # a bucket inside one component needs no second look, nor does one of two nodes: its one pair was tested
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("n").alias("last")).where("x <> y and last > 1").select("bucket")
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y and n > 2").select("bucket")
     placed = written(placed.join(mixed, "bucket", "left_semi"), "neardup-placed", m // EDGES + 1)
-    payload = signatures.join(_sets(docs, placed.select("node").distinct(), similarity, text, m // EDGES + 1), "node")
-    more = written(_bridges(_grouped(placed, payload, SET_BLOCK), similarity), "neardup-more", placed.count() // PAIRS_A_FILE + 1)
-    if more.count():
+    sets = _sets(docs, placed.select("node").distinct(), similarity, text, m // EDGES + 1)
+    payload = signatures.join(sets.withColumn("size", F.octet_length("items") / 8), "node")
+    more = written(_bridges(_dealt(placed, payload), similarity), "neardup-more", placed.count() // PAIRS_A_FILE + 1)
+    if not more.isEmpty():
         found = components(links.unionByName(more))
     roots = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = roots.groupBy("component").agg(F.min("first").alias("component_id"))
-    return signs, written(roots.join(named, "component").select("fp", "component_id"), "neardup-classes", n // EDGES + 1)
+    of_fp = written(roots.join(named, "component").select("fp", "component_id"), "neardup-classes", n // EDGES + 1)
+    discard(nodes, of_nodes, members, signatures, near, links, placed, sets, more)
+    return signs, of_fp
 
 
 def deduplicate(docs: DataFrame, similarity: Similarity | None = None, text: str = "text") -> DataFrame:
@@ -415,16 +518,17 @@ def deduplicate(docs: DataFrame, similarity: Similarity | None = None, text: str
     """
     found = classes(docs, similarity, text)
     parts = docs.count() // EDGES + 1
-    flags = written(found.select(F.col("key").alias("__key"), F.col("component_id").alias("__c"), F.col("n_shingles").alias("__n"), "kept"), "neardup-flags", parts)
+    flags = written(found.select("key", F.col("component_id").alias("c"), "n_shingles", "kept"), "neardup-flags", parts)
     # of rows with a null id, or of one id and several linked texts, one key stands for the class
-    apart = F.when(F.col("__n") == 0, F.col("__key")).when(F.col("__c").isNull(), F.col("__key")).alias("__apart")
-    one = written(flags.where("kept").groupBy("__c", apart).agg(F.min("__key").alias("__key")).select("__key"), "neardup-kept", parts)
+    apart = F.when(F.col("n_shingles") == 0, F.col("key")).when(F.col("c").isNull(), F.col("key")).alias("apart")
+    one = written(flags.where("kept").groupBy("c", apart).agg(F.min("key").alias("key")).select("key"), "neardup-kept", parts)
     # rows whose key is kept and comes once stay without a shuffle: only those that share a short hash, of 2^20
     # at most, with a dropped or repeated key are looked up
-    short = F.pmod("__key", F.lit(1 << 20)).cast("int").alias("__short")
-    counts = flags.groupBy("__key").agg(F.count("*").alias("__n")).join(one.select("__key", F.lit(True).alias("__kept")).hint("merge"), "__key", "left")
-    doubtful = F.broadcast(written(counts.where("__kept is null or __n > 1").select(short).distinct(), "neardup-doubtful", 1))
-    rows = docs.withColumn("__key", F.xxhash64("doc_id", text)).withColumn("__short", short)
-    sure = rows.join(doubtful, "__short", "left_anti").select(*docs.columns)
-    looked_up = rows.join(doubtful, "__short", "left_semi").join(one.hint("merge"), "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    key, short = fresh(docs, "key", "short")
+    shortened = lambda c: F.pmod(c, F.lit(1 << 20)).cast("int").alias(short)
+    counts = flags.groupBy("key").agg(F.count("*").alias("n")).join(one.select("key", F.lit(True).alias("kept")).hint("merge"), "key", "left")
+    doubtful = F.broadcast(written(counts.where("kept is null or n > 1").select(shortened("key")).distinct(), "neardup-doubtful", 1))
+    rows = docs.withColumn(key, F.xxhash64("doc_id", text)).withColumn(short, shortened(key))
+    sure = rows.join(doubtful, short, "left_anti").select(*docs.columns)
+    looked_up = rows.join(doubtful, short, "left_semi").join(one.withColumnRenamed("key", key).hint("merge"), key, "left_semi").dropDuplicates([key]).select(*docs.columns)
     return sure.unionByName(looked_up)

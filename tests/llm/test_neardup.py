@@ -75,6 +75,38 @@ def test_classes_agree_with_brute_force(spark, monkeypatch, similarity, block):
     assert len(set(want)) < len(texts) - 60
 
 
+def test_a_large_bucket_spreads_over_tasks(spark, monkeypatch):
+    """Near copies of one text, far more than a block has, in buckets that the sort cuts; one link at a time joins some of them."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "SET_BLOCK", 16)
+    rng = random.Random(9)
+    words = [f"v{i}" for i in range(500)]
+    base = [rng.choice(words) for _ in range(150)]
+    texts, chain = [], list(base)
+    for k in range(260):
+        t = list(base)
+        for _ in range(rng.randint(1, 4)):
+            t[rng.randrange(len(t))] = f"x{rng.random()}"
+        if k % 4 == 0:  # each a little further from the first
+            chain[rng.randrange(len(chain))] = f"y{k}"
+            t = chain
+        texts.append(" ".join(t))
+    want, _ = plain_classes(texts, S)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in neardup.classes(df, S).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_names_that_clash(spark):
+    df = spark.createDataFrame([(1, "a b c d e f", "k", "s", 1), (2, "a b c d e f", "k", "s", 2)], "doc_id long, text string, key string, short string, n_shingles int")
+    out = neardup.deduplicate(df).collect()
+    assert [tuple(r) for r in out] == [(1, "a b c d e f", "k", "s", 1)]
+
+
 def test_repeated_rows_and_null_ids(spark):
     text = "a b c d e f g h"
     df = spark.createDataFrame([(3, text), (3, text), (None, text), (5, text), (None, "q r s t u v"), (None, None), (9, None), (9, None)], "doc_id long, text string")
