@@ -21,6 +21,8 @@ from .common import map_rows
 IDS = 1 << 20
 #: Code points hashed at once; longer texts go through in pieces that overlap by two.
 PIECE = 1 << 20
+#: Cells of the presence matrix of a batch.
+PRESENCE = 16_000_000
 
 
 @lru_cache(1)
@@ -76,18 +78,19 @@ class Spectrum:
 class Model:
     langs: list[str]
     grams: np.ndarray  # ids that occur in a landmark
-    landmarks: np.ndarray  # len(grams) x m, 0/1 over the root of the landmark's size
+    landmarks: np.ndarray  # len(grams) x m, 0/1: products are whole numbers, the same in batches of any size
+    roots: np.ndarray  # m, one over the root of the landmark's size
     weights: np.ndarray  # (m + 1) x len(langs), the last row a bias
 
     def margins(self, texts: list[str], spectrum: Spectrum) -> tuple[np.ndarray, np.ndarray]:
         """One-versus-rest outputs and whether each text has a letter."""
         present = np.zeros((len(texts), len(self.grams)), np.float32)
-        norm, letters = np.ones(len(texts), np.float32), np.zeros(len(texts), bool)
+        norm, letters = np.ones(len(texts)), np.zeros(len(texts), bool)
         for i, text in enumerate(texts):
             distinct, letters[i], mark = spectrum.add(text)
             present[i] = spectrum.seen[self.grams] >= mark
             norm[i] = max(distinct, 1) ** -0.5
-        kernel = (present @ self.landmarks) * norm[:, None]
+        kernel = (present @ self.landmarks) * norm[:, None] * self.roots
         return kernel @ self.weights[:-1] + self.weights[-1], letters
 
 
@@ -138,12 +141,13 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: Column | N
     grams = np.unique(np.concatenate([sets[i] for i in chosen]))
     marks = np.zeros((len(grams), len(chosen)), np.float32)
     for j, i in enumerate(chosen):
-        marks[np.searchsorted(grams, sets[i]), j] = len(sets[i]) ** -0.5
+        marks[np.searchsorted(grams, sets[i]), j] = 1
+    roots = np.array([len(sets[i]) for i in chosen]) ** -0.5
     kernel = np.zeros((len(rows), len(chosen)))
     for i, ids in enumerate(sets):
         at = np.searchsorted(grams, ids)
         at = at[(at < len(grams)) & (grams[np.minimum(at, len(grams) - 1)] == ids)]
-        kernel[i] = marks[at].sum(0, dtype=np.float64) * len(ids) ** -0.5
+        kernel[i] = marks[at].sum(0, dtype=np.float64) * roots * len(ids) ** -0.5
     values, vectors = np.linalg.eigh(kernel[chosen] + 1e-6 * np.eye(len(chosen)))
     half = vectors @ np.diag(np.maximum(values, 1e-6) ** -0.5) @ vectors.T
     features = np.hstack([kernel @ half, np.ones((len(rows), 1))])
@@ -151,7 +155,7 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: Column | N
     share = {name: sum(r["lang"] == name for r in rows) for name in langs}
     weight = np.array([1.0 / share[r["lang"]] for r in rows])[:, None] * len(rows) / len(langs)
     solved = np.linalg.solve(features.T @ (weight * features) + ridge * np.eye(features.shape[1]), features.T @ (weight * targets))
-    return Model(langs, grams, marks, np.vstack([half @ solved[:-1], solved[-1:]]).astype(np.float32))
+    return Model(langs, grams, marks, roots, np.vstack([half @ solved[:-1], solved[-1:]]))
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -169,7 +173,9 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text:
         m: Model | None = shared.value
         if m is None:
             return {id_col: ids, "lang_pred": ["und"] * len(texts), "score": [0.0] * len(texts), "margin": [0.0] * len(texts)}
-        out, letters = m.margins(texts, _spectrum())
+        at = max(1, PRESENCE // len(m.grams))
+        parts = [m.margins(texts[k : k + at], _spectrum()) for k in range(0, len(texts), at)] or [m.margins([], _spectrum())]
+        out, letters = (np.concatenate(x) for x in zip(*parts, strict=True))
         best = out.argmax(1)
         top = out[np.arange(len(texts)), best]
         out[np.arange(len(texts)), best] = -np.inf
