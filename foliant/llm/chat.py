@@ -70,15 +70,19 @@ class Template:
     def segments(self, role: str, text: str) -> list[tuple[str, bool]]:
         return [(self.opening + self.escape_role(role) + self.after_role, False), (self.escape(text), role in self.loss_roles), (self.closing, False)]
 
-    def parse(self, formatted: str) -> list[tuple[str, str]]:
-        """The (role, text) turns of a formatted text."""
+    def first_turns(self, formatted: str) -> tuple[list[tuple[str, str]], str]:
+        """The (role, text) turns that a formatted text begins with, and what follows the last whole one."""
         out, at = [], 0
-        while at < len(formatted):
-            m = self.rules["turn"].match(formatted, at)
-            if not m:
-                raise ValueError(f"no turn at {at}")
+        while m := self.rules["turn"].match(formatted, at):
             out.append((self.unescape(m[1]), self.unescape(m[2])))
             at = m.end()
+        return out, formatted[at:]
+
+    def parse(self, formatted: str) -> list[tuple[str, str]]:
+        """The (role, text) turns of a formatted text."""
+        out, rest = self.first_turns(formatted)
+        if rest:
+            raise ValueError(f"no turn at {len(formatted) - len(rest)}")
         return out
 
 
@@ -118,7 +122,10 @@ def format_turns(conversations: DataFrame, template: Template | None = None) ->
 
 
 class _Digest:
-    """Reads the segments of one conversation back and digests them as they come."""
+    """Reads one conversation back from the stream of its segments' texts, and digests turns as they are whole.
+
+    Where a turn begins and ends is read from the text alone.
+    """
 
     def __init__(self, template: Template) -> None:
         self.t = template
@@ -126,8 +133,9 @@ class _Digest:
         self.sha, self.loss_sha = hashlib.sha256(), hashlib.sha256()
         self.ordered, self.complete = True, False
         self.open: list[str] = []
+        self.tail = ""
 
-    def add(self, segment: int, text: str, loss: bool, good: bool, complete: bool | None) -> None:
+    def add(self, text: str, loss: bool, good: bool, complete: bool | None) -> None:
         self.chars += len(text)
         self.ordered &= good
         self.open.append(text)
@@ -135,14 +143,20 @@ class _Digest:
             plain = self.t.unescape(text)
             self.loss_chars += len(plain)
             self.loss_sha.update(plain.encode("utf-8", "surrogatepass"))
-        if segment == 2:
-            for role, body in self.t.parse("".join(self.open)):
+        seen = self.tail + text
+        self.tail = seen[-len(self.t.closing) :]
+        if self.t.closing in seen:
+            turns, rest = self.t.first_turns("".join(self.open))
+            self.open = [rest]
+            for role, body in turns:
                 self.turns += 1
                 self.sha.update(f"{role}\n{body}\n".encode("utf-8", "surrogatepass"))
-            self.open = []
-            self.complete = bool(complete)
+        if complete is not None:
+            self.complete = complete
 
     def row(self) -> tuple:
+        if any(self.open):
+            raise ValueError("the text ends inside a turn")
         return self.turns, self.sha.hexdigest(), self.loss_chars, self.loss_sha.hexdigest(), self.chars, self.ordered and self.complete
 
 
@@ -169,7 +183,7 @@ def read_back(segments: DataFrame, template: Template | None = None) -> DataFram
                 if segment == 0 and n == 0:
                     close()
                     current, digest = conv, _Digest(t)
-                digest.add(segment, text, loss, good, complete)
+                digest.add(text, loss, good, complete)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out, strict=True)], schema=out)
         if digest is not None:
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((current, *digest.row()), out, strict=True)], schema=out)
@@ -178,7 +192,7 @@ def read_back(segments: DataFrame, template: Template | None = None) -> DataFram
 
 
 def with_probe(conversations: DataFrame) -> DataFrame:
-    """The conversations and one of id -1 whose texts are made of control strings."""
+    """The conversations and one of id -1 whose texts are made of control strings; turns that have this id already are turns of the same conversation."""
     probe = conversations.sparkSession.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
     own = conversations.select("conv_id", "turn", "role", "text")
     return own.unionByName(probe.select(*(F.col(c).cast(own.schema[c].dataType) for c in own.columns)))

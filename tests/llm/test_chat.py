@@ -61,3 +61,16 @@ def test_ties_nulls_and_empty_tables(spark):
     assert found[None]["turns_sha256"] == digest([("user", "a"), ("user", "b")])[1]
     assert found[1]["turns_sha256"] == digest([("assistant", "y"), ("user", "x"), ("user", "x")])[1]
     assert chat.read_back(chat.format_turns(df.limit(0))).count() == 0
+
+
+@given(st.lists(st.tuples(PARTS, PARTS), min_size=1, max_size=3), st.integers(1, 9))
+def test_turns_are_read_from_the_text_alone(turns, size):
+    """The stream cut anywhere gives the same turns; a stream that ends inside one is an error."""
+    text = "".join(piece for role, body in turns for piece, _ in T.segments(role, body))
+    d = chat._Digest(T)
+    for at in range(0, len(text), size):
+        d.add(text[at : at + size], False, True, None)
+    assert d.row()[:2] == digest(turns)[:2]
+    d.add(text[:-1], False, True, None)
+    with pytest.raises(ValueError):
+        d.row()
