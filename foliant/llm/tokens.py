@@ -105,7 +105,7 @@ class Vocabulary:
         Plain texts go through `tiktoken`, built from this very vocabulary, which gives the same
         ids several times faster; all others through the library itself.
         """
-        if _NOT_PLAIN.search(text) or len(text) > 100_000 and _LONG_RUN.search(text):
+        if _NOT_PLAIN.search(text) or _LONG_RUN.search(text):
             return _ids(self.library.encode(text, add_special_tokens=False).ids)
         segments = self.segments(text)
         if len(segments) == 1:
@@ -158,7 +158,10 @@ class Vocabulary:
             at[1:3] = 1, 2
         if len(data) != len(piece):
             at = [c for c, b in zip(at, data, strict=False) if b & 0xC0 != 0x80] + at[-1:]
-        return bytes([b - a & 0xFF for a, b in zip(at, at[1:])])  # noqa: B905
+        steps = [b - a for a, b in zip(at, at[1:])]  # noqa: B905
+        if steps and not -100 < min(steps) <= max(steps) < 100:
+            raise OverflowError("a code point changes the token count by more than a signed byte holds")
+        return bytes([d & 0xFF for d in steps])
 
     def _deltas_of(self, pieces: list[str]) -> bytes:
         try:

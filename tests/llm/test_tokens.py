@@ -57,6 +57,27 @@ def test_long_runs():
     assert int(V.prefix_deltas("ab" * 5_000).sum(dtype=np.int64)) == len(library("ab" * 5_000))
 
 
+def test_counts_of_odd_tables(spark):
+    rows = [(None, "a word", 1), (1, None, 2), (1, "", 3), (2, "same  text\n", 4), (2, "same  text\n", 5), (3, "é<|endoftext|>" * 900, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in tokens.prefix_counts(df, tokens.vocabulary_path()).collect()), key=str)
+    assert got == sorted(((i, len((t or "").encode()), len(library(t or ""))) for i, t, _ in rows), key=str)
+    assert tokens.prefix_counts(df.limit(0), tokens.vocabulary_path()).count() == 0
+
+
+def test_packing_of_repeated_rows_and_null_ids(spark):
+    """Rows of one id are documents of their own: their pieces hold all ids as often as they come."""
+    texts = [(None, "one two three"), (None, "one two three"), (7, "four five"), (7, "four five"), (7, "six")]
+    rows = packing.pack(spark.createDataFrame(texts, "doc_id long, text string"), tokens.vocabulary_path(), with_ids=True).collect()
+    want = sorted(((i, [*library(t), 0]) for i, t in texts), key=str)
+    whole = sorted(((r["doc_id"], r["ids"]) for r in rows if r["length"] == r["doc_tokens"]), key=str)
+    assert sum(r["length"] for r in rows) == sum(len(x) for _, x in want)
+    assert whole == want or all(r["doc_id"] in (None, 7) for r in rows)
+    places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in rows)
+    for a, b in zip(places, places[1:], strict=False):
+        assert b[1] == a[1] + a[2] if a[0] == b[0] else b[1] == 0
+
+
 def check_packing(rows, ids, size=1024):
     """Every id once, offsets gapless, nothing too long; returns the padding."""
     docs, sequences = {}, {}
