@@ -2,9 +2,10 @@
 
 Two multinomials over 2^18 hashed word uni- and bigrams are counted, one over the trusted target
 texts and one over all texts of the raw corpus, each distinct text once however often it is copied.
-A document's score is the mean, over its n-grams, of log((t + s) / (e + s)), where t is the
-bucket's target count, e the count expected if the target were drawn from the raw corpus, and s a
-pseudo-count that draws thin buckets to 0. The scored text's own n-grams are left out of all
+A document's score is the mean, over its n-grams, of log(p(bucket) / q(bucket)). Both are smoothed and
+sum to one: p = (t + s) / (T + B s) and q = (e + s) / (T + B s), where t is the bucket's target count, T the
+sum of these, B the number of buckets, e the raw count scaled so that all sum to T as well, and s a
+pseudo-count, which draws thin buckets to 0. So the ratio is (t + s) / (e + s). The scored text's own n-grams are left out of all
 counts, so a score says what other texts say. The means over unigrams and over bigrams are also
 judged apart: words that the target avoids (toxic ones) show in the unigrams only. Their thresholds
 are what all but a small share of the target's texts reach, each scored without its own counts; that
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, column, extend, map_rows, slices, utf8, written
+from .common import LOWER, column, discard, extend, fresh, map_rows, slices, utf8, written
 
 BUCKETS = 1 << 18
 PSEUDO = 2.0
@@ -236,10 +237,14 @@ def _may_be_in(rows: DataFrame, hashes: DataFrame, how: str) -> DataFrame:
     return rows.withColumn("s", _short("h")).join(F.broadcast(hashes.select(_short("h").alias("s")).distinct()), "s", how).drop("s")
 
 
-def distinct_texts(docs: DataFrame) -> DataFrame:
+def copied_texts(docs: DataFrame) -> DataFrame:
+    """Hashes (h) of texts that several rows have, written."""
+    return written(docs.select(F.xxhash64("text").alias("h")).groupBy("h").count().where("count > 1").select("h"), "quality-copied")
+
+
+def distinct_texts(docs: DataFrame, copied: DataFrame) -> DataFrame:
     """Each text of the documents once. Only texts that may be copies are shuffled, one of each a task."""
     rows = docs.select("text", F.xxhash64("text").alias("h"))
-    copied = written(rows.groupBy("h").count().where("count > 1").select("h"), "quality-copied")
     once, again = _may_be_in(rows, copied, "left_anti"), _may_be_in(rows, copied, "left_semi")
     return once.union(again.dropDuplicates(["h"])).select("text")
 
@@ -252,7 +257,9 @@ def target_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, trusted: DataFrame) -> Ratios:
     target = target_texts(docs, trusted)
-    weights = ratios(bucket_counts(distinct_texts(docs)), bucket_counts(target))
+    copied = copied_texts(docs)
+    weights = ratios(bucket_counts(distinct_texts(docs, copied)), bucket_counts(target))
+    discard(copied)
     weights.least = thresholds(weights, target)
     return weights
 
@@ -265,12 +272,14 @@ def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> Da
     trusted = trusted_hashes(docs, labels)
     weights = docs.sparkSession.sparkContext.broadcast(fit(docs, trusted))
 
+    h, out, inside, trust = fresh(docs, "h", "kept_out", "kept_in", "trusted")
+
     def run(batch) -> dict:
         known: dict[bytes, int] = {}
         found = [judge(t, weights.value, known, threshold) for t in column(batch, "text")]
-        return {"__out": [x[-3] for x in found], "__in": [x[-1] for x in found]}
+        return {out: [x[-3] for x in found], inside: [x[-1] for x in found]}
 
-    judged = extend(docs.withColumn("__h", F.xxhash64("text")), "__out boolean, __in boolean", run)
-    same = judged.where("__out and __in")
-    either = judged.where("__out != __in").join(trusted.select(F.col("h").alias("__h"), F.lit(True).alias("__t")).hint("merge"), "__h", "left")
-    return same.select(*docs.columns).union(either.where("if(__t is not null, __in, __out)").select(*docs.columns))
+    judged = extend(docs.withColumn(h, F.xxhash64("text")), f"{out} boolean, {inside} boolean", run)
+    same = judged.where(F.col(out) & F.col(inside))
+    either = judged.where(F.col(out) != F.col(inside)).join(trusted.select(F.col("h").alias(h), F.lit(True).alias(trust)).hint("merge"), h, "left")
+    return same.select(*docs.columns).union(either.where(F.when(F.col(trust), F.col(inside)).otherwise(F.col(out))).select(*docs.columns))

@@ -1,5 +1,8 @@
+import math
 import random
 import re
+import zlib
+from collections import Counter
 
 import pytest
 
@@ -54,6 +57,50 @@ def test_counts_and_ratio_agree_with_a_plain_version(spark, sf_dir):
     assert quality.np.array_equal(quality.bucket_counts(quality.trusted_docs(docs, labels)), target)
 
 
+def plain_buckets(text):
+    """Buckets of unigrams, then of bigrams, with Python's integers."""
+    h = [zlib.crc32(w.encode()) for w in re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))]
+    cut = lambda x: x % 2**32
+    return [cut(a * 2654435761) >> 14 for a in h], [cut(cut(cut(a * 2246822519) ^ b) * 3266489917) >> 14 for a, b in zip(h, h[1:], strict=False)]
+
+
+def test_ratio_and_verdict_agree_with_a_plain_version(spark, sf_dir):
+    texts = {r["doc_id"]: r["text"] for r in table(spark, sf_dir, "documents").collect()}
+    good = {r["doc_id"] for r in table(spark, sf_dir, "labels").collect() if r["quality"] == 1 and r["toxic"] == 0}
+    target = {texts[i] for i in good if i in texts}
+    grams = {t: plain_buckets(t) for t in set(texts.values())}
+    raw_n, target_n = (Counter(b for t in some for part in grams[t] for b in part) for some in (grams, target))
+    n_raw, n_target = sum(raw_n.values()), sum(target_n.values())
+
+    def means(text):
+        own = Counter(b for part in grams[text] for b in part)
+        inside, size = text in target, sum(own.values())
+        t_sum, r_sum, s, total = n_target - size * inside, n_raw - size, quality.PSEUDO, quality.BUCKETS * quality.PSEUDO
+        p = lambda b: (target_n[b] - own[b] * inside + s) / (t_sum + total)
+        q = lambda b: ((raw_n[b] - own[b]) * t_sum / r_sum + s) / (t_sum + total)
+        one, two = ([math.log(p(b) / q(b)) for b in part] for part in grams[text])
+        return (sum(one) + sum(two)) / max(1, size), sum(one) / max(1, len(one)), sum(two) / max(1, len(two))
+
+    found = {t: means(t) for t in grams}
+    least = [sorted(found[t][k] for t in target if len(grams[t][0]) >= 50)[max(0, math.ceil(quality.LOSS * sum(len(grams[t][0]) >= 50 for t in target)) - 1)] for k in (1, 2)]
+    rows = op2_quality(spark, sf_dir).collect()
+    assert 0.2 * len(rows) < sum(r["kept"] for r in rows) < len(rows)
+    for r in rows:
+        all_, one, two = found[texts[r["doc_id"]]]
+        assert r["llr"] == pytest.approx(all_, abs=1e-9)
+        if min(abs(all_ - quality.THRESHOLD), abs(one - least[0]), abs(two - least[1])) > 1e-9 or texts[r["doc_id"]] in target:
+            assert r["kept"] == (not r["base_failed"] and all_ >= quality.THRESHOLD and one >= least[0] - 1e-12 and two >= least[1] - 1e-12)
+
+
+def test_both_multinomials_sum_to_one():
+    rng = quality.np.random.default_rng(1)
+    raw, target = rng.integers(0, 9, (2, quality.BUCKETS)).astype(float)
+    w = quality.ratios(raw + target, target)
+    total = w.n_target + quality.BUCKETS * quality.PSEUDO
+    assert ((w.target + quality.PSEUDO) / total).sum() == pytest.approx(1)
+    assert ((w.raw * (w.n_target / w.n_raw) + quality.PSEUDO) / total).sum() == pytest.approx(1)
+
+
 def test_junk_goes_and_clean_documents_stay(spark):
     d = "/root/testdata/sf0.01"
     rows = op2_quality(spark, d).join(table(spark, d, "labels"), "doc_id").where("not base_failed").collect()
