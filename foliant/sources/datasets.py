@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ENTRY, STATISTICS
@@ -92,21 +91,35 @@ def report(circuits: DataFrame, stats: DataFrame, order: str = "ord", exam: str
     return stats.crossJoin(gates).crossJoin(topics).crossJoin(first).select(F.concat_ws("\n", *lines).alias("value"))
 
 
-def write_images(figures: DataFrame, directory: str) -> None:
-    """PNG files named by figure. `directory` must be one that all executors share."""
+def write_images(figures: DataFrame, directory: str, folder: Column | None = None) -> None:
+    """PNG files named by figure, in a folder each if one is given. `directory` is a path or URI that all executors share.
+
+    Files are written whole, task by task; a task that runs again writes the same files. Null images are left out.
+    """
 
     def save(rows) -> None:
-        Path(directory).mkdir(parents=True, exist_ok=True)
+        store, root = fs.FileSystem.from_uri(directory) if "://" in directory else (fs.LocalFileSystem(), directory)
+        made: set[str] = set()
         for r in rows:
-            Path(directory, r["filename"]).write_bytes(r["image"])
+            place = f"{root}/{r['folder']}" if r["folder"] else root
+            if place not in made:
+                store.create_dir(place, recursive=True)
+                made.add(place)
+            with store.open_output_stream(f"{place}/{r['filename']}") as out:
+                out.write(bytes(r["image"]))
+
+    rows = figures.where("image is not null").select("filename", "image", (F.lit("") if folder is None else folder).alias("folder"))
+    rows.foreachPartition(save)
+
 
-    figures.select("filename", "image").foreachPartition(save)
+def decision() -> Column:
+    """accepted or rejected, by score."""
+    return F.when(F.coalesce(F.col("score") >= 0.5, F.lit(False)), "accepted").otherwise("rejected")
 
 
 def write_by_decision(scored: DataFrame, path: str) -> None:
-    """Accepted and rejected figures, a folder each."""
-    decision = F.when(F.coalesce(F.col("score") >= 0.5, F.lit(False)), "accepted").otherwise("rejected")
-    scored.withColumn("decision", decision).write.mode("overwrite").partitionBy("decision").parquet(path)
+    """Accepted and rejected figures as tables, a folder each; `write_images(scored, path, decision())` writes them as files."""
+    scored.withColumn("decision", decision()).write.mode("overwrite").partitionBy("decision").parquet(path)
 
 
 def export(circuits: DataFrame, stats: DataFrame | None, directory: str, exam: str = EXAM, order: str = "ord") -> dict[str, str]:

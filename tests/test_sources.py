@@ -133,6 +133,8 @@ def test_image_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a.png", b"1", 0.9), ("b.png", b"2", 0.1), ("c.png", b"3", None)], "filename string, image binary, score double")
     DS.write_images(df, str(tmp_path / "images"))
     assert (tmp_path / "images" / "b.png").read_bytes() == b"2"
+    DS.write_images(df, f"file://{tmp_path}/split", DS.decision())
+    assert sorted(str(p.relative_to(tmp_path / "split")) for p in (tmp_path / "split").rglob("*.png")) == ["accepted/a.png", "rejected/b.png", "rejected/c.png"]
     DS.write_by_decision(df, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).groupBy("decision").count().orderBy("decision").collect()[0]["count"] == 1
 
