@@ -5,8 +5,9 @@ strongly a term reveals an entity kind e is estimated from the whole corpus: ove
 positions, P(e) is the share that lies within REACH words of an entity of the kind, P(e|t)
 the same share among the positions of term t. The term's disclosure is pointwise mutual information
 over the entity's information content, log(P(e|t) / P(e)) / -log P(e), which is 1 if the
-term occurs near such entities only. Terms are generalised wherever they stand, near an entity or not,
-where their disclosure reaches one threshold, and removed where it reaches a higher one.
+term occurs near such entities only. Terms are generalised to the class of what they reveal most, wherever
+they stand, near an entity or not, where their disclosure reaches one threshold, and removed where
+it reaches a higher one.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Held, alnum_words, arrow_schema, column, ends, extend, slices, written
+from .common import Held, alnum_words, arrow_schema, column, discard, ends, extend, slices, written
 
 #: Kinds of spans, in order; the first four are the base.
 KINDS = ("email", "ip", "card", "phone", "key", "term")
@@ -110,8 +111,11 @@ def _uncovered(text: str, spans: list[Span]) -> tuple[list[tuple[int, int]], np.
     return words, starts, ends, covered
 
 
-def occurrences(text: str, spans: list[Span], terms: dict[bytes, float]) -> Iterator[tuple[int, int, float]]:
-    """All places of the given terms in a text: start, end, disclosure. Words that touch an entity are no terms."""
+Revealed = tuple[float, str]  # disclosure, kind
+
+
+def occurrences(text: str, spans: list[Span], terms: dict[bytes, Revealed]) -> Iterator[tuple[int, int, Revealed]]:
+    """All places of the given terms in a text: start, end, what they reveal most. Words that touch an entity are no terms."""
     if terms.keys().isdisjoint(alnum_words(text)):
         return
     words, _, _, covered = _uncovered(text, spans)
@@ -229,34 +233,40 @@ def fit(docs: DataFrame, text: str = "text", threshold: float = GENERALISE, supp
 
 
 def detect(docs: DataFrame, disclosure: Disclosure, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """The documents with `pii` added: an array of (kind, start, end, disclosure) by start, then kind.
+    """The documents with `pii` added: an array of (kind, start, end, disclosure, reveals) by start, then kind.
 
     Offsets are code points, ends exclusive. disclosure is 1 for entities, and a term's highest
-    over the kinds. Every occurrence of a revealing term is marked, in every document. A null or empty text
+    over the kinds; reveals is an entity's kind, and the one that a term reveals most. Every occurrence of a revealing term is marked, in every document. A null or empty text
     has no spans. Repeated documents are treated one by one. Input columns are kept, except that a
     column named pii is replaced and the texts go if they aren't wanted any more.
     """
-    fields = "pii array<struct<kind:string,start:long,end:long,disclosure:double>>"
-
-    def add(df: DataFrame, block: dict[str, dict[int, float]], first: bool, last: bool) -> DataFrame:
-        shared = df.sparkSession.sparkContext.broadcast({t.encode("utf-8", "replace"): max(kinds.values()) for t, kinds in block.items()})
+    fields = "pii array<struct<kind:string,start:long,end:long,disclosure:double,reveals:string>>"
 
+    def add(df: DataFrame, shared, first: bool, last: bool) -> DataFrame:
         def run(batch) -> dict:
             out, terms = [], shared.value
             before = [()] * batch.num_rows if first else column(batch, "pii")
             for t, old in zip(column(batch, text), before, strict=True):
                 spans = entities(t)
-                found = {(a, k, b): 1.0 for a, k, b in spans} | {(x["start"], KINDS.index(x["kind"]), x["end"]): x["disclosure"] for x in old}
+                found = {(a, k, b): (1.0, KINDS[k]) for a, k, b in spans} | {(x["start"], KINDS.index(x["kind"]), x["end"]): (x["disclosure"], x["reveals"]) for x in old}
                 for a, b, d in occurrences(t, spans, terms) if t and terms else ():
                     found[a, 5, b] = d
-                out.append([{"kind": KINDS[k], "start": a, "end": b, "disclosure": d} for (a, k, b), d in sorted(found.items())])
+                out.append([{"kind": KINDS[k], "start": a, "end": b, "disclosure": d, "reveals": r} for (a, k, b), (d, r) in sorted(found.items())])
             return {"pii": out}
 
         return extend(df, fields, run, text, drop=() if keep_text or not last else (text,))
 
     out = None
     for block, last in ends(disclosure.blocks()):
-        out = add(docs if out is None else out, block, out is None, last)
+        # the kind of highest disclosure; of equal ones the first
+        terms = {t.encode("utf-8", "replace"): max((d, -k) for k, d in kinds.items()) for t, kinds in block.items()}
+        shared = docs.sparkSession.sparkContext.broadcast({t: (d, KINDS[-k]) for t, (d, k) in terms.items()})
+        before, out = out, add(docs if out is None else out, shared, out is None, last)
+        if not last:  # one block at a time is broadcast, and the documents are a table between passes
+            out = written(out, "pii-spans")
+            shared.unpersist()
+            if before is not None:
+                discard(before)
     return out
 
 
@@ -274,7 +284,7 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def _replaced(text: str | None, spans: list[dict]) -> str | None:
-    """Entities and generalised terms become [KIND]; terms of the highest disclosure go. Overlapping spans become one, named by the first."""
+    """Entities become [KIND], generalised terms the class of what they reveal, [KIND TERM]; terms of the highest disclosure go. Overlapping spans become one, named by the first."""
     if not spans:
         return text
     out, at = [], 0
@@ -285,8 +295,8 @@ def _replaced(text: str | None, spans: list[dict]) -> str | None:
         while i < len(spans) and spans[i]["start"] < end:
             end = max(end, spans[i]["end"])
             i += 1
-        gone = first["kind"] == "term" and first["disclosure"] >= REMOVE
-        out += [text[at : first["start"]], "" if gone else f"[{first['kind'].upper()}]"]
+        term = first["kind"] == "term"
+        out += [text[at : first["start"]], "" if term and first["disclosure"] >= REMOVE else f"[{first['reveals'].upper()}{' TERM' * term}]"]
         at = end
     return "".join([*out, text[at:]])
 

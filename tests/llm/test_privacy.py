@@ -146,7 +146,7 @@ def test_revealing_terms_go_wherever_they_stand(spark):
     assert privacy.GENERALISE <= d < privacy.REMOVE
     clean = {r["doc_id"]: r["text"] for r in privacy.sanitise(df).collect()}
     assert all("mailbox" not in t.lower() for t in clean.values())
-    assert clean[2003] == " ".join(["plain"] * 20) + " [TERM], end of 3"
+    assert clean[2003] == " ".join(["plain"] * 20) + " [EMAIL TERM], end of 3"
     pii = {r["doc_id"]: r["pii"] for r in privacy.detect(df, model).collect()}
     assert [(s["kind"], s["start"], s["end"]) for s in pii[2003]] == [("term", 120, 127)]
 
