@@ -7,7 +7,8 @@ shard; from there a match is extended to its full length.
 
 Words that no benchmark item contains can't be part of a match; they only separate the stretches
 that the suffix array holds. Items come in blocks of bounded size, one pass over the documents for
-each, so the benchmark may be larger than a worker's memory.
+each, so the benchmark may be larger than a worker's memory; between passes the documents are a
+written table, so that one block at a time is broadcast.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, column, ends, extend
+from .common import alnum_words, column, discard, ends, extend, fresh, written
 
 #: Characters of benchmark text handled in one pass.
 BLOCK_CHARS = 4_000_000
+#: Documents in a shard, at most; each shard looks up all windows of a block.
+SHARD_ROWS = 10_000
 #: Words a window has.
 WINDOW = 10
 
@@ -201,8 +204,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, it
     """
     fields = "n_words long, match_ranges array<struct<start:int,end:int>>, match_items array<string>, longest_match int"
 
-    def add(df: DataFrame, block: Block, first: bool, last: bool) -> DataFrame:
-        shared = df.sparkSession.sparkContext.broadcast(block)
+    def add(df: DataFrame, shared, first: bool, last: bool) -> DataFrame:
 
         def run(batch) -> dict:
             words = [alnum_words(t) for t in column(batch, text)]
@@ -218,12 +220,25 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, it
                 "longest_match": longest,
             }
 
-        return extend(df, fields, run, text, drop=() if keep_text or not last else (text,))
+        return extend(df, fields, run, text, drop=() if keep_text or not last else (text,), rows=SHARD_ROWS)
 
-    out = None
+    context, before = docs.sparkSession.sparkContext, None
     for block, last in ends(blocks(benchmark, item_col, text, window)):
-        out = add(docs if out is None else out, block, out is None, last)
-    return add(docs, Block(window), True, True) if out is None else out
+        shared = context.broadcast(block)
+        out = add(docs if before is None else before, shared, before is None, last)
+        if last:
+            return out
+        before = _passed(out, before, shared)
+    return add(docs, context.broadcast(Block(window)), True, True)
+
+
+def _passed(out: DataFrame, before: DataFrame | None, shared) -> DataFrame:
+    """A pass that isn't the last, as a table; what it needed goes."""
+    done = written(out, "matches")
+    shared.unpersist()
+    if before is not None:
+        discard(before)
+    return done
 
 
 def sha256_of_items(items: list[str]) -> str:
@@ -239,12 +254,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_col: str = "item_id", text: str = "text") -> DataFrame:
     """The documents that hold no window of any item, with their own columns; null and empty texts stay."""
-    out = docs
-    for block in blocks(benchmark, item_col, text, window):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+    context, before = docs.sparkSession.sparkContext, None
+    (clean,) = fresh(docs, "clean")
+    for block, last in ends(blocks(benchmark, item_col, text, window)):
+        shared = context.broadcast(block)
 
         def run(batch, shared=shared) -> dict:
-            return {"__clean": [not r for r in search([alnum_words(t) for t in column(batch, text)], shared.value)[0]]}
+            return {clean: [not r for r in search([alnum_words(t) for t in column(batch, text)], shared.value)[0]]}
 
-        out = extend(out, "__clean boolean", run, text).where("__clean").drop("__clean")
-    return out
+        out = extend(docs if before is None else before, f"{clean} boolean", run, text, rows=SHARD_ROWS).where(F.col(clean)).drop(clean)
+        if last:
+            return out
+        before = _passed(out, before, shared)
+    return docs
