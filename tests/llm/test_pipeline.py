@@ -67,3 +67,21 @@ def test_empty_and_null_tables(spark, sf_dir, rows):
         out = stage(spark, docs, sf_dir)
         assert out.columns == docs.columns
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == len(rows)
+
+
+def test_repeated_rows_and_very_long_texts(spark, sf_dir):
+    """Copies go with the near-duplicates, long texts go through whole."""
+    docs = table(spark, sf_dir, "documents")
+    some = docs.orderBy("doc_id").limit(30)
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60_000)), lambda i: F.concat(F.lit("w"), (i * 7919 % 30_011).cast("string"))), " ")
+    long = docs.orderBy("doc_id").limit(1).select(F.lit(10**6).cast("long").alias("doc_id"), text.alias("text"), "lang", "source", "n_chars")
+    left = docs.unionByName(some).unionByName(long).unionByName(long)
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        left = stage(spark, left, sf_dir).cache()
+        assert left.columns == docs.columns, name
+    rows = left.collect()
+    ids = [r["doc_id"] for r in rows]
+    assert len(ids) == len(set(ids)) and 10**6 in ids and len({r["text"] for r in rows}) == len(rows)
+    assert next(r for r in rows if r["doc_id"] == 10**6)["text"].count(" ") == 59_999
+    packed = corpus_pipeline.STAGES[-1][1](spark, left, sf_dir).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).collect()
+    assert len(packed) == len(rows) and all(r["n"] == r["m"] for r in packed)
