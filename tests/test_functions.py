@@ -3,6 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from foliant.functions import arrays as AR
 from foliant.functions import geometry as G
 from foliant.functions import match as M
 from foliant.functions import score as S
@@ -220,3 +221,37 @@ def test_caption_below(spark):
     assert one(spark, G.caption_below(box(0, 0, 100, 100), box(0, 110, 100, 120))) is True
     assert one(spark, G.caption_below(box(0, 0, 100, 100), box(0, 260, 100, 270))) is False
     assert one(spark, G.caption_below(box(0, 0, 100, 100), box(200, 110, 300, 120))) is False
+
+
+@pytest.mark.parametrize("caption", ["Circuit diagram of a Hadamard gate, then a CNOT gate sequence", "Error rate versus depth", "quantum circuit that performs a controlled swap on qubit 3", ""])
+def test_evidence_of_captions(spark, caption):
+    k, low = keywords(), caption.lower()
+    gates_ = [g for g in k.entities if re.search(rf"\b{re.escape(g)}\b", low)][:3]
+    want = [f"primary:{p}" for p in k.primary if p in low] + [f"gate:{g}" for g in gates_]
+    want += [f"pattern:{p[:30]}..." for p in S.FOR if re.search(p, low)] + [f"negative:{p[:20]}..." for p in S.AGAINST if re.search(p, low)]
+    boosting = sum(b in low for b in S.BOOSTING)
+    want += [f"gate+circuit:{boosting}"] if boosting and "circuit" in low else []
+    assert spark.createDataFrame([(caption,)], "c string").select(S.caption_analysis(F.col("c"), k).alias("a")).first()["a"]["evidence"] == want
+
+
+def test_evidence_of_topics(spark):
+    r = spark.createDataFrame([("VQE and QAOA", ["a swap test", "nothing"]), ("a bell pair", []), ("", None)], "c string, x array<string>").select(TP.identify_topic(F.col("c"), F.col("x"), topics()).alias("t")).collect()
+    assert r[0]["t"]["evidence"] == ["Caption: VQE and QAOA"] * 2 + ["Context: a swap test..."]
+    assert r[1]["t"]["evidence"] == ["Inferred from text patterns: Bell State Preparation"] and r[2]["t"]["evidence"] == []
+
+
+def test_aliases_that_only_some_lists_have(spark):
+    for text, name in (("adapt-vqe", "Variational Quantum Eigensolver (VQE)"), ("inverse qft", "Quantum Fourier Transform (QFT)"), ("rotated surface code", "Surface Code"), ("suzuki-trotter", "Hamiltonian Simulation"), ("state tomography", "Tomography")):
+        assert topics().lookup()[text] == name
+
+
+def test_raw_matches(spark):
+    """A name that is its own alias, but for case, counts twice: each term is searched."""
+    r = spark.createDataFrame([("Hadamard then CNOT", ["a Toffoli gate"], None)], "c string, x array<string>, e string").select(M.raw_matches(F.col("c"), F.col("x"), F.col("e"), gates()).alias("m")).first()["m"]
+    assert r == ["Hadamard", "CNOT", "CNOT", "Toffoli gate", "Toffoli gate"]
+
+
+def test_sums_before(spark):
+    values = list(range(1, 1000))
+    r = spark.createDataFrame([(values,), ([],), (None,)], "v array<int>").select(AR.sums_before(F.col("v")).alias("s")).collect()
+    assert r[0]["s"] == [i * (i + 1) // 2 for i in range(999)] and r[1]["s"] == [] and r[2]["s"] is None
