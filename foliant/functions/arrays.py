@@ -23,7 +23,7 @@ def runs(values: Column, size: int = RUN) -> Column:
 
 
 def sums_before(values: Column) -> Column:
-    """For each number of an int array the sum of those before it; null for null."""
+    """For each number of an int array the sum of those before it; none for an empty or null array."""
     none = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out"))
     add = lambda s, x: F.struct((s["sum"] + x).alias("sum"), F.concat(s["out"], F.array(s["sum"])).alias("out"))
 
