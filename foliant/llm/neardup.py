@@ -40,6 +40,8 @@ SLACK = 4.9
 BLOCK = 2048
 #: Nodes, and shingles in their sets, of either side in a group where all pairs across components are tested.
 SET_BLOCK, SET_ITEMS = 512, 4_000_000
+#: Tasks over which the nodes of a large bucket spread where it is joined.
+SALTS = 16
 #: Rows of narrow tables in a file; of signatures; of sets; of pairs that are still to be made or confirmed.
 EDGES, SIGNS_A_FILE, SETS_A_FILE, PAIRS_A_FILE = 500_000, 25_000, 5_000, 20_000
 #: Rows of an Arrow batch where they hold texts, signatures or sets.
@@ -183,14 +185,14 @@ def _shared_buckets(bands: DataFrame, by_range: bool) -> DataFrame:
 
 
 def _members(bands: DataFrame, by_range: bool, parts: int) -> DataFrame:
-    """(bucket, band, node, block, cut), written."""
+    """(bucket, band, node, block, cut) of buckets with two nodes or more, and of at most two with one a task."""
     found = written(_shared_buckets(bands, by_range), "neardup-buckets", parts)
     edges = F.broadcast(found.where("edge").groupBy("bucket").count().where("count > 1").select("bucket", F.lit(True).alias("cut")))  # two rows a task at most
-    out = found.where("not edge").join(edges, "bucket", "left").select("bucket", "band", "node", "block", F.coalesce("cut", F.lit(False)).alias("cut"))
-    return out
+    return found.where("not edge").join(edges, "bucket", "left").select("bucket", "band", "node", "block", F.coalesce("cut", F.lit(False)).alias("cut"))
 
 
 def _by_block(members: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Members with their signatures, in groups of a block each, as `_groups` reads them."""
     rows = members.join(signatures, "node").select("bucket", F.col("block").alias("lo"), F.lit(0).cast("long").alias("hi"), F.col("cut").cast("long").alias("own"), "band", "node", "sig")
     return rows.repartition("bucket", "lo").sortWithinPartitions("bucket", "lo", "hi", "node")
 
@@ -230,7 +232,7 @@ def _near(blocks: DataFrame, similarity: Similarity) -> DataFrame:
     return blocks.mapInArrow(run, schema)
 
 
-def _candidates(bands: DataFrame, members: DataFrame, signatures: DataFrame, similarity: Similarity) -> DataFrame:
+def _candidates(members: DataFrame, signatures: DataFrame, similarity: Similarity) -> DataFrame:
     """(a, b) to confirm, once each, written: nodes and the central node of their block; of the blocks' central nodes likewise."""
     found, level = [], members
     while True:
@@ -309,14 +311,21 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def _dealt(placed: DataFrame, payload: DataFrame) -> DataFrame:
-    """Nodes of buckets that hold several components, with what `payload` has for them, dealt out to groups.
+def _with_bucket(rows: DataFrame, of_bucket: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows of nodes joined with what there is for their buckets; the nodes of a large bucket spread over SALTS tasks."""
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    spread = of_bucket.withColumn("salt", F.explode(salts))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS))).join(spread, ["bucket", "salt"], how).drop("salt")
+
+
+def _dealt(placed: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
+    """Nodes of buckets that hold several components, with their signatures and sets, dealt out to groups.
 
     A bucket's largest component is one side, all other nodes the other. Both are cut into blocks of bounded
     nodes and shingles, by a hash; the other side's blocks meet all blocks, those of the largest component
     meet no block of their own side. Small buckets are one group.
     """
-    rows = placed.join(payload, "node")
+    rows = placed.join(sets.select("node", (F.octet_length("items") / 8).alias("size")), "node")
     sums = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
     of_bucket = sums.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n_all"), F.sum("s").alias("s_all"), F.max_by("n", F.struct("n", "component")).alias("n_main"), F.max_by("s", F.struct("n", "component")).alias("s_main"))
     blocks = lambda n, size: F.greatest(F.ceil(n / SET_BLOCK), F.ceil(size / SET_ITEMS), F.lit(1))
@@ -329,8 +338,9 @@ def _dealt(placed: DataFrame, payload: DataFrame) -> DataFrame:
     number = lambda k: F.pmod(F.xxhash64("node", "bucket"), F.col(k))
     own = F.when(F.col("one"), F.lit(0)).when(inside, F.col("others") + number("mains")).otherwise(number("others"))
     last = F.when(F.col("one"), F.lit(0)).when(inside, F.col("others") - 1).otherwise(F.col("others") + F.col("mains") - 1)
-    dealt = rows.join(of_bucket, "bucket").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "band", "node", "component", "sig", "items")
+    dealt = _with_bucket(rows, of_bucket).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
+    dealt = dealt.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "band", "node", "component")
+    dealt = dealt.join(signatures.join(sets, "node"), "node").select("bucket", "lo", "hi", "own", "band", "node", "component", "sig", "items")
     return dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "node")
 
 
@@ -492,16 +502,15 @@ def _classes(docs: DataFrame, similarity: Similarity, text: str) -> tuple[DataFr
     # the members of shared buckets only: a small part of all signatures goes on
     signatures = of_nodes.select("node", "sig").join(members.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"])
     signatures = written(signatures, "neardup-sigs", n // SIGNS_A_FILE + 1)
-    near = _candidates(bands, members, signatures, similarity)
+    near = _candidates(members, signatures, similarity)
     links = _confirmed(docs, near, similarity, text)
     found = components(links)
     placed = members.select("bucket", "band", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # a bucket inside one component needs no second look, nor does one of two nodes: its one pair was tested
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y and n > 2").select("bucket")
-    placed = written(placed.join(mixed, "bucket", "left_semi"), "neardup-placed", m // EDGES + 1)
+    placed = written(_with_bucket(placed, mixed, "left_semi"), "neardup-placed", m // EDGES + 1)
     sets = _sets(docs, placed.select("node").distinct(), similarity, text, m // EDGES + 1)
-    payload = signatures.join(sets.withColumn("size", F.octet_length("items") / 8), "node")
-    more = written(_bridges(_dealt(placed, payload), similarity), "neardup-more", placed.count() // PAIRS_A_FILE + 1)
+    more = written(_bridges(_dealt(placed, signatures, sets), similarity), "neardup-more", placed.count() // PAIRS_A_FILE + 1)
     if not more.isEmpty():
         found = components(links.unionByName(more))
     roots = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
