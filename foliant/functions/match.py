@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..vocab import Vocabulary
 from .arrays import let
+from .lookup import candidates, keyed
 from .text import spans, strip
 
 #: Flags of every pattern: ignore case, and letters, digits and boundaries as Unicode has them.
@@ -16,34 +17,55 @@ FLAGS = "(?iuU)"
 COMMON = ("H", "CNOT", "X", "Z", "RX", "RY", "RZ", "CZ", "MEASURE")
 
 
-def _present(pairs: list[tuple[str, Column]]) -> Column:
-    """Names whose condition holds, in order."""
-    return F.filter(F.array(*(F.when(c, F.lit(n)) for n, c in pairs)), lambda x: x.isNotNull())
+#: Letters whose upper case has several characters, of which patterns know only the letters themselves, and a caseless letter that stands for them.
+_WIDE, _CASELESS = "".join(c for c in map(chr, range(0x80, 0x10000)) if len(c.upper()) > 1), "\u01bb"
 
 
-def find_terms(text: Column, vocabulary: Vocabulary) -> Column:
-    """Canonical names that occur in a text, sorted, each once. Null text: none.
+def folded(text: Column) -> Column:
+    """A text as patterns compare it that ignore case: each letter as the lower case of its upper case."""
+    # the optimiser takes an upper() right inside of lower() away
+    upper = F.translate(F.upper(F.translate(text, _WIDE, _CASELESS * len(_WIDE))), "\u0130", "I")
+    plain = F.translate(F.lower(upper), "\u03c2", "\u03c3")
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(plain)
+
 
-    One literal pattern a name, compiled once; terms aren't kept from overlapping.
+def _there(text: Column, vocabulary: Vocabulary) -> Column:
+    """Numbers of the terms that occur in a text, ascending.
+
+    A term's words are looked up first, then its characters, and its pattern is the last to be
+    tried; one that is a single word needs no more than the first.
     """
-    text = F.coalesce(text, F.lit(""))
-    return F.array_sort(_present([(c, text.rlike(FLAGS + p)) for c, p in vocabulary.patterns()]))
+    terms = vocabulary.terms()
+    words = {i: vocabulary.words_of(t) for i, (_, t) in enumerate(terms)}
+    keys = keyed({i: w for i, w in words.items() if w})
+    rest = [F.when(text.rlike(FLAGS + vocabulary.pattern(terms[i][1])), F.lit(i)) for i, w in words.items() if not w]
+    table = F.array(*(F.struct(F.lit("" if words[i] == (t.lower(),) else t.lower()).alias("low"), F.lit(FLAGS + vocabulary.pattern(t)).alias("pattern")) for i, (_, t) in enumerate(terms)))
+    sure = lambda low: lambda i: let(F.element_at(table, i + 1), lambda e: (e["low"] == "") | (F.contains(low, e["low"]) & F.rlike(text, e["pattern"])))
+    found = let(folded(text), lambda low: F.filter(candidates(low, keys), sure(low)))
+    return F.array_sort(F.concat(found, F.filter(F.array(*rest), lambda i: i.isNotNull()))) if rest else found
+
+
+def find_terms(text: Column, vocabulary: Vocabulary) -> Column:
+    """Canonical names that occur in a text, sorted, each once. Null text: none. Terms aren't kept from overlapping."""
+    names = F.array(*(F.lit(c) for c, _ in vocabulary.terms()))
+    return let(F.coalesce(text, F.lit("")), lambda t: F.array_sort(F.array_distinct(F.transform(_there(t, vocabulary), lambda i: F.element_at(names, i + 1)))))
 
 
 def locate_terms(text: Column, vocabulary: Vocabulary) -> Column:
     """Every match of every term as (start, end, text, canonical), by start, then vocabulary order.
 
-    Literal patterns tell which terms occur; only these are located.
+    Which terms occur is found out as in find_terms; only these are located.
     """
-    text = F.coalesce(text, F.lit(""))
     terms = vocabulary.terms()
     table = F.array(*(F.struct(F.lit(FLAGS + vocabulary.pattern(t)).alias("pattern"), F.lit(c).alias("canonical")) for c, t in terms))
-    there = F.filter(F.array(*(F.when(text.rlike(FLAGS + vocabulary.pattern(t)), F.lit(i)) for i, (_, t) in enumerate(terms))), lambda i: i.isNotNull())
 
-    def of(i: Column) -> Column:
-        return let(F.element_at(table, i + 1), lambda e: F.transform(spans(text, e["pattern"]), lambda m: F.struct(m["start"], i.alias("ord"), m["end"], m["text"], e["canonical"])))
+    def places(t: Column) -> Column:
+        def of(i: Column) -> Column:
+            return let(F.element_at(table, i + 1), lambda e: F.transform(spans(t, e["pattern"]), lambda m: F.struct(m["start"], i.alias("ord"), m["end"], m["text"], e["canonical"])))
+
+        return F.transform(F.array_sort(F.flatten(F.transform(_there(t, vocabulary), of))), lambda m: F.struct(m["start"], m["end"], m["text"], m["canonical"]))
 
-    return F.transform(F.array_sort(F.flatten(F.transform(there, of))), lambda m: F.struct(m["start"], m["end"], m["text"], m["canonical"]))
+    return let(F.coalesce(text, F.lit("")), places)
 
 
 def raw_matches(caption: Column, contexts: Column, extra: Column, vocabulary: Vocabulary) -> Column:
@@ -81,24 +103,29 @@ def find_in_sources(caption: Column, contexts: Column, extra: Column, vocabulary
     """
     found = lambda c: F.when(F.coalesce(F.length(c), F.lit(0)) > 0, find_terms(c, vocabulary)).otherwise(F.array().cast("array<string>"))
     of_contexts = F.flatten(F.transform(F.coalesce(contexts, F.array().cast("array<string>")), found))
-    return F.struct(found(caption).alias("from_caption"), of_contexts.alias("from_context"), found(extra).alias("from_extra"))
+    # no plain struct, whose fields the optimiser would work out again wherever they are named
+    return let(F.struct(found(caption).alias("from_caption"), of_contexts.alias("from_context"), found(extra).alias("from_extra")), lambda s: s)
 
 
 def counted(sources: Column) -> Column:
     """name -> number of source texts, from find_in_sources."""
     every = F.concat(sources["from_caption"], sources["from_context"], sources["from_extra"])
-    names = F.array_sort(F.array_distinct(every))
-    return F.map_from_arrays(names, F.transform(names, lambda n: F.size(F.filter(every, lambda x: x == n))))
+    number = lambda e: let(F.array_sort(F.array_distinct(e)), lambda names: F.map_from_arrays(names, F.transform(names, lambda n: F.size(F.filter(e, lambda x: x == n)))))
+    return let(every, number)
 
 
 def confidence(sources: Column) -> Column:
     """Confidence of find_in_sources: 0 without names; else from their number, where they stand and how common they are."""
-    names = F.array_distinct(F.concat(sources["from_caption"], sources["from_context"], sources["from_extra"]))
-    common = F.size(F.array_intersect(names, F.array(*(F.lit(c) for c in COMMON))))
-    total = (
-        F.least(F.lit(0.3), F.size(names) * F.lit(0.05))
-        + F.when(F.size(sources["from_caption"]) > 0, 0.3).otherwise(0.0)
-        + F.when(F.size(sources["from_context"]) > 0, 0.2).otherwise(0.0)
-        + F.least(F.lit(0.2), common * F.lit(0.05))
-    )
-    return F.when(F.size(names) == 0, 0.0).otherwise(F.least(F.lit(1.0), total))
+    every = F.array_distinct(F.concat(sources["from_caption"], sources["from_context"], sources["from_extra"]))
+
+    def total(names: Column) -> Column:
+        common = F.size(F.array_intersect(names, F.array(*(F.lit(c) for c in COMMON))))
+        points = (
+            F.least(F.lit(0.3), F.size(names) * F.lit(0.05))
+            + F.when(F.size(sources["from_caption"]) > 0, 0.3).otherwise(0.0)
+            + F.when(F.size(sources["from_context"]) > 0, 0.2).otherwise(0.0)
+            + F.least(F.lit(0.2), common * F.lit(0.05))
+        )
+        return F.when(F.size(names) == 0, 0.0).otherwise(F.least(F.lit(1.0), points))
+
+    return let(every, total)

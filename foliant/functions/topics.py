@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..vocab import Vocabulary, generic_patterns, inferences
 from .arrays import let
-from .match import find_terms
+from .literals import matching
+from .match import find_terms, folded
 
 UNKNOWN = "Unspecified quantum circuit"
 _RESULT = "struct<algorithm:string,confidence:double,alternatives:array<string>,source:string,evidence:array<string>>"
@@ -19,9 +22,8 @@ def _candidates(names: Column, confidence: float, source: str) -> Column:
 
 def infer_topic(text: Column) -> Column:
     """Labels of which a keyword occurs in the lower-cased text, in order."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    rows = [(name, [low.contains(t) for t in terms]) for name, terms in inferences().entries]
-    return F.filter(F.array(*(F.when(F.exists(F.array(*hits), lambda h: h), F.lit(n)) for n, hits in rows)), lambda x: x.isNotNull())
+    found = lambda low: F.filter(F.array(*(F.when(reduce(lambda a, b: a | b, (low.contains(t) for t in terms)), F.lit(n)) for n, terms in inferences().entries)), lambda x: x.isNotNull())
+    return let(F.lower(F.coalesce(text, F.lit(""))), found)
 
 
 def identify_topic(caption: Column, contexts: Column, vocabulary: Vocabulary, section: Column | None = None) -> Column:
@@ -34,16 +36,23 @@ def identify_topic(caption: Column, contexts: Column, vocabulary: Vocabulary, se
     """
     caption = F.coalesce(caption, F.lit(""))
     contexts = F.coalesce(contexts, F.array().cast("array<string>"))
-    generic = F.filter(F.array(*(F.when(caption.rlike("(?iuU)" + p), F.lit(n)) for p, n in generic_patterns())), lambda x: x.isNotNull())
-    parts = [_candidates(find_terms(section, vocabulary), 1.0, "section_title")] if section is not None else []
-    parts += [_candidates(find_terms(caption, vocabulary), 0.9, "caption"), _candidates(generic, 0.7, "caption_generic")]
-    parts.append(_candidates(F.flatten(F.transform(contexts, lambda c: find_terms(c, vocabulary))), 0.6, "context"))
-    inferred = infer_topic(F.concat_ws(" ", caption, F.concat_ws(" ", contexts)))
-    told = [(section, "Section: ", 50, "")] if section is not None else []
-    told.append((caption, "Caption: ", 50, ""))
     said = lambda t, mark, most, end: F.concat(F.lit(mark), F.substring(t, 1, most), F.lit(end))
-    places = F.concat(*(F.array_repeat(said(*x), F.size(find_terms(x[0], vocabulary))) for x in told))
-    places = F.concat(places, F.flatten(F.transform(contexts, lambda c: F.array_repeat(said(c, "Context: ", 40, "..."), F.size(find_terms(c, vocabulary))))))
+    named = [(section, 1.0, "section_title", "Section: ")] if section is not None else []
+    named.append((caption, 0.9, "caption", "Caption: "))
+    # terms are found once a text, for the candidates and for the places
+    seen = F.struct(
+        *(find_terms(t, vocabulary).alias(source) for t, _, source, _ in named),
+        let(folded(caption), lambda low: matching(caption, "(?iuU)", dict(generic_patterns()), low)).alias("caption_generic"),
+        F.transform(contexts, lambda c: F.struct(find_terms(c, vocabulary).alias("names"), said(c, "Context: ", 40, "...").alias("place"))).alias("context"),
+        infer_topic(F.concat_ws(" ", caption, F.concat_ws(" ", contexts))).alias("inferred"),
+    )
+
+    def gathered(s: Column) -> Column:
+        parts = [_candidates(s[source], confidence, source) for _, confidence, source, _ in named]
+        parts += [_candidates(s["caption_generic"], 0.7, "caption_generic"), _candidates(F.flatten(F.transform(s["context"], lambda c: c["names"])), 0.6, "context")]
+        places = [F.array_repeat(said(t, mark, 50, ""), F.size(s[source])) for t, _, source, mark in named]
+        places.append(F.flatten(F.transform(s["context"], lambda c: F.array_repeat(c["place"], F.size(c["names"])))))
+        return F.struct(F.array_sort(F.concat(*parts)).alias("found"), s["inferred"].alias("inferred"), F.concat(*places).alias("places"))
 
     def choose(s: Column) -> Column:
         found, guess = s["found"], s["inferred"]
@@ -53,4 +62,4 @@ def identify_topic(caption: Column, contexts: Column, vocabulary: Vocabulary, se
         unknown = F.struct(F.lit(UNKNOWN), F.lit(0.1), F.array().cast("array<string>"), F.lit("fallback"), F.array().cast("array<string>")).cast(_RESULT)
         return F.when(F.size(found) > 0, best).when(F.size(guess) > 0, guessed).otherwise(unknown)
 
-    return let(F.struct(F.array_sort(F.concat(*parts)).alias("found"), inferred.alias("inferred"), places.alias("places")), choose)
+    return let(let(seen, gathered), choose)

@@ -72,9 +72,18 @@ TABLES = {
 }
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Small rows dealt evenly over all cores, whatever the files: a few megabytes of keys, one task's share of bytes, become many texts to search."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism))
+
+
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     table, columns = TABLES[name]
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet").selectExpr(*(f"{e} AS {c}" for c, e in columns.items()))
+    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    if name == "captions":
+        rows = spread(rows.select("p_partkey", "p_size"))
+    return rows.selectExpr(*(f"{e} AS {c}" for c, e in columns.items()))
 
 
 def cte(name: str) -> str:

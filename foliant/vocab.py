@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from dataclasses import dataclass, replace
+from unicodedata import category
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -152,6 +153,12 @@ def words(text: str) -> list[str]:
     return [t for t in (x.strip() for x in text.replace("\n", " ").split(",")) if t]
 
 
+#: Kinds of characters on which every engine agrees whether they belong to words.
+_PLAIN = ("Lu", "Ll", "Lo", "Sm", "Sc", "Ps", "Pe", "Po", "Pd", "Pi", "Pf")
+#: What may follow a gate's name.
+GATE_SUFFIX = r"(?:\s+gate)?"
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Canonical names and their aliases, in order. `suffix` may follow a term, as a pattern."""
@@ -192,6 +199,16 @@ class Vocabulary:
     def pattern(self, term: str) -> str:
         return rf"\b{re.escape(term)}{self.suffix}\b"
 
+    def words_of(self, term: str) -> tuple[str, ...] | None:
+        """Lower-cased words of a term, all of which any text has as whole words where the term's pattern matches; None where that isn't sure.
+
+        It isn't with characters of unusual case or kind, or with a suffix that may go on the last word.
+        """
+        plain = lambda c: c.isascii() or (len(c.upper()) == 1 and c.upper().lower() == c.lower() != "\u03c2" and category(c) in _PLAIN and c not in "\u01bb\u0130\u0131\u017f")
+        if self.suffix not in ("", GATE_SUFFIX) or not all(map(plain, term)):
+            return None
+        return tuple(re.findall(r"\w+", term.lower()))
+
     def patterns(self) -> list[tuple[str, str]]:
         """(canonical, pattern that finds any of its terms); existence of a match is that of any single term's."""
         return [(c, rf"\b(?:{'|'.join(re.escape(t) for t in (c, *aliases))}){self.suffix}\b") for c, aliases in self.entries]
@@ -202,7 +219,7 @@ class Vocabulary:
 
 
 def gates() -> Vocabulary:
-    return Vocabulary.parse(GATES, r"(?:\s+gate)?")
+    return Vocabulary.parse(GATES, GATE_SUFFIX)
 
 
 def topics() -> Vocabulary:
