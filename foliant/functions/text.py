@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from array import array
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -98,26 +99,26 @@ def captions(text: Column) -> Column:
 
     Order is that of the patterns, then of the text.
     """
-    markers = page_markers(text)
     number = lambda m: F.regexp_extract(m["text"], r"\d+", 0).cast("int")
     found = F.concat(*(spans(text, p) for p in CAPTIONS))
-    rows = F.transform(found, lambda m: F.struct(number(m).alias("figure_number"), strip(m["text"]).alias("caption_text"), m["start"].alias("start"), m["end"].alias("end"), page_at(markers, m["start"]).alias("page")))
+    row = lambda m, markers: F.struct(number(m).alias("figure_number"), strip(m["text"]).alias("caption_text"), m["start"].alias("start"), m["end"].alias("end"), page_at(markers, m["start"]).alias("page"))
+    rows = let(page_markers(text), lambda markers: F.transform(found, lambda m: row(m, markers)))
     return first_of_equal(rows, lambda r: F.struct(r["figure_number"], r["page"]))
 
 
 def references(text: Column, before: int = 100, after: int = 200) -> Column:
     """References to figures as (figure_number, context, start, end, page); patterns overlap, and each match counts."""
-    markers = page_markers(text)
     found = F.concat(*(spans(text, p) for p in REFERENCES))
 
-    def row(m: Column) -> Column:
+    def row(m: Column, markers: Column) -> Column:
         low = F.greatest(F.lit(0), m["start"] - before)
         high = F.least(F.length(text), m["end"] + after)
         context = collapse(strip(F.substring(text, low + 1, high - low)))
         number = F.regexp_extract(m["text"], r"\d+", 0).cast("int")
         return F.struct(number.alias("figure_number"), context.alias("context"), m["start"].alias("start"), m["end"].alias("end"), page_at(markers, m["start"]).alias("page"))
 
-    return F.transform(found, row)
+    # the markers are found once a text, not again for each match
+    return let(page_markers(text), lambda markers: F.transform(found, lambda m: row(m, markers)))
 
 
 def sections(text: Column) -> Column:
@@ -140,19 +141,21 @@ def paragraph_type(text: Column) -> Column:
     )
 
 
-@F.pandas_udf(ArrayType(IntegerType()))
-def _found_in_order(full: pd.Series, bodies: pd.Series) -> pd.Series:
-    """Where each text stands, searched from the end of the one before; a running position isn't an expression of linear cost."""
+@F.arrow_udf(ArrayType(IntegerType()))
+def _found_in_order(full: pa.Array, bodies: pa.Array) -> pa.Array:
+    """Where each text stands, searched from the end of the one before; a running position isn't an expression of linear cost.
 
-    def of(text: str | None, parts: list | None) -> list[int]:
-        out, at = [], 0
-        for body in () if parts is None else parts:
-            found = (text or "").find(body or "", at)
-            out.append(at if found < 0 else found)
-            at = out[-1] + len(body or "")
-        return out
-
-    return pd.Series([of(t, p) for t, p in zip(full, bodies, strict=True)])
+    A batch stays as Arrow has it; one row at a time becomes Python's, and places are plain integers.
+    """
+    starts, ends = array("i"), array("i", [0])
+    for text, parts in zip(full, bodies, strict=True):
+        text, at = text.as_py() or "", 0
+        for body in parts.as_py() or ():
+            found = text.find(body or "", at)
+            starts.append(at if found < 0 else found)
+            at = starts[-1] + len(body or "")
+        ends.append(len(starts))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(starts, pa.int32()))
 
 
 def track_offsets(full: str, blocks: str) -> Column:

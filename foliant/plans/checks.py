@@ -289,7 +289,8 @@ def _caption_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Y.frame(spark, sf_dir, "captions")
     line = F.concat(F.lit("Fig. "), (F.col("id") % 7).cast("string"), F.lit(": "), "caption", F.lit("\nAs shown in Figure "), (F.col("id") % 5).cast("string"), F.lit(", "), F.coalesce("c1", F.lit("nothing")), F.lit("\n"))
     pages = rows.groupBy(F.floor(F.col("id") / 100).cast("string").alias("arxiv_id"), (F.floor(F.col("id") / 10) % 10 + 1).cast("int").alias("page"))
-    return L.full_text(pages.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", line.alias("t")))), lambda r: r["t"]), "").alias("text")))
+    # the texts are small beside the work on them, and grouping leaves them in as few tasks as their bytes need
+    return Y.spread(L.full_text(pages.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", line.alias("t")))), lambda r: r["t"]), "").alias("text"))))
 
 
 @query(f"""
