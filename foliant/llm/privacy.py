@@ -226,7 +226,8 @@ def fit(docs: DataFrame, text: str = "text", threshold: float = GENERALISE, supp
         prior = F.create_map(*(F.lit(x) for k, n in kinds.items() for x in (k, min(n / total, 0.5))))
         share = F.least(F.col("near") / F.col("n"), F.lit(1.0))
         scored = terms.hint("merge").join(counts, "term").select("term", "kind", (F.log(share / prior[F.col("kind")]) / -F.log(prior[F.col("kind")])).alias("disclosure"))
-        kept = written(scored.where(F.col("disclosure") >= threshold), "pii-disclosure", parts)
+        # dealt anew: coalesced, a few tasks would do the whole join, with the sorts of all partitions one after the other
+        kept = written(scored.where(F.col("disclosure") >= threshold).repartition(parts), "pii-disclosure")
         return Disclosure(kept, kept.count())
     finally:
         held.release()

@@ -159,3 +159,18 @@ def test_a_name_tied_to_one_address_is_revealing(spark):
     terms = {(r["term"], r["kind"]) for r in privacy.fit(df).terms.collect()}
     assert {("quillon", 0), ("brandish", 0)} <= terms
     assert not any(w in r["text"] for r in privacy.sanitise(df).collect() for w in ("quillon", "brandish"))
+
+
+def test_disclosures_are_joined_by_all_tasks(spark, monkeypatch):
+    """Files are few because rows are dealt anew after the join, not because few tasks join."""
+    written, seen = privacy.written, []
+
+    def spy(df, name, parts=0):
+        seen.append((df._jdf.queryExecution().sparkPlan().toString(), parts))
+        return written(df, name, parts)
+
+    monkeypatch.setattr(privacy, "written", spy)
+    docs = spark.createDataFrame([(i, f"write to marlowe at m{i % 9}@example.com or elsewhere, as many others do today") for i in range(60)], "doc_id long, text string")
+    assert privacy.fit(docs).rows
+    ((plan, parts),) = seen
+    assert plan.startswith("Exchange ") and "REPARTITION_BY_NUM" in plan and "SortMergeJoin" in plan and not parts
