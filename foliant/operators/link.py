@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,6 +84,17 @@ def link_paragraphs(figures: DataFrame, paragraphs_: DataFrame) -> DataFrame:
     return figures.join(rows, ["arxiv_id", "figure_index"], "left").withColumn("refs", F.coalesce("refs", F.array().cast(kind)))
 
 
+def of_numbers(figures: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Figures with what `work` adds to (arxiv_id, figure_index), done once for each pair that occurs.
+
+    A number's paragraphs grow with its paper, and the figures of the number with the table: neither the
+    texts nor the work on them are repeated a figure.
+    """
+    found = work(figures.select("arxiv_id", "figure_index").distinct()).withColumnsRenamed({"arxiv_id": "__paper", "figure_index": "__number"})
+    same = F.col("arxiv_id").eqNullSafe(F.col("__paper")) & F.col("figure_index").eqNullSafe(F.col("__number"))
+    return figures.join(found, same, "left").drop("__paper", "__number")
+
+
 def contexts(figures: DataFrame, captions_: DataFrame, texts: DataFrame, window: int = 500) -> DataFrame:
     """Figures (with `refs`) and their `contexts`: the text around the caption of the number, on any page, then the paragraphs."""
     side = window // 2

@@ -235,10 +235,14 @@ def figure_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     caps = _caps(spark, sf_dir).withColumns({"start": F.lit(251), "end": F.lit(257)})
     texts = caps.select("arxiv_id").distinct().withColumn("full_text", F.lit("x" + "0123456789" + "y" * 600))
     # the caption stands at 251; 250 characters on either side of it, less the first
-    linked = L.link_paragraphs(L.link_captions(_figures(spark, sf_dir), caps, use_page=False), paras)
-    found = L.contexts(L.descriptions(linked), caps, texts)
     around = F.transform("contexts", lambda t: F.when(F.length(t) > 400, F.substring(t, 1, 10)).otherwise(t))
-    return found.select("fig_ord", F.md5(F.array_join("descriptions", ";").cast("binary")).alias("descriptions_md5"), F.size("text_positions").alias("n_positions"), F.md5(F.array_join(around, ";").cast("binary")).alias("contexts_md5"))
+
+    def digests(numbers: DataFrame) -> DataFrame:
+        linked = L.link_paragraphs(L.link_captions(numbers, caps, use_page=False), paras)
+        found = L.contexts(L.descriptions(linked), caps, texts)
+        return found.select("arxiv_id", "figure_index", F.md5(F.array_join("descriptions", ";").cast("binary")).alias("descriptions_md5"), F.size("text_positions").alias("n_positions"), F.md5(F.array_join(around, ";").cast("binary")).alias("contexts_md5"))
+
+    return L.of_numbers(_figures(spark, sf_dir), digests).select("fig_ord", "descriptions_md5", "n_positions", "contexts_md5")
 
 
 # -- places

@@ -236,3 +236,21 @@ def test_fix_cleans_only_what_has_errors(spark):
     bad = good.withColumn("text_positions", F.array().cast("array<array<int>>"))
     fixed, found = Q.fix(bad, disk, gates())
     assert fixed.first()["text_positions"] == [[0, 0]] and found.where("severity = 'error'").count() == 0
+
+
+@pytest.mark.parametrize("name", ["figure_descriptions", "figure_paragraph_refs"])
+def test_paragraphs_are_linked_once_a_number(spark, sf_dir, monkeypatch, name):
+    from foliant.plans.queries import QUERIES
+
+    link, seen = L.link_paragraphs, []
+    monkeypatch.setattr(L, "link_paragraphs", lambda figures, paras: seen.append(figures) or link(figures, paras))
+    found = QUERIES[name](spark, sf_dir)
+    (numbers,) = seen
+    assert numbers.count() == numbers.select("arxiv_id", "figure_index").distinct().count() < found.count()
+
+
+def test_of_numbers_keeps_every_figure(spark):
+    figs = spark.createDataFrame([(1, "a", 1), (2, "a", 1), (3, None, 1), (4, "a", None), (4, "a", None)], "fig_ord int, arxiv_id string, figure_index int")
+    out = L.of_numbers(figs, lambda numbers: numbers.withColumn("n", F.concat_ws("/", "arxiv_id", "figure_index")))
+    assert out.columns == ["fig_ord", "arxiv_id", "figure_index", "n"]
+    assert sorted((r["fig_ord"], r["n"]) for r in out.collect()) == [(1, "a/1"), (2, "a/1"), (3, "1"), (4, "a"), (4, "a")]
