@@ -573,10 +573,10 @@ def _train(encoded: DataFrame, model: Model) -> None:
         discard(nets)
 
 
-def fit(docs: DataFrame, learn: Column, text: str = "text", id_col: str = "doc_id") -> tuple[Model, DataFrame]:
-    """The trained model, and all documents as symbols with their counts and base scores.
+def encode(docs: DataFrame, learn: Column, text: str = "text", id_col: str = "doc_id") -> tuple[Model, DataFrame]:
+    """The model with a network that isn't trained yet, and all documents as symbols with their counts and base scores.
 
-    Counts, N, V, the shares of endings and the network come from all rows of `learn`, whole.
+    Counts, N, V and the shares of endings come from all rows of `learn`, whole.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     share = F.pmod(F.xxhash64(id_col, text), F.lit(sum(n for n, _, _ in ROUNDS)))
@@ -587,10 +587,22 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", id_col: str = "doc_i
     model = _model(counts, total)
     encoded = _encoded(tokens, counts, model, kind)
     discard(tokens, counts)
+    return model, encoded
+
+
+def fit(docs: DataFrame, learn: Column, text: str = "text", id_col: str = "doc_id") -> tuple[Model, DataFrame]:
+    """The trained model, and all documents as `encode` gives them; the network, too, learns from all rows of `learn`, whole."""
+    model, encoded = encode(docs, learn, text, id_col)
     _train(encoded, model)
     return model, encoded
 
 
+def base(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The columns of `score` that follow from counts, by the same steps, without the network: all but `score`."""
+    model, encoded = encode(docs, learn, text, id_col)
+    return encoded.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(model.train_tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"))
+
+
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
 

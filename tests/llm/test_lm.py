@@ -240,3 +240,17 @@ def test_a_broken_vocabulary_is_an_error(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(lm, "discard", lambda *a: None)
     with pytest.raises(Exception, match="isn't whole"):
         lm.score(spark.read.parquet(path), F.lit(True)).collect()
+
+
+def test_base_counts_ask_no_network(spark, monkeypatch):
+    """The columns that follow from counts are those of `score`, and cost no training."""
+    from foliant.llm.queries import lm_base
+
+    d = "/root/testdata/sf0.001"
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"]
+    whole = op5_lm_score(spark, d).select(*names[:-1], F.round("base_score", 4).alias("base_score"))
+    expected = sorted(map(tuple, whole.collect()), key=str)
+    monkeypatch.setattr(lm, "_train", lambda *_: pytest.fail("a network was trained"))
+    monkeypatch.setattr(lm, "score_documents", lambda *_: pytest.fail("a network was asked"))
+    found = lm_base(spark, d)
+    assert found.columns == names and sorted(map(tuple, found.collect()), key=str) == expected
