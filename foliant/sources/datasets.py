@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
 from ..schemas import ENTRY, STATISTICS
 
 EXAM = "37"
@@ -17,15 +18,22 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     return texts.withColumn("entry", F.from_json("json", ENTRY)).select("filename", "entry.*", "json")
 
 
-def dataset_json(entries: DataFrame, order: str = "ord") -> DataFrame:
-    """One row `value`: the JSON object of all entries. Of equal filenames the last counts, at the place of the first.
+def dataset_members(entries: DataFrame, order: str = "ord") -> DataFrame:
+    """The members of the JSON object of all entries, a row each: first (its place), filename, value (`"name":{...}`).
 
-    A dataset is a single document by its format, so it is put together in one row.
+    Of equal filenames the last counts, at the place of the first. By place and filename, joined by
+    commas and in braces, they are the dataset; each in braces is a dataset of one entry.
     """
     fields = ["arxiv_id", "page_number", "figure_number", "quantum_gates", "quantum_problem", "descriptions", "text_positions"]
     last = entries.groupBy("filename").agg(F.min(order).alias("first"), F.max_by(F.struct(*fields), order).alias("entry"))
-    rows = F.transform(F.array_sort(F.collect_list(F.struct("first", "filename", "entry"))), lambda r: F.struct(r["filename"], r["entry"]))
-    return last.agg(F.to_json(F.map_from_entries(rows), {"ignoreNullFields": "false"}).alias("value"))
+    json = F.to_json(F.create_map("filename", "entry"), {"ignoreNullFields": "false"})
+    return last.select("first", "filename", let(json, lambda j: F.substring(j, F.lit(2), F.length(j) - 2)).alias("value"))
+
+
+def dataset_json(entries: DataFrame, order: str = "ord") -> DataFrame:
+    """One row `value`: the JSON object of all entries, for datasets that one row can hold (2 GB)."""
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("first", "filename", "value"))), lambda r: r["value"])
+    return dataset_members(entries, order).agg(F.concat(F.lit("{"), F.array_join(rows, ","), F.lit("}")).alias("value"))
 
 
 def entry_lines(entries: DataFrame, order: str = "ord") -> DataFrame:
@@ -35,12 +43,19 @@ def entry_lines(entries: DataFrame, order: str = "ord") -> DataFrame:
 
 
 def write_text(df: DataFrame, path: str) -> None:
-    """A frame of one text row as a single file in a folder."""
+    """A frame of text rows as a single file in a folder."""
     df.select("value").coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_dataset(entries: DataFrame, path: str, order: str = "ord") -> None:
-    write_text(dataset_json(entries, order), path)
+    """The JSON object of all entries as a single file in a folder, a line each member.
+
+    One task writes the file, from rows that stream by in order; none holds the dataset.
+    """
+    braces = entries.sparkSession.range(2).select((F.col("id") * 2).alias("part"), F.lit(None).alias("first"), F.lit(None).alias("filename"), F.when(F.col("id") == 0, "{").otherwise("}").alias("value"))
+    rows = dataset_members(entries, order).select(F.lit(1).cast("long").alias("part"), "first", "filename", "value").unionByName(braces)
+    number = F.row_number().over(Window.orderBy("part", "first", "filename"))
+    write_text(rows.select("part", "value", number.alias("n")).select(F.concat(F.when((F.col("part") == 1) & (F.col("n") > 2), ",").otherwise(""), F.col("value")).alias("value")), path)
 
 
 def statistics_json(stats: DataFrame) -> DataFrame:

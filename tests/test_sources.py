@@ -109,6 +109,22 @@ def test_dataset_round_trip(spark, tmp_path):
     assert {r["filename"]: json.loads(r["json"]) for r in DS.entry_lines(circuits(spark)).collect()} == data
 
 
+def test_no_row_holds_the_dataset(spark, tmp_path, sf_dir):
+    """A line each entry, in the order of the one text; and the query takes no row for all."""
+    from foliant.plans.queries import json_export_roundtrip
+
+    more = [(k, f'f{k % 40}"é.png', "p", k, None, ["H"], "", [], []) for k in range(100, 0, -1)]
+    for rows in (circuits(spark), spark.createDataFrame(more, CIRCUIT), circuits(spark).limit(0)):
+        path = tmp_path / str(rows.count())
+        DS.write_dataset(rows, str(path))
+        (text,) = (p.read_text() for p in path.glob("part-*"))
+        whole = DS.dataset_json(rows).first()["value"]
+        assert text.replace("\n", "") == whole and len(text.splitlines()) == len(json.loads(whole)) + 2
+        assert [r["filename"] for r in DS.read_dataset(spark, str(path)).collect()] == list(json.loads(whole))
+    plan = json_export_roundtrip(spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    assert "keys=[]" not in plan and "key=[]" not in plan and "from_json" in plan
+
+
 def test_counts_file(spark, tmp_path):
     df = spark.createDataFrame([(1, "b", "processed", None), (0, "a", "not_visited", 3), (2, "c", "processed", 4)], "paper_ord long, full_id string, status string, image_count int")
     DS.write_counts(df, str(tmp_path / "c"))
