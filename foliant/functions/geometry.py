@@ -1,4 +1,4 @@
-"""Boxes: size and shape predicates, overlap, padding and non-maximum suppression."""
+"""Boxes: size and shape predicates, overlap and padding."""
 
 from __future__ import annotations
 
@@ -58,11 +58,6 @@ def to_points(b: Column, dpi: int = 150) -> Column:
     return box(b["x0"] / zoom, b["y0"] / zoom, b["x1"] / zoom, b["y1"] / zoom)
 
 
-def suppress(items: Column, kind: str, threshold: float = 0.5) -> Column:
-    """Greedy suppression of an array of structs with `bbox`, in its order: kept unless it overlaps one kept before."""
-    return F.aggregate(items, F.array().cast(f"array<{kind}>"), lambda kept, f: F.when(F.exists(kept, lambda k: overlaps(f["bbox"], k["bbox"], threshold)), kept).otherwise(F.concat(kept, F.array(f))))
-
-
 def caption_below(figure: Column, block: Column, reach: float = 150.0) -> Column:
     """Whether a text block (pixel boxes) stands right below a figure and about in line with it."""
     gap = block["y0"] - figure["y1"]

@@ -8,6 +8,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,16 +27,84 @@ def distinct_images(figures: DataFrame, order: list[str]) -> DataFrame:
     return figures.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
+def _overlapping(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """geometry.overlaps of pairs of boxes, rows of `_numbers`; as there, a NaN is larger than any number and a null is passed over."""
+    smaller = np.where(a[5] > 0, b[4], np.where(b[5] > 0, a[4], np.fmin(a[4], b[4])))
+    w, h = (np.fmin(a[k + 2], b[k + 2]) - np.maximum(a[k], b[k]) for k in (0, 1))
+    covered = np.where(~(w <= 0) & ~(h <= 0), w * h, 0.0)
+    there = (a[5] < 2) & (b[5] < 2) & (a[5] + b[5] < 2)
+    return there & ~(smaller <= 0) & ~(covered / smaller <= threshold)
+
+
+def _numbers(bbox: pa.StructArray) -> np.ndarray:
+    """x0, y0, x1, y1 and area of boxes, nulls as what least and greatest pass over, and how much is missing: 1 for a coordinate, 2 for the box."""
+    sides = [bbox.field(bbox.type.get_field_index(c)) for c in ("x0", "y0", "x1", "y1")]
+    partly = np.logical_or.reduce([c.is_null().to_numpy(zero_copy_only=False) for c in sides])
+    x0, y0, x1, y1 = (c.fill_null(value).to_numpy(zero_copy_only=False) for c, value in zip(sides, (-np.inf, -np.inf, np.inf, np.inf), strict=True))
+    return np.stack([x0, y0, x1, y1, (x1 - x0) * (y1 - y0), np.where(bbox.is_null().to_numpy(zero_copy_only=False), 2.0, partly)])
+
+
+def suppress(boxes: np.ndarray, page: np.ndarray, threshold: float = 0.5) -> np.ndarray:
+    """Which boxes greedy suppression keeps, of any number of pages at a time, each page's together and in order.
+
+    All pages go on side by side: the first of a page's boxes that are left is kept, and those that it overlaps go.
+    """
+    kept = np.zeros(len(page), bool)
+    left, boxes = np.arange(len(page)), boxes.copy()
+    while len(left):
+        first = np.append(True, np.diff(page[left]) != 0)
+        kept[left[first]] = True
+        stay = ~first & ~_overlapping(boxes, boxes[:, first][:, np.cumsum(first) - 1], threshold)
+        left, boxes = left[stay], boxes[:, stay]
+    return kept
+
+
+def _changes(batch: pa.RecordBatch, keys: int) -> np.ndarray:
+    """Which rows, but the first, differ from the row before in one of the first columns, which have no nulls."""
+    found = np.zeros(max(0, batch.num_rows - 1), bool)
+    for c in batch.columns[:keys]:
+        found |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+    return found
+
+
 def suppressed(figures: DataFrame, keys: list[str], order: list[str], threshold: float = 0.5) -> DataFrame:
-    """Greedy suppression per page: the larger box first (ties by `order`); a box that overlaps a kept one goes. Missing boxes stay.
+    """Greedy suppression per page: the larger box first (ties by `order`); a box that overlaps a kept one goes. Missing boxes stay; figures with a null key don't.
 
-    Only box and order columns are gathered; other columns come back by a join on keys and order.
+    Pages stream by in order, and one page's boxes are held at a time. Only keys, order and boxes go
+    there; if there are other columns, they come back by a join on keys and order.
     """
-    own = F.struct((-F.coalesce(G.area(F.col("bbox")), F.lit(0.0))).alias("__a"), *order, "bbox")
-    kind = "struct<__a:double," + ",".join(f"{c}:{figures.schema[c].dataType.simpleString()}" for c in order) + f",bbox:{BOX}>"
-    kept = figures.groupBy(*keys).agg(G.suppress(F.array_sort(F.collect_list(own)), kind, threshold).alias("__k"))
-    ids = kept.select(*keys, F.explode("__k").alias("__k")).select(*keys, *(F.col(f"__k.{c}") for c in order))
-    return figures.join(ids, [*keys, *order], "left_semi")
+    names = [*keys, *order, "bbox"]
+    ranked = figures.dropna(subset=keys).select(*names, (-F.coalesce(G.area(F.col("bbox")), F.lit(0.0))).alias("__a"))
+    rows = ranked.repartition(*keys).sortWithinPartitions(*keys, "__a", *order, "bbox").select(*names)
+    n_keys = len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def kept(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            whole = pa.concat_batches(parts)
+            with np.errstate(all="ignore"):
+                chosen = suppress(_numbers(whole.column("bbox")), np.cumsum(np.append(0, _changes(whole, n_keys))), threshold)
+            return whole.filter(pa.array(chosen))
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held and _changes(pa.concat_batches([held[-1].slice(held[-1].num_rows - 1), batch.slice(0, 1)]), n_keys)[0]:
+                yield kept(held)
+                held = []
+            edges = np.flatnonzero(_changes(batch, n_keys))
+            at = int(edges[-1]) + 1 if len(edges) else 0
+            if at:
+                yield kept([*held, batch.slice(0, at)])
+                held = []
+            held.append(batch.slice(at))
+        if held:
+            yield kept(held)
+
+    found = rows.mapInArrow(run, rows.schema)
+    if set(figures.columns) == set(names):
+        return found.select(*figures.columns)
+    return figures.join(found.select(*keys, *order), [*keys, *order], "left_semi")
 
 
 def renumbered(figures: DataFrame, order: list[str]) -> DataFrame:

@@ -189,7 +189,8 @@ steps AS (
 SELECT paper AS arxiv_id, page AS page_number, unnest(list_transform(arg_max(kept, r), lambda k: k.ord)) AS fig_ord FROM steps GROUP BY paper, page
 """)
 def bbox_nms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FG.suppressed(_boxes(spark, sf_dir), ["arxiv_id", "page_number"], ["fig_ord"]).select("arxiv_id", "page_number", "fig_ord")
+    boxes = _boxes(spark, sf_dir).select("arxiv_id", "page_number", "fig_ord", "bbox")
+    return FG.suppressed(boxes, ["arxiv_id", "page_number"], ["fig_ord"]).select("arxiv_id", "page_number", "fig_ord")
 
 
 # -- texts of figures

@@ -38,6 +38,48 @@ def test_suppression_agrees_with_a_plain_version(spark):
     assert sorted(r["fig_ord"] for r in kept.collect()) == plain_suppression(rows)
 
 
+def test_pages_stream_and_odd_boxes_overlap_as_columns_do(spark, sf_dir):
+    """Pages that end anywhere in a batch or fill several, boxes with NaN, nulls and no area; a column more comes back by a join."""
+    from foliant.functions import geometry as G
+    from foliant.plans.queries import QUERIES
+
+    rng = np.random.default_rng(5)
+    odd = [None, float("nan"), float("inf")]
+
+    def box(i):
+        if i % 29 == 0:
+            return None
+        b = [float(v) for v in (*rng.integers(0, 60, 2), *rng.integers(30, 90, 2))]
+        if i % 7 == 0:
+            b[i % 4] = odd[i // 7 % 2]
+        return tuple(b)
+
+    rows = [(f"p{i % 3}" if i % 50 else None, int(rng.integers(0, 9)) ** 2 // 20, i, box(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, f"arxiv_id string, page_number int, fig_ord int, bbox {BOX}").repartition(3)
+    found = df.dropna(subset=["arxiv_id"]).groupBy("arxiv_id", "page_number").agg(F.array_sort(F.collect_list(F.struct((-F.coalesce(G.area(F.col("bbox")), F.lit(0.0))).alias("a"), "fig_ord", "bbox"))).alias("all"))
+    pairs = F.transform("all", lambda a: F.transform("all", lambda b: G.overlaps(a["bbox"], b["bbox"])))
+    expected = []
+    for r in found.select("all.fig_ord", pairs.alias("meets")).collect():
+        kept = []
+        for i in range(len(r["fig_ord"])):
+            if not any(r["meets"][i][k] for k in kept):
+                kept.append(i)
+        expected += [r["fig_ord"][i] for i in kept]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for size in ("7", before):
+            spark.conf.set(key, size)
+            for frame in (df, df.withColumn("image", F.lit("x"))):
+                kept = FG.suppressed(frame, ["arxiv_id", "page_number"], ["fig_ord"])
+                assert kept.columns == frame.columns and sorted(r["fig_ord"] for r in kept.collect()) == sorted(expected)
+    finally:
+        spark.conf.set(key, before)
+    assert 40 < len(expected) < 380
+    plan = QUERIES["bbox_nms"](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and "collect_list" not in plan
+
+
 def test_clusters_are_connected_components():
     rng = np.random.default_rng(2)
     xy = rng.integers(0, 400, (120, 2))
