@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, arrow_schema, column, discard, utf8, written
+from .common import arrow_schema, column, discard, written
 
 #: Characters in a chunk, one longer document excepted.
 CHUNK_CHARS = 6_000_000
@@ -50,6 +50,8 @@ WINDOW = 32
 ROUNDS = ((1, 64, 0.2), (1, 64, 0.2), (2, 128, 0.2), (4, 256, 0.2), (8, 256, 0.15))
 #: Tokens that a task trains on at a time, and that it scores side by side; states kept before the outputs are evaluated.
 TRAIN_TOKENS, SCORE_TOKENS, BUFFER = 1_000_000, 4_000_000, 16_384
+#: Documents scored side by side; their states stay in the processor's cache.
+SIDE = 1024
 #: Stands for the hash of the end token; words' hashes are positive.
 END = 0
 
@@ -76,25 +78,41 @@ def _chunked(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
                 yield batch.slice(a, b - a)
 
 
-def _numbered(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _endings(words: pa.Array) -> np.ndarray:
+    """_ending of each word; worked out once for all words with the same last letters."""
+    bare = pa.compute.ascii_rtrim(words, ".,;:!?")
+    _, offsets, data = bare.buffers()
+    edges = np.frombuffer(offsets, np.int64 if pa.types.is_large_string(bare.type) else np.int32, len(bare) + 1, bare.offset * (8 if pa.types.is_large_string(bare.type) else 4))
+    letters = np.append(np.zeros(3, np.uint8), np.frombuffer(data or b"", np.uint8))  # so that no place is negative
+    sizes = np.minimum(np.diff(edges), 3)
+    code = sizes.astype(np.int64)
+    for k in (3, 2, 1):
+        code = code << 8 | np.where(sizes >= k, letters[edges[1:] + (3 - k)], 0)
+    kinds, kind = np.unique(code, return_inverse=True)
+    return np.array([crc32(int(x).to_bytes(4)[4 - (int(x) >> 24) :]) % ENDINGS for x in kinds], np.uint8)[kind]
+
+
+def _numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All tokens of a chunk as numbers of its sorted vocabulary, tokens a document, and the vocabulary's hashes and endings; 0 is the end."""
-    words: list[bytes] = []
-    sizes = np.empty(len(texts), np.int64)
-    for i, t in enumerate(texts):
-        before = len(words)
-        words += utf8(t).translate(LOWER).split()
-        sizes[i] = len(words) - before + 1
-    ids = dict.fromkeys(words)
-    hashes = np.fromiter(map(_hash, ids), np.int64, len(ids))
-    endings = np.fromiter(map(_ending, ids), np.uint8, len(ids))
+    pieces = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(pa.compute.fill_null(texts, "")))
+    words = pieces.flatten()
+    full = pa.compute.not_equal(pa.compute.binary_length(words), 0)  # white space at either end makes an empty piece
+    before = np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))
+    offsets = pieces.offsets.to_numpy()
+    sizes = np.diff(before[offsets - offsets[0]]) + 1
+    encoded = words.filter(full).dictionary_encode()
+    vocabulary = encoded.dictionary
+    binary = vocabulary.cast(pa.large_binary() if pa.types.is_large_string(vocabulary.type) else pa.binary())
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, binary.to_pylist()), np.uint64, len(binary)) >> 1
+    hashes = np.maximum(hashes, 1).astype(np.int64)
+    endings = _endings(vocabulary)
     order = np.argsort(hashes, kind="stable")
-    rank = np.empty(len(ids), np.int32)
-    rank[order] = np.arange(1, len(ids) + 1)
-    ids.update(zip(ids, rank.tolist(), strict=True))
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(1, len(order) + 1)
     tokens = np.zeros(sizes.sum(), np.int32)
     last = np.zeros(len(tokens), bool)
     last[np.cumsum(sizes) - 1] = True
-    tokens[~last] = np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
+    tokens[~last] = rank[encoded.indices.to_numpy()]
     return tokens, sizes, np.append(END, hashes[order]), np.append(np.uint8(0), endings[order])
 
 
@@ -114,7 +132,7 @@ def _tokens(marked: DataFrame, kind: str) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for part in _chunked(batches, chars):
             learn = part.column(1)
-            tokens, sizes, hashes, endings = _numbered(column(part, "text"))
+            tokens, sizes, hashes, endings = _numbered(part.column(part.schema.get_field_index("text")))
             edges = np.append(0, np.cumsum(sizes))
             n = np.bincount(tokens[np.repeat(learn.to_numpy(zero_copy_only=False), sizes)], minlength=len(hashes)).astype(np.int32)
             whole = tokens.tobytes()
@@ -236,132 +254,196 @@ def new_network(counts: np.ndarray, seed: int = 7) -> Network:
     return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place. Sums are held above what single precision can take the exponential of."""
-    np.maximum(x, -80, out=x)
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
-
-
-def _step(net: Network, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The next state; the gates (reset, update), the candidate and its recurrent sum."""
-    g = h @ net.recurrent
-    gates = _sigmoid(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-    c = gates[:, :HIDDEN] * g[:, 2 * HIDDEN :]
-    c += x[:, 2 * HIDDEN :]
-    c += c
-    c = _sigmoid(c)  # which makes the hyperbolic tangent
-    c += c
-    c -= 1
-    new = h - c
-    new *= gates[:, HIDDEN:]
+class _Room(dict):
+    """Arrays that are used again in every window: fresh ones of this size cost a page fault for every 4 KB."""
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        if name not in self or self[name].shape != shape:
+            self[name] = np.empty(shape, np.float32)
+        return self[name]
+
+
+def _gates(weights: np.ndarray, room: _Room, name: str) -> np.ndarray:
+    """n x 3H weights as 3 x n x H, those of reset and update halved: their logistic function is (1 + tanh(x / 2)) / 2."""
+    out = room(name, 3, len(weights), HIDDEN)
+    out[...] = weights.reshape(len(weights), 3, HIDDEN).swapaxes(0, 1)
+    out[:2] *= np.float32(0.5)
+    return out
+
+
+def _step(recurrent: np.ndarray, h: np.ndarray, x: np.ndarray, sums: np.ndarray, new: np.ndarray) -> None:
+    """Sets the next state. x, the inputs' shares, becomes reset, update and candidate; sums[2] is the candidate's recurrent sum."""
+    np.matmul(h, recurrent, out=sums)
+    gates, c, scratch = x[:2], x[2], sums[0]
+    gates += sums[:2]
+    np.tanh(gates, out=gates)
+    gates *= np.float32(0.5)
+    gates += np.float32(0.5)
+    np.multiply(x[0], sums[2], out=scratch)
+    c += scratch
+    np.tanh(c, out=c)
+    np.subtract(h, c, out=new)
+    new *= x[1]
     new += c
-    return new, gates, c, g[:, 2 * HIDDEN :]
 
 
 def _by_class(net: Network, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[slice, int, int]]]:
-    """The order that sorts the targets, their classes in that order, and for each class that occurs: its rows, first and end symbol."""
+    """The order that sorts the targets, the targets in that order, and for each class that occurs: its rows, first and end symbol."""
     order = np.argsort(targets.astype(np.uint16), kind="stable")
-    edges = np.searchsorted(targets[order], net.starts)
-    cls = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    return order, cls, [(slice(edges[c], edges[c + 1]), int(net.starts[c]), int(net.starts[c + 1])) for c in np.flatnonzero(np.diff(edges))]
+    y = targets[order]
+    edges = np.searchsorted(y, net.starts).tolist()
+    starts = net.starts.tolist()
+    return order, y, [(slice(edges[c], edges[c + 1]), starts[c], starts[c + 1]) for c in range(len(starts) - 1) if edges[c + 1] > edges[c]]
+
+
+def _small(states: np.ndarray, *weights: np.ndarray) -> bool:
+    """Whether no logit of these states (rows) and weights (rows, too) can be too large for the exponential function."""
+    most = max(np.abs(w).sum(1).max() for w in weights)
+    return bool(max(states.max(initial=0), -states.min(initial=0)) * most < 60)
+
+
+def _exponentials(logits: np.ndarray, small: bool) -> np.ndarray:
+    """In place."""
+    if not small:
+        logits -= logits.max(1, keepdims=True)
+    return np.exp(logits, out=logits)
 
 
-def _soften(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Turns logits into probabilities, in place; returns the log probabilities of the places `at`."""
-    if not -60 < logits.min(initial=0) <= logits.max(initial=0) < 60:
+def _soften(logits: np.ndarray, at: np.ndarray, small: bool) -> np.ndarray:
+    """Log probabilities of the places `at`; the logits become what they are in proportion to."""
+    if not small:
         logits -= logits.max(1, keepdims=True)
-    picked = logits[np.arange(len(at)), at].astype(np.float64)
-    np.exp(logits, out=logits)
-    total = logits @ np.ones(logits.shape[1], np.float32)
-    logits *= (1 / total)[:, None]
-    return picked - np.log(total)
+    width = logits.shape[1]
+    picked = logits.reshape(-1).take(np.arange(0, logits.size, width) + at).astype(np.float64)
+    return picked - np.log(np.exp(logits, out=logits) @ np.ones(width, np.float32))
 
 
 def log_probs(net: Network, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probability of each target symbol given the state before it (with a last column of ones)."""
-    order, cls, groups = _by_class(net, targets)
-    s, y = states.take(order, 0), targets[order]
-    found = _soften(s @ net.classes, cls)
+    order, y, groups = _by_class(net, targets)
+    s = states.take(order, 0)
+    small = _small(s, net.classes.T, net.outputs)
+    cls = np.searchsorted(net.starts, y, "right") - 1
+    found = _soften(s @ net.classes, cls, small)
     for i, a, b in groups:
-        found[i] += _soften(s[i] @ net.outputs[a:b].T, y[i] - a)
+        found[i] += _soften(s[i] @ net.outputs[a:b].T, y[i] - a, small)
     out = np.empty(len(targets))
     out[order] = found
     return out
 
 
-def _output_gradients(net: Network, states: np.ndarray, targets: np.ndarray, grads: list[np.ndarray]) -> np.ndarray:
-    """Sets the gradients of the output weights; returns those of the states. Of the negated sum of log probabilities."""
-    order, cls, groups = _by_class(net, targets)
-    s, y = states.take(order, 0), targets[order]
-    p = s @ net.classes
-    _soften(p, cls)
-    p[np.arange(len(cls)), cls] -= 1
-    np.matmul(s.T, p, out=grads[2])
-    d = p @ net.classes.T
-    for i, a, b in groups:
-        w = net.outputs[a:b]
-        p = s[i] @ w.T
-        _soften(p, y[i] - a)
-        p[np.arange(len(p)), y[i] - a] -= 1
-        np.matmul(p.T, s[i], out=grads[3][a:b])
-        d[i] += p @ w
-    out = np.empty_like(d)
-    out[order] = d
-    return out
-
+def _output_gradients(net: Network, states: np.ndarray, targets: np.ndarray, grads: list[np.ndarray], room: _Room) -> np.ndarray:
+    """Sets the gradients of the output weights; returns those of the states. Of the negated sum of log probabilities.
 
-def window_gradients(net: Network, h: np.ndarray, inputs: np.ndarray, live: np.ndarray, targets: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    The gradient of a logit is its probability, less 1 for the target. What the probabilities
+    make is taken from exponentials, whose sum comes with the same product; what the targets make
+    are sums over the rows of each symbol or class, which are neighbours.
+    """
+    order, y, groups = _by_class(net, targets)
+    n, wide = len(y), HIDDEN + 1
+    s = np.take(states, order, 0, room("sorted", n, wide), "clip")
+    small = _small(s, net.classes.T, net.outputs)
+    with_sum = np.ones((len(net.outputs), wide), np.float32)  # a row's share of the state's gradient, and 1
+    with_sum[:, :HIDDEN] = net.outputs[:, :HIDDEN]
+    of_classes = np.ones((net.classes.shape[1], wide), np.float32)
+    of_classes[:, :HIDDEN] = net.classes[:HIDDEN].T
+    inner = room("inner", n, wide)
+    scaled = room("scaled", n, wide)
+    grads[3][...] = 0
+    for i, a, b in groups:
+        e = _exponentials(s[i] @ net.outputs[a:b].T, small)
+        np.matmul(e, with_sum[a:b], out=inner[i])
+        np.divide(s[i], inner[i, HIDDEN:], out=scaled[i])
+        np.matmul(e.T, scaled[i], out=grads[3][a:b])
+    first = np.flatnonzero(np.diff(y, prepend=-1))
+    grads[3][y[first]] -= np.add.reduceat(s, first, axis=0)
+    e = _exponentials(np.matmul(s, net.classes, out=room("classes", n, net.classes.shape[1])), small)
+    outer = np.matmul(e, of_classes, out=room("outer", n, wide))
+    np.matmul(np.divide(s, outer[:, HIDDEN:], out=scaled).T, e, out=grads[2])
+    at = np.searchsorted(net.starts, [a for _, a, _ in groups])
+    grads[2][:, at] -= np.add.reduceat(s, [i.start for i, _, _ in groups], axis=0).T
+    inner /= inner[:, HIDDEN:].copy()
+    outer /= outer[:, HIDDEN:].copy()
+    inner += outer
+    inner -= with_sum.take(y, 0)
+    inner -= of_classes.take(at.repeat([i.stop - i.start for i, _, _ in groups]), 0)
+    out = room("back", n, wide)
+    out[order] = inner
+    return out[:, :HIDDEN]
+
+
+def window_gradients(net: Network, h: np.ndarray, inputs: np.ndarray, live: np.ndarray, targets: np.ndarray, real: np.ndarray, room: _Room | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
     """The state after a window, and the gradients of its negated log probability.
 
     All but h are steps x streams: the symbols before the targets, whether the state goes on from
-    there (else it is reset), the targets, and whether they count.
+    there (else it is reset), the targets, and whether they count. Given room, the gradients are
+    kept there, until the next call with it.
     """
+    room = _Room() if room is None else room
     steps, side = targets.shape
-    x = net.inputs.take(inputs, 0)
-    h_before, gates, cand, sums = (np.empty((steps, side, n), np.float32) for n in (HIDDEN, 2 * HIDDEN, HIDDEN, HIDDEN))
-    states = np.ones((steps, side, HIDDEN + 1), np.float32)
-    on = live.astype(np.float32)[:, :, None]
+    shares, recurrent = _gates(net.inputs, room, "shares"), _gates(net.recurrent, room, "recurrent")
+    h_before, to_r, to_z, to_c = (room(k, steps, side, HIDDEN) for k in ("h", "to_r", "to_z", "to_c"))
+    x, sums, one = room("x", steps, 3, side, HIDDEN), room("sums", 3, side, HIDDEN), np.float32(1)
+    states = room("states", steps, side, HIDDEN + 1)
+    states[:, :, HIDDEN] = 1
+    on, going = live.astype(np.float32)[:, :, None], live.all(1).tolist()
+    h = np.array(h, np.float32)
     for k in range(steps):
         h_before[k] = h
-        h, gates[k], cand[k], sums[k] = _step(net, h, x[k])
-        h *= on[k]
+        np.take(shares, inputs[k], 1, x[k], "clip")
+        _step(recurrent, h_before[k], x[k], sums, h)
+        r, z, c = x[k]
+        # what a state's gradient becomes at each gate
+        f = np.subtract(one, z, out=to_c[k])
+        np.subtract(h_before[k], c, out=to_z[k])
+        to_z[k] *= z
+        to_z[k] *= f
+        np.multiply(c, c, out=c)
+        np.subtract(one, c, out=c)
+        f *= c
+        np.subtract(one, r, out=to_r[k])
+        to_r[k] *= r
+        to_r[k] *= sums[2]
+        if not going[k]:
+            h *= on[k]
         states[k, :, :HIDDEN] = h
-    grads = [np.zeros_like(a) for a in net.learned()]
-    every = real.all()
+    grads = [room(f"gradient {i}", *a.shape) for i, a in enumerate(net.learned())]
     flat = states.reshape(-1, HIDDEN + 1)
-    d_state = np.zeros_like(flat)
-    if every:
-        d_state = _output_gradients(net, flat, targets.reshape(-1), grads)
-    elif real.any():
-        at = np.flatnonzero(real)
-        d_state[at] = _output_gradients(net, flat[at], targets.reshape(-1)[at], grads)
-    d_state = d_state.reshape(steps, side, HIDDEN + 1)[:, :, :HIDDEN]
-    r, z = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
-    to_z = (h_before - cand) * z * (1 - z)
-    to_c = (1 - z) * (1 - cand * cand)
-    to_r = sums * r * (1 - r)
-    d_sums = np.empty((steps, side, 3 * HIDDEN), np.float32)
-    d_cand = np.empty((steps, side, HIDDEN), np.float32)
-    back = np.ascontiguousarray(net.recurrent.T)
-    d_h = np.zeros((side, HIDDEN), np.float32)
+    if real.all():
+        d_state = _output_gradients(net, flat, targets.reshape(-1), grads, room)
+    else:
+        d_state = np.zeros((len(flat), HIDDEN), np.float32)
+        for g in grads:
+            g[...] = 0
+        if real.any():
+            at = np.flatnonzero(real)
+            d_state[at] = _output_gradients(net, flat[at], targets.reshape(-1)[at], grads, room)
+    d_state = d_state.reshape(steps, side, HIDDEN)
+    d_sums = room("d_sums", 3, steps, side, HIDDEN)
+    back = np.ascontiguousarray(net.recurrent.reshape(HIDDEN, 3, HIDDEN).transpose(1, 2, 0))
+    d_h, d, shares_back = np.zeros((side, HIDDEN), np.float32), np.empty((side, HIDDEN), np.float32), sums
     for k in reversed(range(steps)):
-        d = d_state[k] + d_h
-        d *= on[k]
-        dg, dc = d_sums[k], d_cand[k]
-        np.multiply(d, to_c[k], out=dc)
-        np.multiply(dc, to_r[k], out=dg[:, :HIDDEN])
-        np.multiply(d, to_z[k], out=dg[:, HIDDEN : 2 * HIDDEN])
-        np.multiply(dc, r[k], out=dg[:, 2 * HIDDEN :])
-        d_h = dg @ back
-        d_h += d * z[k]
-    d_sums = d_sums.reshape(-1, 3 * HIDDEN)
-    np.matmul(h_before.reshape(-1, HIDDEN).T, d_sums, out=grads[1])
-    d_sums[:, 2 * HIDDEN :] = d_cand.reshape(-1, HIDDEN)
-    places = (inputs.reshape(-1) * d_sums.shape[1])[:, None] + np.arange(d_sums.shape[1])
-    grads[0][...] = np.bincount(places.reshape(-1), d_sums.reshape(-1), grads[0].size).reshape(grads[0].shape)
+        np.add(d_state[k], d_h, out=d)
+        if not going[k]:
+            d *= on[k]
+        dg, (r, z, dc) = d_sums[:, k], x[k]
+        np.multiply(d, to_c[k], out=dc)  # of the candidate, which isn't needed any more
+        np.multiply(dc, to_r[k], out=dg[0])
+        np.multiply(d, to_z[k], out=dg[1])
+        np.multiply(dc, r, out=dg[2])
+        np.matmul(dg, back, out=shares_back)
+        np.multiply(d, z, out=d_h)
+        for part in shares_back:
+            d_h += part
+    d_sums = d_sums.reshape(3, -1, HIDDEN)
+    grads[1].reshape(HIDDEN, 3, HIDDEN)[...] = np.matmul(h_before.reshape(-1, HIDDEN).T, d_sums).swapaxes(0, 1)
+    d_sums[2].reshape(steps, side, HIDDEN)[...] = x[:, 2]
+    order = np.argsort(inputs.reshape(-1).astype(np.uint16), kind="stable")
+    symbols = inputs.reshape(-1)[order]
+    first = np.flatnonzero(np.diff(symbols, prepend=-1))
+    grads[0][...] = 0
+    by_symbol = np.add.reduceat(np.take(d_sums, order, 1, x.reshape(3, -1, HIDDEN), "clip"), first, axis=1)
+    grads[0].reshape(-1, 3, HIDDEN)[symbols[first]] = by_symbol.swapaxes(0, 1)
     return h, grads
 
 
@@ -375,6 +457,7 @@ class Trainer:
     def __init__(self, net: Network, side: int, rate: float) -> None:
         self.net, self.side, self.rate = net, side, np.float32(rate)
         self.squares = [np.full(a.shape, 1e-3, np.float32) for a in net.learned()]
+        self.room = _Room()
 
     def learn(self, flat: np.ndarray, sizes: np.ndarray) -> int:
         """Train on documents given as their symbols, end to end, and their sizes; returns the tokens learned from: all of them."""
@@ -388,16 +471,17 @@ class Trainer:
         targets, begins, real = pad(flat, 0), pad(first, True), pad(np.ones(len(flat), bool), False)
         begins[0] = True
         inputs = np.concatenate([np.zeros((1, side), targets.dtype), targets[:-1]])
-        h = np.zeros((side, HIDDEN), np.float32)
+        h, room = np.zeros((side, HIDDEN), np.float32), self.room
         for at in range(0, length, WINDOW):
             part = slice(at, at + WINDOW)
-            h, grads = window_gradients(self.net, h, inputs[part], ~begins[part], targets[part], real[part])
+            h, grads = window_gradients(self.net, h, inputs[part], ~begins[part], targets[part], real[part], room)
             scale = np.float32(max(1, real[part].sum()) ** -0.5)
-            for a, g, q in zip(self.net.learned(), grads, self.squares, strict=True):
+            for i, (a, g, q) in enumerate(zip(self.net.learned(), grads, self.squares, strict=True)):
+                root = room(f"root {i}", *g.shape)
                 g *= scale
                 np.clip(g, -1, 1, out=g)
-                q += g * g
-                g /= np.sqrt(q)
+                q += np.multiply(g, g, out=root)
+                g /= np.sqrt(q, out=root)
                 g *= self.rate
                 a -= g
         return len(flat)
@@ -406,39 +490,50 @@ class Trainer:
 def score_documents(net: Network, docs: list[np.ndarray]) -> np.ndarray:
     """Sum of natural log probabilities of each document's symbols.
 
-    Documents run side by side, the longest first, so that those that go on are always the
-    first rows; outputs are evaluated whenever enough states have come together.
+    Documents of like lengths run side by side, the longest first, so that those that go on are
+    always the first rows; outputs are evaluated whenever enough states have come together.
     """
-    if not docs:
-        return np.zeros(0)
     order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
-    sizes = np.array([len(docs[i]) for i in order])
-    flat = np.concatenate([docs[i] for i in order]).astype(np.int64)
+    total, room = np.empty(len(docs)), _Room()
+    shares, recurrent = _gates(net.inputs, room, "shares"), _gates(net.recurrent, room, "recurrent")
+    for at in range(0, len(order), SIDE):
+        part = order[at : at + SIDE]
+        total[part] = _score_side(net, shares, recurrent, [docs[i] for i in part], room)
+    return total
+
+
+def _score_side(net: Network, shares: np.ndarray, recurrent: np.ndarray, docs: list[np.ndarray], room: _Room) -> np.ndarray:
+    """score_documents of some documents, the longest first; shares and recurrent are the weights as `_gates` gives them."""
+    sizes = np.array([len(d) for d in docs])
+    flat = np.concatenate(docs).astype(np.int64)
     begin = np.cumsum(sizes) - sizes
     going = len(docs) - np.searchsorted(sizes[::-1], np.arange(sizes[0]), "right")  # documents longer than t
-    sums = np.zeros(len(docs))
+    totals = np.zeros(len(docs))
     h = np.zeros((len(docs), HIDDEN), np.float32)
-    symbol = np.zeros(len(docs), np.int64)
-    states = np.ones((BUFFER + len(docs), HIDDEN + 1), np.float32)
+    x, sums = (room(k, 3 * len(docs), HIDDEN) for k in ("x", "sums"))
+    states = room("states", BUFFER + len(docs), HIDDEN + 1)
+    states[:, HIDDEN] = 1
+    symbol = flat[begin]
     targets: list[np.ndarray] = []
     held = 0
     for t, n in enumerate(going.tolist()):
         if t:
-            h = _step(net, h[:n], net.inputs.take(symbol[:n], 0))[0]
-        symbol = flat[begin[:n] + t]
+            h = h[:n]
+            gates, scratch = x[: 3 * n].reshape(3, n, HIDDEN), sums[: 3 * n].reshape(3, n, HIDDEN)
+            np.take(shares, symbol[:n], 1, gates, "clip")
+            _step(recurrent, h, gates, scratch, h)
+            symbol = flat[begin[:n] + t]
         states[held : held + n, :HIDDEN] = h
         targets.append(symbol)
         held += n
         if held >= BUFFER or t + 1 == len(going):
             found = log_probs(net, states[:held], np.concatenate(targets))
             at = 0
-            for x in targets:
-                sums[: len(x)] += found[at : at + len(x)]
-                at += len(x)
+            for y in targets:
+                totals[: len(y)] += found[at : at + len(y)]
+                at += len(y)
             targets, held = [], 0
-    total = np.empty(len(docs))
-    total[order] = sums
-    return total
+    return totals
 
 
 # -- model

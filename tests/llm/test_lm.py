@@ -1,9 +1,11 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -254,3 +256,65 @@ def test_base_counts_ask_no_network(spark, monkeypatch):
     monkeypatch.setattr(lm, "score_documents", lambda *_: pytest.fail("a network was asked"))
     found = lm_base(spark, d)
     assert found.columns == names and sorted(map(tuple, found.collect()), key=str) == expected
+
+
+def fresh_memory(work):
+    """Bytes that work holds at once, of Python and numpy, beyond what it finds."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_windows_of_training_take_no_fresh_arrays():
+    """A window's arrays are used again: fresh ones of this size are paid for by a page fault for every 4 KB."""
+    rng = np.random.default_rng(4)
+    flat, sizes = rng.integers(0, 2048, 256 * lm.WINDOW * 2), np.full(32, 16 * lm.WINDOW)
+    trainer = lm.Trainer(lm.new_network(np.arange(2048, 0, -1.0)), 256, 0.2)
+    trainer.learn(flat, sizes)
+    assert fresh_memory(lambda: trainer.learn(flat, sizes)) < 6_000_000
+
+
+def test_words_are_counted_without_an_object_for_each(monkeypatch):
+    """A chunk's hashes and endings are those of its distinct words, and no word of the text becomes an object of its own."""
+    hashed = []
+    real = lm.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(lm.xxhash, "xxh3_64_intdigest", lambda w: hashed.append(w) or real(w))
+    texts = pa.array([" ".join(f"Word{k % 500}" for k in range(200_000))] * 2)
+    assert fresh_memory(lambda: lm._numbered(texts)) < 12_000_000
+    assert len(hashed) == 500
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_numbered_words_agree_with_a_plain_split(kind):
+    """Every kind of white space, letters and marks at the ends, control characters, nulls, empty texts, and a slice of a column."""
+    rng = np.random.default_rng(6)
+    marks = list(" \t\n\r\x0b\x0caAbBzZ.,;:!?\u00e9\u00c9\u65e5\u3000 \x85\x1c\x1f0\x00")
+    texts = ["dropped", "", None, " ", "\x0b", "  a B ", "A b c\u3000", "!!! ?? .", "ab, abc; \u65e5\u672c.", *("".join(rng.choice(marks, int(n))) for n in rng.integers(0, 40, 600))]
+    for some in (texts[1:], [], [None], [" "]):
+        tokens, sizes, hashes, endings = lm._numbered(pa.array(["before", *some], kind).slice(1))
+        plain = [words(t) for t in some]
+        assert sizes.tolist() == [len(w) + 1 for w in plain]
+        flat = [w for ws in plain for w in [*ws, None]]
+        assert hashes[tokens].tolist() == [lm.END if w is None else lm._hash(w.encode()) for w in flat]
+        assert endings[tokens].tolist() == [0 if w is None else lm._ending(w.encode()) for w in flat]
+        assert len(hashes) == len(endings) == len({*flat, None}) and (np.diff(hashes) > 0).all()
+
+
+def test_gradients_are_the_same_in_used_room():
+    """Windows of different shapes and with steps that don't count leave nothing behind, and large logits overflow nowhere."""
+    rng = np.random.default_rng(5)
+    n, room = net(), lm._Room()
+    for steps, side, share, scale in ((6, 4, 1, 1), (6, 4, 0.5, 1), (6, 4, 0, 1), (3, 2, 1, 40), (6, 4, 1, 1)):
+        n.outputs[:, :-1] *= scale
+        n.classes[:-1] *= scale
+        h = rng.normal(0, 0.5, (side, lm.HIDDEN)).astype(np.float32)
+        window = h, rng.integers(0, 40, (steps, side)), rng.random((steps, side)) > 0.2, rng.integers(0, 40, (steps, side)), rng.random((steps, side)) < share
+        (a, fresh), (b, used) = lm.window_gradients(n, *window), lm.window_gradients(n, *window, room)
+        assert np.array_equal(a, b) and all(np.isfinite(x).all() and np.array_equal(x, y) for x, y in zip(fresh, used, strict=True))
+        state = np.append(h, np.ones((side, 1), np.float32), 1)
+        assert lm.log_probs(n, state, window[3][0]) == pytest.approx([plain_log_prob(n, h[k], y) for k, y in enumerate(window[3][0])], rel=1e-4, abs=1e-4)
+        n.outputs[:, :-1] /= scale
+        n.classes[:-1] /= scale
